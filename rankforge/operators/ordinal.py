@@ -66,22 +66,23 @@ def with_ordinal(
     before = Window.partitionBy(*group_by).orderBy(_PID).rowsBetween(
         Window.unboundedPreceding, -1
     )
+    # Offsets get fresh column names: joining a frame with an aggregate of
+    # itself must not leave ambiguous column references.
+    gnames = [f"_rf_g{i}" for i in range(len(group_by))]
     offsets = cells.select(
-        _PID, *group_by, "_rf_first",
+        F.col(_PID).alias("_rf_opid"),
+        *[F.col(g).alias(n) for g, n in zip(group_by, gnames)],
+        "_rf_first",
         F.coalesce(F.sum("_rf_n").over(before), F.lit(0)).alias("_rf_before"),
     )
     # Size check: one row per (partition, group) cell.
     if offsets.count() <= BROADCAST_OFFSETS_MAX_ROWS:
         offsets = F.broadcast(offsets)
-    cond = [ranged[_PID] == offsets[_PID]] + [
-        ranged[g].eqNullSafe(offsets[g]) for g in group_by
+    cond = [F.col(_PID) == F.col("_rf_opid")] + [
+        F.col(g).eqNullSafe(F.col(n)) for g, n in zip(group_by, gnames)
     ]
-    position = (
-        offsets["_rf_before"] + (ranged[_POS] - offsets["_rf_first"]) + F.lit(1)
-    )
-    return ranged.join(offsets, cond, "inner").select(
-        *[ranged[c] for c in df.columns], position.alias(name)
-    )
+    position = F.col("_rf_before") + (F.col(_POS) - F.col("_rf_first")) + F.lit(1)
+    return ranged.join(offsets, cond, "inner").select(*df.columns, position.alias(name))
 
 
 def with_chunk_id(

@@ -291,6 +291,7 @@ def q_svc_sweep(spark, sf):
     return models.sweep(
         "svc", "C", models.SVM_C, train, val, test,
         make_params=lambda c: {"regParam": models.svc_reg_param(c, n)},
+        parallelism=len(models.SVM_C),
     )
 
 
