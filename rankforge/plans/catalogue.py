@@ -18,6 +18,7 @@ from rankforge.functions.scalar import binary_relabel_expr, clean_name, json_fie
 from rankforge.operators import balance, chart, clean, enrich, shards, split
 from rankforge.plans import evaluate, models
 from rankforge.plans import standins as si
+from rankforge import streaming as stream
 from rankforge.sources.csv import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -88,6 +89,20 @@ def q_date_range_filter(spark, sf):
     return chart.best_rank(restricted)
 
 
+def q_best_rank_stream(spark, sf):
+    """C1 through Structured Streaming: the orders file is the chart inbox;
+    the stream runs to completion (availableNow) and the result table is
+    read back. Same answer as ``best_rank``."""
+    orders = read_table(spark, sf, "orders")
+    inbox = (
+        spark.readStream.schema(orders.schema)
+        .option("pathGlobFilter", "orders.parquet")
+        .parquet(sf.rstrip("/"))
+    )
+    _, out = stream.run_best_rank(si.chart_from_orders(inbox), before=si.CHART_BEFORE)
+    return stream.current_best_rank(spark, out)
+
+
 # --------------------------------------------------------------- lookup and enrich
 
 def q_fallback_lookup(spark, sf):
@@ -326,6 +341,7 @@ def q_family_comparison(spark, sf):
 
 QUERIES: dict[str, Query] = {
     "best_rank": q_best_rank,
+    "best_rank_stream": q_best_rank_stream,
     "classify_rankings": q_classify_rankings,
     "class_histogram": q_class_histogram,
     "classified_join": q_classified_join,

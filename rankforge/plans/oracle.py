@@ -53,6 +53,7 @@ _HASH_SPLIT = (
 
 ORACLE: dict[str, str] = {
     "best_rank": _BASE + "SELECT song, artist, top_rank FROM best",
+    "best_rank_stream": _BASE + "SELECT song, artist, top_rank FROM best",
     "classify_rankings": _BASE + "SELECT song, artist, class FROM classified ORDER BY song, artist",
     "class_histogram": _BASE + "SELECT class, count(*) AS n FROM classified GROUP BY class",
     "classified_join": _BASE_F + f"""

@@ -34,7 +34,11 @@ def _d(c):
 
 
 def chart(spark: SparkSession, sf_dir: str) -> DataFrame:
-    o = read_table(spark, sf_dir, "orders")
+    return chart_from_orders(read_table(spark, sf_dir, "orders"))
+
+
+def chart_from_orders(o: DataFrame) -> DataFrame:
+    """The chart mapping on any orders frame (batch or streaming)."""
     return o.select(
         F.col("o_custkey").cast("string").alias("song"),
         F.col("o_orderpriority").alias("artist"),
