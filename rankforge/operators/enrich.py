@@ -136,6 +136,7 @@ def batch_enrich(
     batch_size: int = 100,
     id_col: str = "track_id",
     feature_cols: Sequence[str] = AUDIO_FEATURE_COLUMNS,
+    group_by: Sequence[str] = (),
 ) -> DataFrame:
     """C11: batches of ``batch_size`` rows in row order (W1), then an inner
     join with the feature records on ``track_id = id`` (J2). Ids without a
@@ -144,8 +145,9 @@ def batch_enrich(
     The reference batches because its service takes 100 ids per call; here
     the batch id is kept as a column (the request unit) and the join does
     the fetch. A feature table with repeated ids is reduced first.
+    ``group_by`` restarts the batches per group (e.g. per shard).
     """
-    batched = with_chunk_id(identified, order_by, batch_size, name="batch_id")
+    batched = with_chunk_id(identified, order_by, batch_size, name="batch_id", group_by=group_by)
     feats = latest_per_id(features.select("id", *feature_cols))
     out = batched.join(feats, batched[id_col] == feats["id"], "inner")
     return out.select(

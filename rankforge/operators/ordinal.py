@@ -96,7 +96,7 @@ def with_chunk_id(
 
     Used for shards of 1,000 rows (S11) and lookup batches of 100 (C11).
     """
-    with_pos = with_ordinal(df, order_by, group_by, name="_rf_ord")
+    with_pos = with_ordinal(df, order_by, group_by, name="_rf_chunk_pos")
     return with_pos.withColumn(
-        name, F.floor((F.col("_rf_ord") - 1) / F.lit(size)).cast("bigint")
-    ).drop("_rf_ord")
+        name, F.floor((F.col("_rf_chunk_pos") - 1) / F.lit(size)).cast("bigint")
+    ).drop("_rf_chunk_pos")

@@ -14,9 +14,10 @@ from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from rankforge.functions.scalar import binary_relabel_expr, clean_name, json_field
+from rankforge.functions.scalar import binary_relabel_expr, clean_name, json_field, to_csv_line
+from rankforge.operators.ordinal import with_ordinal
 from rankforge.operators import balance, chart, clean, enrich, shards, split
-from rankforge.plans import evaluate, models
+from rankforge.plans import build, evaluate, models
 from rankforge.plans import standins as si
 from rankforge import streaming as stream
 from rankforge.sources.csv import read_table
@@ -161,6 +162,27 @@ def q_resume_anti_join(spark, sf):
     return enrich.pending(_classified(spark, sf), _identified(spark, sf), ["song", "artist"])
 
 
+def _raw_chart_lines(spark, sf):
+    """Chart lines as text (header + one CSV line per classified song, in
+    song order): the input of the line-based pipeline, derived from the
+    stand-in chart."""
+    cls = _classified(spark, sf)
+    lines = with_ordinal(
+        cls.select("song", "artist", to_csv_line("song", "artist", "class").alias("value")),
+        ["song", "artist"],
+    ).select(F.col("ordinal").cast("long").alias("ordinal"), "value")
+    header = lines.limit(1).select(F.lit(0).cast("long").alias("ordinal"), F.lit("song,artist,class").alias("value"))
+    return header.unionByName(lines)
+
+
+def q_build_enriched(spark, sf):
+    """C17 end to end on the stand-ins (cap of 300 per listed class)."""
+    return build.build_enriched(
+        _raw_chart_lines(spark, sf), si.unranked(spark, sf), si.catalogue(spark, sf),
+        si.audio_features(spark, sf), cap_n=CAP_N,
+    )
+
+
 # --------------------------------------------------------------- balancing
 
 CAP_LABELS = [0, 10]
@@ -358,6 +380,7 @@ QUERIES: dict[str, Query] = {
     "shard_assign": q_shard_assign,
     "resume_anti_join": q_resume_anti_join,
     "cap_classes": q_cap_classes,
+    "build_enriched": q_build_enriched,
     "binary_relabel": q_binary_relabel,
     "equalize_classes": q_equalize_classes,
     "add_default_class_sample": q_add_default_class_sample,

@@ -14,6 +14,7 @@ from rankforge.plans.standins import (
     CLASSIFIED_SQL,
     FEATURES_A_SQL,
     LOOKUP_SQL,
+    lookup_sql,
     with_sql,
 )
 
@@ -51,6 +52,31 @@ _HASH_SPLIT = (
     "THEN 'val' ELSE 'test' END"
 )
 
+_BUILD = with_sql(CHART_SQL, BEST_SQL, CLASSIFIED_SQL, CATALOGUE_SQL, AUDIO_SQL, """lines AS (
+  SELECT row_number() OVER (ORDER BY song, artist) AS pos, song, artist, class FROM classified),
+sample AS (
+  SELECT c_name AS song, c_mktsegment AS artist, CAST(10 AS BIGINT) AS class,
+         row_number() OVER (ORDER BY md5(concat_ws(':', '0', c_name, c_mktsegment)), c_name, c_mktsegment) AS pos
+  FROM customer),
+all_rows AS (
+  SELECT 0 AS part, pos, song, artist, class FROM lines
+  UNION ALL
+  SELECT 1 AS part, pos, song, artist, class FROM sample
+  WHERE pos <= (SELECT floor((count(*) + 1) / 10) FROM classified)),
+deduped AS (
+  SELECT part, pos, song, artist, class FROM (
+    SELECT *, row_number() OVER (PARTITION BY song, artist ORDER BY part, pos) AS rn FROM all_rows)
+  WHERE rn = 1)""", lookup_sql("deduped", "s.part, s.pos, "), """enriched AS (
+  SELECT i.song, i.artist, i.class, i.track_id, i.popularity,
+         CAST(floor((i.rn - 1) / 100) AS BIGINT) AS batch_id, a.*
+  FROM (SELECT *, row_number() OVER (ORDER BY part, pos) AS rn FROM identified) i
+  JOIN audio a ON i.track_id = a.id)""") + f"""
+SELECT * FROM enriched WHERE class NOT IN (0, 10) OR class IS NULL
+UNION ALL
+SELECT * EXCLUDE (rn) FROM (
+  SELECT *, row_number() OVER (PARTITION BY class ORDER BY {_SAMPLE_ORDER}) AS rn
+  FROM enriched WHERE class IN (0, 10)) WHERE rn <= 300"""
+
 ORACLE: dict[str, str] = {
     "best_rank": _BASE + "SELECT song, artist, top_rank FROM best",
     "best_rank_stream": _BASE + "SELECT song, artist, top_rank FROM best",
@@ -134,6 +160,7 @@ FROM classified""",
 SELECT c.song, c.artist, c.class FROM classified c
 WHERE NOT EXISTS (SELECT 1 FROM identified i WHERE i.song = c.song AND i.artist = c.artist)""",
     "cap_classes": with_sql(CHART_SQL, BEST_SQL, CLASSIFIED_SQL, _CAPPED) + "SELECT * FROM capped",
+    "build_enriched": _BUILD,
     "binary_relabel": with_sql(CHART_SQL, BEST_SQL, CLASSIFIED_SQL, FEATURES_A_SQL, _LEFT_DEFAULT) + """
 SELECT song, artist, CAST(CASE WHEN class = 10 THEN 1 ELSE 0 END AS INTEGER) AS class,
        year, danceability, duration, energy, key, loudness, song_hotttnesss, tempo, time_signature

@@ -170,6 +170,13 @@ CATALOGUE_SQL = """cat AS (
          CAST(floor(o_totalprice / 5000.0) AS INTEGER) AS popularity
   FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1998-01-01')"""
 
+def lookup_sql(songs: str = "classified", extra_cols: str = "") -> str:
+    """t1/t2 tiers, lookup and identified CTEs over a songs table."""
+    return LOOKUP_SQL.replace("FROM classified s", f"FROM {songs} s").replace(
+        "SELECT s.song, s.artist, s.class,", f"SELECT {extra_cols}s.song, s.artist, s.class,"
+    )
+
+
 LOOKUP_SQL = r"""t1 AS (
   SELECT title, artist, id, popularity FROM (
     SELECT *, row_number() OVER (PARTITION BY title, artist ORDER BY popularity DESC, id) AS rn
