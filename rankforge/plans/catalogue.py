@@ -319,11 +319,8 @@ def q_mlp_sweep(spark, sf):
 
 
 def q_svc_sweep(spark, sf):
-    """M10 on the binary variant (C15 + C16): the stand-in's last class (9)
-    plays the default class."""
-    vec = _vectors(spark, sf).withColumn("class", binary_relabel_expr("class", 9).cast("double"))
-    vec = balance.equalize_classes(vec, keys=["vec_id"])
-    train, val, test = _splits(spark, sf, vec)
+    """M10 on the binary variant (C15 + C16)."""
+    train, val, test = _splits(spark, sf, _binary_vectors(spark, sf))
     n = train.count()  # one number: C -> regParam = 1 / (C n)
     return models.sweep(
         "svc", "C", models.SVM_C, train, val, test,
@@ -332,16 +329,67 @@ def q_svc_sweep(spark, sf):
     )
 
 
+def q_lr_iter_sweep(spark, sf):
+    train, val, test = _splits(spark, sf)
+    return models.sweep("lr", "maxIter", models.MAX_ITERS, train, val, test)
+
+
+def q_rf_trees_sweep(spark, sf):
+    train, val, test = _splits(spark, sf)
+    return models.sweep("rf", "numTrees", models.NUM_TREES, train, val, test)
+
+
+def q_mlp_iter_sweep(spark, sf):
+    """M7 iteration sweep with two hidden layers of 20."""
+    train, val, test = _splits(spark, sf)
+    return models.sweep(
+        "mlp", "maxIter", models.MAX_ITERS, train, val, test,
+        layers=models.mlp_layers(64, [20, 20], 10),
+    )
+
+
+def q_svc_iter_sweep(spark, sf):
+    vec = _binary_vectors(spark, sf)
+    train, val, test = _splits(spark, sf, vec)
+    return models.sweep("svc", "maxIter", models.MAX_ITERS, train, val, test)
+
+
+def _binary_vectors(spark, sf):
+    """C15 + C16 on the vectors: the stand-in's last class (9) plays the
+    default class; class 0 is cut to the smaller class."""
+    vec = _vectors(spark, sf).withColumn("class", binary_relabel_expr("class", 9).cast("double"))
+    return balance.equalize_classes(vec, keys=["vec_id"])
+
+
+def q_binary_rf_sweep(spark, sf):
+    """M8: depth sweep on the binary data (depth capped at Spark's 30)."""
+    train, val, test = _splits(spark, sf, _binary_vectors(spark, sf))
+    return models.sweep("rf", "maxDepth", [1, 5, 10, 20, 50, 100], train, val, test)
+
+
+def q_binary_mlp_rate_sweep(spark, sf):
+    """M9: learning-rate sweep, gradient descent with that step size."""
+    train, val, test = _splits(spark, sf, _binary_vectors(spark, sf))
+    return models.sweep(
+        "mlp", "stepSize", models.LEARNING_RATES, train, val, test,
+        solver="gd", layers=models.mlp_layers(64, 100, 2),
+    )
+
+
 # Reduced grids for the registered CV queries (the library takes any grid).
 CV_GRIDS = {
     "lr": {"regParam": [1e-3, 0.1], "maxIter": [10, 50]},
     "rf": {"maxDepth": [5, 10], "numTrees": [10, 20]},
+    "mlp": {"maxIter": [20, 50]},
 }
+CV_FIXED = {"mlp": {"layers": models.mlp_layers(64, 20, 10)}}
 
 
 def _cv(family, spark, sf):
     train, _, test = _splits(spark, sf)
-    _, table, test_f1 = models.cross_validate(family, CV_GRIDS[family], train, test)
+    _, table, test_f1 = models.cross_validate(
+        family, CV_GRIDS[family], train, test, **CV_FIXED.get(family, {})
+    )
     return table.withColumn("test_f1_of_best", F.when(F.col("is_best"), F.lit(test_f1)))
 
 
@@ -353,6 +401,17 @@ def q_rf_cv(spark, sf):
     return _cv("rf", spark, sf)
 
 
+def q_mlp_cv(spark, sf):
+    return _cv("mlp", spark, sf)
+
+
+def q_cv_confusion(spark, sf):
+    """Confusion counts of the LR cross-validation winner on test."""
+    train, _, test = _splits(spark, sf)
+    model, _, _ = models.cross_validate("lr", CV_GRIDS["lr"], train, test)
+    return evaluate.confusion_counts(models.predict(model, test))
+
+
 def q_family_comparison(spark, sf):
     """LR regParam sweep vs RF depth sweep, stacked."""
     train, val, test = _splits(spark, sf)
@@ -396,7 +455,15 @@ QUERIES: dict[str, Query] = {
     "rf_sweep": q_rf_sweep,
     "mlp_sweep": q_mlp_sweep,
     "svc_sweep": q_svc_sweep,
+    "lr_iter_sweep": q_lr_iter_sweep,
+    "rf_trees_sweep": q_rf_trees_sweep,
+    "mlp_iter_sweep": q_mlp_iter_sweep,
+    "svc_iter_sweep": q_svc_iter_sweep,
+    "binary_rf_sweep": q_binary_rf_sweep,
+    "binary_mlp_rate_sweep": q_binary_mlp_rate_sweep,
     "lr_cv": q_lr_cv,
     "rf_cv": q_rf_cv,
+    "mlp_cv": q_mlp_cv,
+    "cv_confusion": q_cv_confusion,
     "family_comparison": q_family_comparison,
 }
