@@ -6,7 +6,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from rankforge.functions.lines import repair_line_struct
 
@@ -89,17 +88,3 @@ def drop_unidentified(df: DataFrame, id_col: str = "track_id") -> DataFrame:
     """Drop rows whose id is the empty string; null ids stay, as in
     the pandas original (``!=`` alone would also drop nulls in SQL)."""
     return df.where(F.col(id_col).isNull() | (F.col(id_col) != F.lit("")))
-
-
-def read_text_with_ordinal(spark, path: str, line_col: str = "value") -> DataFrame:
-    """Lines of text files with an input-order key (file, split start, row in
-    task): sorting by it gives file order, as a line-by-line reader sees it."""
-    return spark.read.text(path).select(
-        F.col("_metadata.file_path").alias("file"),
-        F.col("_metadata.file_block_start").alias("block"),
-        F.monotonically_increasing_id().alias("row_in_task"),
-        F.col("value").alias(line_col),
-    )
-
-
-EMPTY_REPORT = T.StructType([T.StructField("outcome", T.StringType()), T.StructField("lines", T.LongType())])

@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
+    # Remove reliable checkpoints of the distributed ordinal once unused.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     # DROPMALFORMED only drops bad rows when every column is parsed.
     "spark.sql.csv.parser.columnPruning.enabled": "false",
 }

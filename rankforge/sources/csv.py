@@ -104,6 +104,18 @@ def read_feature_groups(
     return [spark.read.parquet(p) for p in paths]
 
 
+def read_lines(spark: SparkSession, path: str, line_col: str = "value") -> DataFrame:
+    """Raw text lines with an input-order key: sorting by
+    (file, block, row_in_task) gives the order a line-by-line reader sees.
+    ``row_in_task`` grows by one per line inside a file split."""
+    return spark.read.text(path).select(
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("row_in_task"),
+        F.col("value").alias(line_col),
+    )
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One of the Parquet tables under a scale-factor folder."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")

@@ -65,3 +65,16 @@ def test_csv_sinks_round_trip(spark, tmpdir_path):
     assert len(files) == 1
     back = src.read_csv_typed(spark, os.path.join(tmpdir_path, "one"), schema=df.schema)
     assert [tuple(r) for r in back.collect()] == [("a, b", 1)]
+
+
+def test_read_lines_keeps_file_order(spark, tmpdir_path):
+    from rankforge.operators.ordinal import with_ordinal
+
+    d = os.path.join(tmpdir_path, "raw")
+    os.makedirs(d)
+    _write(os.path.join(d, "a.csv"), "".join(f"a{i},x,1\n" for i in range(50)))
+    _write(os.path.join(d, "b.csv"), "".join(f"b{i},y,2\n" for i in range(30)))
+    lines = src.read_lines(spark, d)
+    ranked = with_ordinal(lines, ["file", "block", "row_in_task"])
+    got = [r.value.split(",")[0] for r in ranked.orderBy("ordinal").collect()]
+    assert got == [f"a{i}" for i in range(50)] + [f"b{i}" for i in range(30)]
