@@ -55,3 +55,10 @@ def test_histogram_equal_width(spark):
     assert h == {0: 2, 1: 2, 2: 2, 3: 2, 4: 3}  # last bin closed on the right
     by_class = {r.v: r.n for r in evaluate.class_histogram(df, "v").collect()}
     assert by_class[10.0] == 1
+
+
+def test_shape_labels_and_distinct_count(spark):
+    df = spark.createDataFrame([(3, "a"), (1, "b"), (3, "c"), (10, "d")], "class int, song string")
+    assert [tuple(r) for r in evaluate.shape(df).collect()] == [(4, 2)]
+    assert [r["class"] for r in evaluate.sorted_labels(df).collect()] == [1, 3, 10]
+    assert evaluate.distinct_label_count(df).collect()[0].n_labels == 3
