@@ -75,8 +75,11 @@ def with_ordinal(
         "_rf_first",
         F.coalesce(F.sum("_rf_n").over(before), F.lit(0)).alias("_rf_before"),
     )
-    # Size check: one row per (partition, group) cell.
-    if offsets.count() <= BROADCAST_OFFSETS_MAX_ROWS:
+    # Size check: one row per (partition, group) cell. Without groups the
+    # table has at most one row per range partition, a bound known here.
+    if not group_by and n <= BROADCAST_OFFSETS_MAX_ROWS:
+        offsets = F.broadcast(offsets)
+    elif group_by and offsets.count() <= BROADCAST_OFFSETS_MAX_ROWS:
         offsets = F.broadcast(offsets)
     cond = [F.col(_PID) == F.col("_rf_opid")] + [
         F.col(g).eqNullSafe(F.col(n)) for g, n in zip(group_by, gnames)
