@@ -77,6 +77,11 @@ def q_class_histogram(spark, sf):
     return evaluate.class_histogram(_classified(spark, sf))
 
 
+def q_class_histogram_bins(spark, sf):
+    """A6 as plotted: 11 equal-width bins over [min, max] of the classes."""
+    return evaluate.class_histogram(_classified(spark, sf), "class", bins=11)
+
+
 def q_classified_join(spark, sf):
     return enrich.join_features(_classified(spark, sf), si.features_a(spark, sf))
 
@@ -224,6 +229,18 @@ def q_hash_split(spark, sf):
     return e.withColumn("split", split.hash_split_label(["vec_id"]))
 
 
+def q_random_split_sizes(spark, sf):
+    """M3 as in the original (``randomSplit``, seed 0): rows per split. The
+    members depend on the input partitioning, so only sizes are reported."""
+    e = read_table(spark, sf, "embeddings").select("vec_id", "label")
+    parts = split.random_split(e)
+    tagged = [p.select(F.lit(n).alias("split")) for n, p in zip(split.SPLIT_NAMES, parts)]
+    out = tagged[0]
+    for t in tagged[1:]:
+        out = out.unionByName(t)
+    return out.groupBy("split").agg(F.count(F.lit(1)).alias("n"))
+
+
 def q_exact_split(spark, sf):
     e = read_table(spark, sf, "embeddings").select("vec_id", "label")
     return split.exact_split_label(e, ["vec_id"])
@@ -425,6 +442,7 @@ QUERIES: dict[str, Query] = {
     "best_rank_stream": q_best_rank_stream,
     "classify_rankings": q_classify_rankings,
     "class_histogram": q_class_histogram,
+    "class_histogram_bins": q_class_histogram_bins,
     "classified_join": q_classified_join,
     "classified_left_default": q_classified_left_default,
     "date_range_filter": q_date_range_filter,
@@ -446,6 +464,7 @@ QUERIES: dict[str, Query] = {
     "class_distribution": q_class_distribution,
     "hash_split": q_hash_split,
     "exact_split": q_exact_split,
+    "random_split_sizes": q_random_split_sizes,
     "scale_features": q_scale_features,
     "confusion_matrix": q_confusion_matrix,
     "weighted_f1": q_weighted_f1,

@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
+# A wide matrix has one column per label; beyond this use the long form.
+MAX_MATRIX_LABELS = 1000
+
+
 def confusion_counts(pred: DataFrame, label_col: str = "class", pred_col: str = "prediction") -> DataFrame:
     """Rows per (actual, predicted)."""
     return pred.groupBy(
@@ -32,7 +36,13 @@ def confusion_matrix(
     The label list is the distinct actual labels (a handful of values)."""
     counts = confusion_counts(pred, label_col, pred_col)
     if labels is None:
-        labels = [r[0] for r in pred.select(label_col).distinct().orderBy(label_col).collect()]
+        # bounded driver read: at most MAX_MATRIX_LABELS + 1 values
+        got = pred.select(label_col).distinct().orderBy(label_col).limit(MAX_MATRIX_LABELS + 1).collect()
+        if len(got) > MAX_MATRIX_LABELS:
+            raise ValueError(
+                f"more than {MAX_MATRIX_LABELS} labels: use confusion_counts (long form)"
+            )
+        labels = [r[0] for r in got]
     wide = (
         counts.groupBy("actual")
         .pivot("predicted", list(labels))

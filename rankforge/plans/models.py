@@ -79,12 +79,19 @@ def vector_column_values(df: DataFrame, col: str, names: Sequence[str]) -> DataF
     return df.select(*[c for c in df.columns if c != col], *[arr[i].alias(n) for i, n in enumerate(names)])
 
 
+# Above this many distinct labels the label index is joined by shuffle.
+MAX_BROADCAST_LABELS = 100_000
+
+
 def index_labels(df: DataFrame, label_col: str = "class", out: str = "label") -> DataFrame:
     """Labels -> 0..k-1 in ascending order (MLP needs contiguous labels).
-    The label table has one row per distinct label and is broadcast."""
+    The label table has one row per distinct label; it is broadcast after
+    its size is checked."""
     labels = df.select(label_col).distinct().where(F.col(label_col).isNotNull())
     idx = labels.withColumn(out, (F.dense_rank().over(Window.orderBy(label_col)) - 1).cast("double"))
-    return df.join(F.broadcast(idx), label_col, "inner")
+    if labels.count() <= MAX_BROADCAST_LABELS:
+        idx = F.broadcast(idx)
+    return df.join(idx, label_col, "inner")
 
 
 # ---------------------------------------------------------------- estimators

@@ -82,6 +82,13 @@ ORACLE: dict[str, str] = {
     "best_rank_stream": _BASE + "SELECT song, artist, top_rank FROM best",
     "classify_rankings": _BASE + "SELECT song, artist, class FROM classified ORDER BY song, artist",
     "class_histogram": _BASE + "SELECT class, count(*) AS n FROM classified GROUP BY class",
+    "class_histogram_bins": _BASE + """,
+b AS (SELECT CAST(min(class) AS DOUBLE) AS lo, CAST(max(class) AS DOUBLE) AS hi FROM classified),
+w AS (SELECT lo, (hi - lo) / 11 AS width FROM b),
+h AS (
+  SELECT CAST(CASE WHEN w.width = 0 THEN 0 ELSE least(floor((c.class - w.lo) / w.width), 10) END AS INTEGER) AS bin
+  FROM classified c, w WHERE c.class IS NOT NULL)
+SELECT h.bin, count(*) AS n, w.lo + h.bin * w.width AS lower FROM h, w GROUP BY h.bin, w.lo, w.width""",
     "classified_join": _BASE_F + f"""
 SELECT c.song, c.artist, c.class, {_FEATURE_COLS}
 FROM classified c JOIN features_a f ON c.song = f.title AND c.artist = f.artist_name""",
