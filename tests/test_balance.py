@@ -49,3 +49,20 @@ def test_seeded_sample_independent_of_partitioning(spark):
     a = {r.k for r in balance.seeded_sample(df.repartition(3), 50, ["k"]).collect()}
     b = {r.k for r in balance.seeded_sample(df.repartition(7), 50, ["k"]).collect()}
     assert a == b and len(a) == 50
+
+
+def test_candidate_prefilter_falls_back_exactly(spark, monkeypatch):
+    df = _labelled(spark, {0: 400, 1: 250, 2: 30})
+    want = balance.exact_sample_per_class(df, 200, ["song", "artist"])
+    # margin below 1: groups come up short and fall back to every row
+    monkeypatch.setattr(balance, "CANDIDATE_MARGIN", 0.9)
+    monkeypatch.setattr(balance, "CANDIDATE_SLACK", 0)
+    got = balance.exact_sample_per_class(df, 200, ["song", "artist"])
+    assert sorted(r.song for r in got.collect()) == sorted(r.song for r in want.collect())
+    assert _counts(got) == {0: 200, 1: 200, 2: 30}
+    one = balance.seeded_sample(df, 77, ["song", "artist"])
+    monkeypatch.setattr(balance, "CANDIDATE_MARGIN", 1.1)
+    monkeypatch.setattr(balance, "CANDIDATE_SLACK", 100)
+    assert sorted(r.song for r in one.collect()) == sorted(
+        r.song for r in balance.seeded_sample(df, 77, ["song", "artist"]).collect()
+    )
