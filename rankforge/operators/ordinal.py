@@ -13,16 +13,21 @@ rows, which is checked before it is broadcast.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from rankforge.session import default_parallelism, ensure_checkpoint_dir
+from rankforge.session import ensure_checkpoint_dir
 
 # Above this many (partition, group) cells the offsets are joined by shuffle
 # instead of being broadcast.
 BROADCAST_OFFSETS_MAX_ROWS = 200_000
+# Rows per range partition when the caller does not fix the count. The range
+# exchange is user-sized (AQE neither coalesces nor splits it), so it is
+# sized from the row count: 1e12 rows -> 1e6 partitions of ~1M rows.
+ROWS_PER_RANGE_PARTITION = 1_000_000
 
 _PID, _POS = "_rf_pid", "_rf_pos"
 
@@ -46,10 +51,11 @@ def with_ordinal(
     checkpointed to the session's reliable checkpoint directory: both passes
     (counts and numbering) then read the same bytes, even after an executor
     loss. Project the frame to the columns you need before calling.
+    ``num_partitions`` defaults to one range partition per ~1M rows.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    n = num_partitions or default_parallelism(spark)
+    n = num_partitions or max(1, math.ceil(df.count() / ROWS_PER_RANGE_PARTITION))
     group_by = list(group_by)
     keys = _cols(group_by) + _cols(order_by)
 

@@ -139,15 +139,17 @@ TRAIN_ROWS_PER_PARTITION = 200_000
 
 
 def materialize_split(df: DataFrame, rows_per_partition: int = TRAIN_ROWS_PER_PARTITION) -> DataFrame:
-    """Prepare a split for many fits: size its partitions to the row count
-    (only ever fewer partitions, no shuffle) and checkpoint it to the shared
-    checkpoint folder, so every fit and score reads the same rows and an
-    executor loss re-reads files instead of recomputing the lineage."""
-    rows = df.count()
-    target = max(1, math.ceil(rows / rows_per_partition))
-    if target < df.rdd.getNumPartitions():
-        df = df.coalesce(target)
-    return df.checkpoint(eager=True)
+    """Prepare a split for many fits: checkpoint it to the shared checkpoint
+    folder (every fit and score reads the same rows; an executor loss re-reads
+    files instead of recomputing the lineage), then size its read partitions
+    to the row count (only ever fewer partitions, no shuffle)."""
+    # checkpoint first: reading the partition count of a plan with shuffles
+    # would run its stages an extra time under AQE
+    saved = df.checkpoint(eager=True)
+    target = max(1, math.ceil(saved.count() / rows_per_partition))
+    if target < saved.rdd.getNumPartitions():
+        saved = saved.coalesce(target)
+    return saved
 
 
 def sweep(

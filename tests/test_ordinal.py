@@ -10,11 +10,12 @@ def test_global_ordinal_matches_row_number(spark):
     rnd = random.Random(1)
     rows = [(i, rnd.randint(0, 50)) for i in range(3000)]
     df = spark.createDataFrame(rows, "id long, v int").repartition(5)
-    got = with_ordinal(df, ["v", "id"])
     brute = df.withColumn("expect", F.row_number().over(Window.orderBy("v", "id")))
-    bad = got.join(brute, ["id", "v"]).where("ordinal <> expect").count()
-    assert bad == 0 and got.count() == 3000
-    assert sorted(r.ordinal for r in got.collect()) == list(range(1, 3001))
+    for parts in (None, 5):  # sized from the row count (1 here) and forced to 5
+        got = with_ordinal(df, ["v", "id"], num_partitions=parts)
+        bad = got.join(brute, ["id", "v"]).where("ordinal <> expect").count()
+        assert bad == 0 and got.count() == 3000
+        assert sorted(r.ordinal for r in got.collect()) == list(range(1, 3001))
 
 
 def test_grouped_ordinal_with_hot_group(spark):
