@@ -8,8 +8,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from rankforge.functions.scalar import hash_bucket
-from rankforge.operators.balance import sample_rank
+from rankforge.functions.scalar import hash_bucket, hash_order
+from rankforge.operators.ordinal import with_ordinal
 
 # The 60 / 20 / 20 split and its seed.
 DEFAULT_WEIGHTS = (0.6, 0.2, 0.2)
@@ -53,6 +53,60 @@ def exact_split_sizes(n: int, test_size: float = 0.2, val_size: float = 0.25) ->
     return n - n_test - n_val, n_val, n_test
 
 
+# Band around an expected cut: +-(BAND_SIGMAS * sqrt(k) + BAND_SLACK) rows.
+BAND_SIGMAS = 4.0
+BAND_SLACK = 100
+
+
+def _tuple_le(cols: Sequence[F.Column], values: Sequence, types: Sequence[str]) -> F.Column:
+    """Lexicographic ``(c1, c2, ...) <= (v1, v2, ...)`` against literals."""
+    out = F.lit(True)
+    for c, v, t in reversed(list(zip(cols, values, types))):
+        lit = F.lit(v).cast(t)
+        out = (c < lit) | ((c == lit) & out)
+    return out
+
+
+def rank_cuts(pre: DataFrame, ks: Sequence[int], n: int, keys: Sequence[str]) -> list[tuple | None]:
+    """The (hash, key...) tuples at 1-based ranks ``ks`` of the seeded order
+    (``None`` for rank 0). ``pre`` carries ``_rf_h`` (md5 hex).
+
+    Exact distributed selection: hashes are uniform, so the k-th smallest
+    lies near prefix k/n. One aggregate pass counts, for every cut, the rows
+    below a narrow prefix band and inside it; only the bands (~sqrt(k) rows)
+    are ranked, with the distributed ordinal. A band that misses its cut (a
+    many-sigma event) widens to every row. The driver receives one row of
+    counts and one tuple per cut.
+    """
+    p = F.substring("_rf_h", 1, 8)
+    bands = []
+    for k in ks:
+        d = (BAND_SIGMAS * math.sqrt(k) + BAND_SLACK) / max(n, 1)
+        f = k / max(n, 1)
+        lo = f"{int(max(0.0, f - d) * 4294967295.0):08x}"
+        hi = f"{int(min(1.0, f + d) * 4294967295.0):08x}"
+        bands.append((lo, hi))
+    aggs = []
+    for i, (lo, hi) in enumerate(bands):
+        aggs.append(F.count(F.when(p < lo, 1)).alias(f"b{i}"))
+        aggs.append(F.count(F.when(p.between(lo, hi), 1)).alias(f"i{i}"))
+    counts = pre.agg(*aggs).collect()[0] if bands else None
+    cuts: list[tuple | None] = []
+    for i, k in enumerate(ks):
+        if k <= 0:
+            cuts.append(None)
+            continue
+        lo, hi = bands[i]
+        below, inside = counts[f"b{i}"], counts[f"i{i}"]
+        if not (below < k <= below + inside):
+            lo, hi, below = "00000000", "ffffffff", 0
+        band = pre.where(p.between(lo, hi)).select("_rf_h", *keys)
+        ranked = with_ordinal(band, ["_rf_h", *keys], name="_rf_r")
+        row = ranked.where(F.col("_rf_r") == k - below).select("_rf_h", *keys).collect()
+        cuts.append(tuple(row[0]) if row else None)
+    return cuts
+
+
 def exact_split_label(
     df: DataFrame,
     keys: Sequence[str],
@@ -63,18 +117,28 @@ def exact_split_label(
 ) -> DataFrame:
     """M4: exact-size split: rows ranked in the seeded order; the first
     ``ceil(0.2 n)`` are test, the next ``ceil(0.25 (n - n_test))`` are
-    validation, the rest train. ``n`` is a scalar subquery; ranks come from
-    the distributed ordinal, so nothing passes through one task."""
-    n = df.select(F.count(F.lit(1)).cast("double")).scalar()
-    n_test = F.ceil(F.lit(test_size) * n)
-    n_val = F.ceil(F.lit(val_size) * (n - n_test))
-    ranked = sample_rank(df, keys, seed, name="_rf_r")
+    validation, the rest train.
+
+    Only the two cut tuples are computed (:func:`rank_cuts`); each row is then
+    labelled by comparing its own (hash, key) with them -- no shuffle or
+    checkpoint of the data itself, whatever its size."""
+    pre = df.withColumn("_rf_h", hash_order(*keys, seed=seed))
+    n = pre.count()
+    _, n_val, n_test = exact_split_sizes(n, test_size, val_size)
+    cut_test, cut_val = rank_cuts(pre, [n_test, n_test + n_val], n, keys)
+    types = dict(pre.dtypes)
+    cols = [F.col("_rf_h")] + [F.col(k) for k in keys]
+    tys = [types["_rf_h"]] + [types[k] for k in keys]
+
+    def within(cut):
+        return F.lit(False) if cut is None else F.coalesce(_tuple_le(cols, cut, tys), F.lit(False))
+
     label = (
-        F.when(F.col("_rf_r") <= n_test, F.lit("test"))
-        .when(F.col("_rf_r") <= n_test + n_val, F.lit("val"))
+        F.when(within(cut_test), F.lit("test"))
+        .when(within(cut_val), F.lit("val"))
         .otherwise(F.lit("train"))
     )
-    return ranked.withColumn(name, label).drop("_rf_r")
+    return pre.withColumn(name, label).drop("_rf_h")
 
 
 def exact_split(df: DataFrame, keys: Sequence[str], seed: int = 0, **kw) -> list[DataFrame]:

@@ -29,3 +29,14 @@ def test_random_split_covers(spark):
     df = spark.range(0, 1000)
     parts = split.random_split(df)
     assert sum(p.count() for p in parts) == 1000
+
+
+def test_exact_split_band_fallback_is_exact(spark, monkeypatch):
+    df = spark.range(0, 700).withColumnRenamed("id", "k")
+    want = {r.k: r.split for r in split.exact_split_label(df, ["k"]).collect()}
+    monkeypatch.setattr(split, "BAND_SIGMAS", 0.0)
+    monkeypatch.setattr(split, "BAND_SLACK", 0)
+    got = {r.k: r.split for r in split.exact_split_label(df, ["k"]).collect()}
+    assert got == want
+    sizes = {s: list(got.values()).count(s) for s in ("train", "val", "test")}
+    assert (sizes["train"], sizes["val"], sizes["test"]) == split.exact_split_sizes(700)
