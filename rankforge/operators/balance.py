@@ -42,90 +42,76 @@ def sample_rank(
 # a shortfall (about 6 sigma away for n = 300) falls back to the whole class.
 CANDIDATE_MARGIN = 1.1
 CANDIDATE_SLACK = 100
-# Above this many groups the per-group thresholds are joined by shuffle.
-MAX_BROADCAST_GROUPS = 100_000
+# Per-class thresholds travel as a literal map; more classes than this are
+# ranked whole (correct, just without the pre-filter).
+MAX_THRESHOLD_GROUPS = 10_000
 _ALL = "ffffffff"
 
 
-def _prefix_threshold(need: Column, count: Column) -> Column:
-    """Largest 8-hex-digit md5 prefix to keep so that about
-    ``MARGIN * need + SLACK`` of ``count`` uniformly hashed rows pass."""
-    frac = F.least(F.lit(1.0), (need * CANDIDATE_MARGIN + CANDIDATE_SLACK) / count)
-    t = F.floor(frac * F.lit(4294967295.0)).cast("bigint")
-    return F.lpad(F.lower(F.conv(t.cast("string"), 10, 16)), 8, "0")
+def _number(spark, n) -> float:
+    """A count given as a Column (scalar subquery) becomes one number."""
+    if isinstance(n, Column):
+        return spark.range(1).select(n.cast("double").alias("n")).first()["n"]
+    return float(n)
 
 
-def _small(df: DataFrame, known_rows: int | None = None, limit: int = MAX_BROADCAST_GROUPS) -> DataFrame:
-    """Broadcast a per-group table when its size is known or counted to be small."""
-    rows = known_rows if known_rows is not None else df.count()
-    return F.broadcast(df) if rows <= limit else df
+def _prefix_threshold(need: float, count: float) -> str:
+    """Largest 8-hex-digit md5 prefix to keep so that about
+    ``MARGIN * need + SLACK`` of ``count`` uniformly hashed rows pass."""
+    frac = min(1.0, (need * CANDIDATE_MARGIN + CANDIDATE_SLACK) / max(count, 1.0))
+    return f"{int(frac * 4294967295.0):08x}"
 
 
-def _candidates(
-    df: DataFrame,
-    n_col: Column,
-    keys: Sequence[str],
-    seed: int,
-    group_by: Sequence[str],
-    max_groups: int | None = None,
-) -> DataFrame:
+def _candidates(df: DataFrame, n: float, keys: Sequence[str], seed: int, group_by: Sequence[str]) -> DataFrame:
     """Rows that can be among the first ``n`` of their group in the seeded
     order -- an exact superset: sample order is md5 order, so every row
     whose md5 prefix is above the threshold ranks after every row below it.
 
-    Two aggregate passes (group sizes, candidates per group) replace a
-    range shuffle and checkpoint of whole groups by one of ~n rows each.
+    Two aggregate passes (rows per group, candidates per group; one row per
+    group reaches the driver) replace a range shuffle and checkpoint of
+    whole groups by one of ~n rows each. The thresholds are literals, so
+    the filter is row-local.
     """
-    h = F.substring(hash_order(*keys, seed=seed), 1, 8)
-    pre = df.withColumn("_rf_p", h)
-    if not group_by:
-        count = pre.select(F.count(F.lit(1)).cast("double")).scalar()
-        need = F.least(n_col.cast("double"), count)
-        t = _prefix_threshold(need, count)
-        got = pre.where(F.col("_rf_p") <= t).select(F.count(F.lit(1)).cast("double")).scalar()
-        t2 = F.when(got >= need, t).otherwise(F.lit(_ALL))
-        return pre.where(F.col("_rf_p") <= t2).drop("_rf_p")
-
-    g = list(group_by)
-    alias = {c: f"_rf_g{i}" for i, c in enumerate(g)}
-
-    def keyed(frame, cols):
-        return frame.select(*[F.col(c).alias(alias[c]) for c in g], *cols)
-
-    def on(frame):
-        return [pre[c].eqNullSafe(frame[alias[c]]) for c in g]
-
-    sizes = pre.groupBy(*g).agg(F.count(F.lit(1)).cast("double").alias("_rf_cnt"))
-    need = F.least(n_col.cast("double"), F.col("_rf_cnt"))
-    thr = _small(
-        keyed(sizes, [need.alias("_rf_need"), _prefix_threshold(need, F.col("_rf_cnt")).alias("_rf_t")]),
-        max_groups,
-    )
-    first = pre.join(thr, on(thr)).where(F.col("_rf_p") <= F.col("_rf_t"))
-    got = first.groupBy(*[alias[c] for c in g], "_rf_need", "_rf_t").agg(
-        F.count(F.lit(1)).alias("_rf_got")
-    )
-    ok = got.where(F.col("_rf_got") >= F.col("_rf_need")).select(*alias.values(), "_rf_t")
-    # groups without enough candidates keep every row (threshold 'ffffffff')
-    thr2 = _small(
-        thr.join(ok.withColumnRenamed("_rf_t", "_rf_ok"), list(alias.values()), "left")
-        .select(*alias.values(), F.coalesce("_rf_ok", F.lit(_ALL)).alias("_rf_t2")),
-        max_groups,
-    )
-    return (
-        pre.join(thr2, on(thr2))
-        .where(F.col("_rf_p") <= F.col("_rf_t2"))
-        .select(*df.columns)
+    assert len(group_by) <= 1, "one group column"
+    pre = df.withColumn("_rf_p", F.substring(hash_order(*keys, seed=seed), 1, 8))
+    if group_by:
+        g = group_by[0]
+        rows = pre.groupBy(g).agg(F.count(F.lit(1)).alias("c")).limit(MAX_THRESHOLD_GROUPS + 1).collect()
+        if len(rows) > MAX_THRESHOLD_GROUPS:
+            return df
+        gtype = dict(df.dtypes)[g]
+    else:
+        g, gtype = None, None
+        rows = [(None, pre.count())]
+    sizes = {r[0]: float(r[1]) for r in rows}
+    need = {k: min(n, c) for k, c in sizes.items()}
+    thr = {k: _prefix_threshold(need[k], c) for k, c in sizes.items()}
+
+    def keep(t: dict) -> Column:
+        if g is None:
+            return F.col("_rf_p") <= F.lit(t[None])
+        pairs = [x for k, v in t.items() if k is not None for x in (F.lit(k).cast(gtype), F.lit(v))]
+        lookup = F.create_map(*pairs)[F.col(g)] if pairs else F.lit(None).cast("string")
+        bound = F.when(F.col(g).isNull(), F.lit(t.get(None, _ALL))).otherwise(lookup)
+        return F.col("_rf_p") <= bound
+
+    first = pre.where(keep(thr))
+    got = (
+        {r[0]: r[1] for r in first.groupBy(g).count().collect()} if g is not None
+        else {None: first.count()}
     )
+    # groups without enough candidates keep every row
+    thr2 = {k: (t if got.get(k, 0) >= need[k] else _ALL) for k, t in thr.items()}
+    return pre.where(keep(thr2)).drop("_rf_p")
 
 
 def seeded_sample(df: DataFrame, n, keys: Sequence[str], seed: int = 0) -> DataFrame:
     """O3: exactly ``min(n, rows)`` rows without replacement. ``n`` may be a
-    Column (e.g. a scalar subquery), so a data-sized n never meets the driver.
+    Column (a scalar subquery such as a count); it is read as one number.
     Only the md5 candidates of the first n rows are ranked."""
-    n_col = n if isinstance(n, Column) else F.lit(n)
-    cand = _candidates(df, n_col, keys, seed, ())
-    return sample_rank(cand, keys, seed).where(F.col("sample_rank") <= n_col).drop("sample_rank")
+    num = _number(df.sparkSession, n)
+    cand = _candidates(df, num, keys, seed, ())
+    return sample_rank(cand, keys, seed).where(F.col("sample_rank") <= F.lit(num)).drop("sample_rank")
 
 
 def add_default_class_sample(
@@ -167,16 +153,15 @@ def exact_sample_per_class(
     """Per class, the first ``n`` rows of the seeded order (all rows of a
     smaller class). ``labels`` limits sampling to those classes; the others
     pass through whole."""
-    n_col = n if isinstance(n, Column) else F.lit(n)
+    num = _number(df.sparkSession, n)
     if labels is None:
-        cand = _candidates(df, n_col, keys, seed, [label_col])
+        cand = _candidates(df, num, keys, seed, [label_col])
         ranked = sample_rank(cand, keys, seed, group_by=[label_col])
-        return ranked.where(F.col("sample_rank") <= n_col).drop("sample_rank")
+        return ranked.where(F.col("sample_rank") <= F.lit(num)).drop("sample_rank")
     chosen = F.col(label_col).isin(list(labels))
-    # at most one group per listed label: a known bound, no count needed
-    cand = _candidates(df.where(chosen), n_col, keys, seed, [label_col], max_groups=len(set(labels)))
+    cand = _candidates(df.where(chosen), num, keys, seed, [label_col])
     sampled = sample_rank(cand, keys, seed, group_by=[label_col])
-    sampled = sampled.where(F.col("sample_rank") <= n_col).drop("sample_rank")
+    sampled = sampled.where(F.col("sample_rank") <= F.lit(num)).drop("sample_rank")
     rest = df.where(~chosen | F.col(label_col).isNull())
     return rest.unionByName(sampled)
 
