@@ -29,6 +29,10 @@ from rankforge.schemas import CHART_RAW
 from rankforge.session import ensure_checkpoint_dir
 
 
+_PROVIDER_KEY = "spark.sql.streaming.stateStore.providerClass"
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def chart_stream(
     spark: SparkSession,
     path: str,
@@ -59,10 +63,14 @@ def run_best_rank(
     keys: Sequence[str] = KEYS,
     available_now: bool = True,
     processing_time: str | None = None,
+    use_rocksdb: bool = True,
 ):
     """Start (and with ``available_now`` run to completion) the incremental
     best-rank query. Returns (query, out_path)."""
     spark = chart.sparkSession
+    if use_rocksdb and not spark.conf.get(_PROVIDER_KEY, None):
+        # one state row per song: keep it off the JVM heap
+        spark.conf.set(_PROVIDER_KEY, _ROCKSDB)
     base = ensure_checkpoint_dir(spark).rstrip("/") + f"/best_rank_stream-{uuid.uuid4().hex}"
     out_path = out_path or f"{base}/table"
     checkpoint = checkpoint or f"{base}/checkpoint"
