@@ -29,3 +29,18 @@ def write_parquet(df: DataFrame, path: str, partition_by=None, mode: str = "over
 def write_shards(df: DataFrame, path: str) -> None:
     """One folder per ``shard_id`` value."""
     write_parquet(df, path, partition_by="shard_id")
+
+
+def write_bucketed(df: DataFrame, table: str, keys, buckets: int, mode: str = "overwrite") -> None:
+    """A catalog table bucketed and sorted on its join keys. Later joins and
+    aggregations on those keys (with a matching partition count) read it
+    without shuffling it -- e.g. the feature table, joined on
+    (song, artist) by several stages."""
+    keys = [keys] if isinstance(keys, str) else list(keys)
+    (
+        df.write.mode(mode)
+        .bucketBy(buckets, *keys)
+        .sortBy(*keys)
+        .format("parquet")
+        .saveAsTable(table)
+    )

@@ -18,7 +18,11 @@ def spark():
     builder = SparkSession.builder.master("local[*]").appName("rankforge-tests")
     for k, v in DEFAULT_CONF.items():
         builder = builder.config(k, v)
-    s = builder.config("spark.sql.shuffle.partitions", "8").getOrCreate()
+    s = (
+        builder.config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="rankforge-wh-"))
+        .getOrCreate()
+    )
     s.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(s)
     yield s

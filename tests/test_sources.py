@@ -78,3 +78,26 @@ def test_read_lines_keeps_file_order(spark, tmpdir_path):
     ranked = with_ordinal(lines, ["file", "block", "row_in_task"])
     got = [r.value.split(",")[0] for r in ranked.orderBy("ordinal").collect()]
     assert got == [f"a{i}" for i in range(50)] + [f"b{i}" for i in range(30)]
+
+
+def test_bucketed_feature_table_is_not_shuffled(spark):
+    from rankforge.operators import chart, enrich
+
+    feats = spark.range(0, 2000).selectExpr(
+        "CAST(id % 500 AS STRING) AS title", "CAST(id % 3 AS STRING) AS artist_name", "CAST(id AS INT) AS year"
+    )
+    sinks.write_bucketed(feats, "features_bucketed", ["title", "artist_name"], 8)
+    chart_rows = spark.range(0, 3000).selectExpr(
+        "CAST(id % 700 AS STRING) AS song", "CAST(id % 3 AS STRING) AS artist", "CAST(id % 90 + 1 AS INT) AS rank"
+    )
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        joined = enrich.join_features(
+            chart.classify(chart.best_rank(chart_rows), sort=False), spark.table("features_bucketed")
+        )
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert joined.count() == 2000
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    # one exchange: the chart aggregate; the bucketed side is read in place
+    assert plan.count("Exchange hashpartitioning") == 1, plan
