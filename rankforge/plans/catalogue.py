@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 

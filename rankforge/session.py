@@ -72,8 +72,3 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         os.makedirs(configured, exist_ok=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
-
-
-def default_parallelism(spark: SparkSession) -> int:
-    """Number of partitions used for explicit range exchanges."""
-    return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
