@@ -146,10 +146,8 @@ def materialize_split(df: DataFrame, rows_per_partition: int = TRAIN_ROWS_PER_PA
     # checkpoint first: reading the partition count of a plan with shuffles
     # would run its stages an extra time under AQE
     saved = df.checkpoint(eager=True)
-    target = max(1, math.ceil(saved.count() / rows_per_partition))
-    if target < saved.rdd.getNumPartitions():
-        saved = saved.coalesce(target)
-    return saved
+    # coalesce never raises the partition count, so this only merges
+    return saved.coalesce(max(1, math.ceil(saved.count() / rows_per_partition)))
 
 
 def sweep(
