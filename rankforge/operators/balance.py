@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from rankforge.functions.scalar import binary_relabel_expr, hash_order
 from rankforge.operators.chart import DEFAULT_CLASS
-from rankforge.operators.ordinal import with_ordinal
+from rankforge.operators.ordinal import ROWS_PER_RANGE_PARTITION, with_ordinal
 
 
 def _key_cols(keys: Sequence) -> list[Column]:
@@ -84,6 +84,8 @@ def _candidates(df: DataFrame, n: float, keys: Sequence[str], seed: int, group_b
         g, gtype = None, None
         rows = [(None, pre.count())]
     sizes = {r[0]: float(r[1]) for r in rows}
+    if sum(sizes.values()) <= ROWS_PER_RANGE_PARTITION:
+        return df  # small enough to rank whole (one bounded window)
     need = {k: min(n, c) for k, c in sizes.items()}
     thr = {k: _prefix_threshold(need[k], c) for k, c in sizes.items()}
 

@@ -51,12 +51,21 @@ def with_ordinal(
     checkpointed to the session's reliable checkpoint directory: both passes
     (counts and numbering) then read the same bytes, even after an executor
     loss. Project the frame to the columns you need before calling.
-    ``num_partitions`` defaults to one range partition per ~1M rows.
+    ``num_partitions`` defaults to one range partition per ~1M rows; an
+    input of at most that many rows is numbered by a plain window instead.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    n = num_partitions or max(1, math.ceil(df.count() / ROWS_PER_RANGE_PARTITION))
     group_by = list(group_by)
+    if num_partitions is None:
+        rows = df.count()
+        if rows <= ROWS_PER_RANGE_PARTITION:
+            # Small input (size checked): a window is bounded by `rows` even
+            # if every row sits in one group, and needs no checkpoint.
+            w = Window.partitionBy(*group_by).orderBy(*_cols(order_by))
+            return df.withColumn(name, F.row_number().over(w).cast("bigint"))
+        num_partitions = math.ceil(rows / ROWS_PER_RANGE_PARTITION)
+    ensure_checkpoint_dir(spark)
+    n = num_partitions
     keys = _cols(group_by) + _cols(order_by)
 
     ranged = (

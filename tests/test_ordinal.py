@@ -11,7 +11,7 @@ def test_global_ordinal_matches_row_number(spark):
     rows = [(i, rnd.randint(0, 50)) for i in range(3000)]
     df = spark.createDataFrame(rows, "id long, v int").repartition(5)
     brute = df.withColumn("expect", F.row_number().over(Window.orderBy("v", "id")))
-    for parts in (None, 5):  # sized from the row count (1 here) and forced to 5
+    for parts in (None, 5):  # window path (small input) and range path with 5 partitions
         got = with_ordinal(df, ["v", "id"], num_partitions=parts)
         bad = got.join(brute, ["id", "v"]).where("ordinal <> expect").count()
         assert bad == 0 and got.count() == 3000
@@ -35,3 +35,13 @@ def test_null_group_and_chunks(spark):
     assert got == {0: 1, 1: 2, 2: 3, 3: 1, 4: 2, 5: 3, 6: 4}
     chunks = {r.id: r.chunk_id for r in with_chunk_id(spark.range(0, 2501), ["id"], 1000).collect()}
     assert chunks[0] == 0 and chunks[999] == 0 and chunks[1000] == 1 and chunks[2500] == 2
+
+
+def test_range_path_sized_from_row_count(spark, monkeypatch):
+    from rankforge.operators import ordinal
+
+    monkeypatch.setattr(ordinal, "ROWS_PER_RANGE_PARTITION", 700)  # 3000 rows -> 5 partitions
+    df = spark.range(0, 3000).selectExpr("id", "CAST(id % 4 AS STRING) AS g", "md5(CAST(id AS STRING)) AS h")
+    got = ordinal.with_ordinal(df, ["h", "id"], group_by=["g"])
+    brute = df.withColumn("expect", F.row_number().over(Window.partitionBy("g").orderBy("h", "id")))
+    assert got.join(brute, ["id", "g", "h"]).where("ordinal <> expect").count() == 0
