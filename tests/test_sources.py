@@ -101,3 +101,12 @@ def test_bucketed_feature_table_is_not_shuffled(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     # one exchange: the chart aggregate; the bucketed side is read in place
     assert plan.count("Exchange hashpartitioning") == 1, plan
+
+
+def test_inferred_and_quote_escaped_csv(spark, tmpdir_path):
+    p = os.path.join(tmpdir_path, "feat.csv")
+    _write(p, 'song,artist,class,energy\n"He said ""hi""",A,3,0.5\nB,C,10,1.25\n')
+    inferred = src.read_csv_typed(spark, p, infer=True, quote_escape=True)
+    types = dict(inferred.dtypes)
+    assert types["class"] == "int" and types["energy"] == "double"
+    assert sorted(r.song for r in inferred.collect()) == ["B", 'He said "hi"']
