@@ -72,3 +72,25 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         os.makedirs(configured, exist_ok=True)
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured
+
+
+def scale_conf(input_bytes: int, target_partition_bytes: int = 256 << 20) -> dict[str, str]:
+    """Settings for a job reading ``input_bytes``: scan splits and shuffle
+    partitions of about ``target_partition_bytes`` so every task fits in
+    executor memory without spilling much; AQE then merges small partitions
+    and splits skewed ones around the same size. For 100 TB this gives
+    ~400k initial shuffle partitions."""
+    partitions = max(200, -(-input_bytes // target_partition_bytes))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(target_partition_bytes),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(target_partition_bytes),
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(4 * target_partition_bytes),
+    }
+
+
+def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
+    """Set runtime SQL settings on the session."""
+    for key, value in conf.items():
+        spark.conf.set(key, value)

@@ -110,3 +110,11 @@ def test_inferred_and_quote_escaped_csv(spark, tmpdir_path):
     types = dict(inferred.dtypes)
     assert types["class"] == "int" and types["energy"] == "double"
     assert sorted(r.song for r in inferred.collect()) == ["B", 'He said "hi"']
+
+
+def test_scale_conf_sizes_partitions():
+    from rankforge.session import scale_conf
+
+    big = scale_conf(100 * 10**12)
+    assert int(big["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
+    assert scale_conf(10**6)["spark.sql.shuffle.partitions"] == "200"
