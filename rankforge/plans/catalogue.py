@@ -383,6 +383,21 @@ def q_binary_rf_sweep(spark, sf):
     return models.sweep("rf", "maxDepth", [1, 5, 10, 20, 50, 100], train, val, test)
 
 
+def q_binary_rf_trees_sweep(spark, sf):
+    """M8: tree-count sweep on the binary data."""
+    train, val, test = _splits(spark, sf, _binary_vectors(spark, sf))
+    return models.sweep("rf", "numTrees", models.NUM_TREES, train, val, test)
+
+
+def q_binary_mlp_width_sweep(spark, sf):
+    """M9: hidden-width sweep on the binary data (one hidden layer)."""
+    train, val, test = _splits(spark, sf, _binary_vectors(spark, sf))
+    return models.sweep(
+        "mlp", "layers", models.HIDDEN_WIDTHS, train, val, test,
+        make_params=lambda h: {"layers": models.mlp_layers(64, h, 2)},
+    )
+
+
 def q_binary_mlp_rate_sweep(spark, sf):
     """M9: learning-rate sweep, gradient descent with that step size."""
     train, val, test = _splits(spark, sf, _binary_vectors(spark, sf))
@@ -478,6 +493,8 @@ QUERIES: dict[str, Query] = {
     "mlp_iter_sweep": q_mlp_iter_sweep,
     "svc_iter_sweep": q_svc_iter_sweep,
     "binary_rf_sweep": q_binary_rf_sweep,
+    "binary_rf_trees_sweep": q_binary_rf_trees_sweep,
+    "binary_mlp_width_sweep": q_binary_mlp_width_sweep,
     "binary_mlp_rate_sweep": q_binary_mlp_rate_sweep,
     "lr_cv": q_lr_cv,
     "rf_cv": q_rf_cv,

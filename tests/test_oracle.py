@@ -22,6 +22,7 @@ def test_every_query_has_callable_and_oracle_keys_exist():
     assert rows_only == {
         "lr_sweep", "rf_sweep", "mlp_sweep", "svc_sweep", "lr_iter_sweep", "rf_trees_sweep",
         "mlp_iter_sweep", "svc_iter_sweep", "binary_rf_sweep", "binary_mlp_rate_sweep",
+        "binary_rf_trees_sweep", "binary_mlp_width_sweep",
         "lr_cv", "rf_cv", "mlp_cv", "cv_confusion", "family_comparison", "random_split_sizes",
     }
 
