@@ -43,7 +43,7 @@ def explode_lines(
     return texts.select(
         *keep,
         F.posexplode(F.split(F.col(text_col), "\n", -1)).alias("_rf_i", line_col),
-    ).select(*keep, (F.col("_rf_i") + 1).alias("line_no"), line_col)
+    ).select(*keep, (F.col("_rf_i") + 1).cast("bigint").alias("line_no"), line_col)
 
 
 def dedupe_first(
