@@ -21,7 +21,8 @@ from rankforge.session import DEFAULT_CONF, ensure_checkpoint_dir  # noqa: E402
 
 # Headline set: every oracle-checked query plus one model sweep.
 HEADLINE = [
-    "best_rank", "classify_rankings", "class_histogram", "classified_join",
+    "best_rank", "best_rank_stream", "classify_rankings", "class_histogram",
+    "class_histogram_bins", "build_enriched", "classified_join",
     "classified_left_default", "date_range_filter", "fallback_lookup",
     "json_field", "drop_unidentified", "batch_enrich", "row_aligned_concat",
     "clean_text", "repair_lines", "dedupe_first", "shard_assign",
