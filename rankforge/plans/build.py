@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from rankforge.operators import balance, clean, enrich, shards
 from rankforge.operators.chart import DEFAULT_CLASS
+from rankforge.session import ensure_checkpoint_dir
 
 # The cap applied at the end of the original build.
 CAP_LABELS = (0, 10)
@@ -88,7 +89,12 @@ def build_enriched(
         identified = shards.run_sharded_stage(sharded, identify, f"{work_dir}/identified")
         enriched = shards.run_sharded_stage(identified, enrich_stage, f"{work_dir}/enriched").drop("shard_id")
     else:
-        enriched = enrich_stage(identify(deduped))
+        # Cut the lineage after the two expensive stages: the counting passes
+        # that follow (batch numbering, class sizes, sample ranks) then read
+        # files instead of recomputing lookup and enrichment.
+        ensure_checkpoint_dir(raw_lines.sparkSession)
+        identified = identify(deduped).checkpoint(eager=True)
+        enriched = enrich_stage(identified).checkpoint(eager=True)
 
     capped = balance.cap_classes(enriched, cap_labels, cap_n, keys=["song", "artist"], seed=seed)
     return capped.drop("_rf_ord")
