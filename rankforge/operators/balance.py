@@ -107,13 +107,21 @@ def _candidates(df: DataFrame, n: float, keys: Sequence[str], seed: int, group_b
     return pre.where(keep(thr2)).drop("_rf_p")
 
 
-def seeded_sample(df: DataFrame, n, keys: Sequence[str], seed: int = 0) -> DataFrame:
-    """O3: exactly ``min(n, rows)`` rows without replacement. ``n`` may be a
-    Column (a scalar subquery such as a count); it is read as one number.
-    Only the md5 candidates of the first n rows are ranked."""
+def seeded_sample_ranked(
+    df: DataFrame, n, keys: Sequence[str], seed: int = 0, name: str = "sample_rank"
+) -> DataFrame:
+    """O3 with the rank kept: the first ``min(n, rows)`` rows of the seeded
+    order and their 1-based position in it. ``n`` may be a Column (a scalar
+    subquery such as a count); it is read as one number. Only the md5
+    candidates of the first n rows are ranked."""
     num = _number(df.sparkSession, n)
     cand = _candidates(df, num, keys, seed, ())
-    return sample_rank(cand, keys, seed).where(F.col("sample_rank") <= F.lit(num)).drop("sample_rank")
+    return sample_rank(cand, keys, seed, name=name).where(F.col(name) <= F.lit(num))
+
+
+def seeded_sample(df: DataFrame, n, keys: Sequence[str], seed: int = 0) -> DataFrame:
+    """O3: exactly ``min(n, rows)`` rows without replacement."""
+    return seeded_sample_ranked(df, n, keys, seed).drop("sample_rank")
 
 
 def add_default_class_sample(

@@ -51,10 +51,17 @@ def build_enriched(
     cap_n: int = CAP_N,
     seed: int = 0,
     work_dir: str | None = None,
+    dedupe_scope: str = "global",
+    shard_rows: int = shards.SHARD_ROWS,
 ) -> DataFrame:
     """The whole chain. With ``work_dir`` (a shared folder) the identified
     and the enriched rows are written per 1,000-row shard; a rerun skips
-    finished shards (S11/S12)."""
+    finished shards (S11/S12).
+
+    ``dedupe_scope="global"`` keeps the first row of every (song, artist)
+    overall; ``"shard"`` dedupes inside each 1,000-row shard of the input
+    order, as the original did, so copies in different shards survive.
+    """
     chart_rows = repaired_chart(raw_lines, ordinal, header)
     title, artist = unranked_cols
 
@@ -62,8 +69,10 @@ def build_enriched(
     lines = chart_rows.select(
         (F.count(F.lit(1)) + F.lit(1 if header else 0)).alias("n")
     ).scalar()
-    picked = balance.sample_rank(unranked, [title, artist], seed, name="_rf_s")
-    extra = picked.where(F.col("_rf_s") <= F.floor(lines / F.lit(10))).select(
+    picked = balance.seeded_sample_ranked(
+        unranked, F.floor(lines / F.lit(10)), [title, artist], seed, name="_rf_s"
+    )
+    extra = picked.select(
         F.struct(F.lit(1).alias("part"), F.col("_rf_s").cast("long").alias("pos")).alias("_rf_ord"),
         F.col(title).alias("song"), F.col(artist).alias("artist"),
         F.lit(DEFAULT_CLASS).cast("bigint").alias("class"),
@@ -74,7 +83,17 @@ def build_enriched(
     ).unionByName(extra)
 
     # First row per key in input order (pre-aggregated map-side).
-    deduped = clean.dedupe_first(rows, ["song", "artist"], "_rf_ord")
+    if dedupe_scope == "global":
+        deduped = clean.dedupe_first(rows, ["song", "artist"], "_rf_ord")
+    elif dedupe_scope == "shard":
+        in_shards = shards.assign_shards(rows, ["_rf_ord"], shard_rows).withColumnRenamed(
+            "shard_id", "_rf_in_shard"
+        )
+        deduped = clean.dedupe_first(in_shards, ["_rf_in_shard", "song", "artist"], "_rf_ord").drop(
+            "_rf_in_shard"
+        )
+    else:
+        raise ValueError(f"unknown dedupe_scope {dedupe_scope!r}")
 
     def identify(df: DataFrame) -> DataFrame:
         return clean.drop_unidentified(enrich.fallback_lookup(df, catalogue))
@@ -85,7 +104,7 @@ def build_enriched(
         return enrich.batch_enrich(df, audio, order_by=["_rf_ord"], group_by=per)
 
     if work_dir:
-        sharded = shards.assign_shards(deduped, ["_rf_ord"])
+        sharded = shards.assign_shards(deduped, ["_rf_ord"], shard_rows)
         identified = shards.run_sharded_stage(sharded, identify, f"{work_dir}/identified")
         enriched = shards.run_sharded_stage(identified, enrich_stage, f"{work_dir}/enriched").drop("shard_id")
     else:

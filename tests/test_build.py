@@ -48,3 +48,13 @@ def test_build_enriched_resumes_from_shards(spark, tmpdir_path):
         map(tuple, again.drop("batch_id").collect())
     )
     assert os.path.isdir(os.path.join(work, "enriched", "shard_id=0"))
+
+
+def test_dedupe_scope_shard_keeps_copies_across_shards(spark):
+    lines, unranked, catalogue, audio = _inputs(spark)
+    # two copies of the same song, lines 2 and 3; shards of 2 rows separate them
+    glob = build.build_enriched(lines, unranked, catalogue, audio, dedupe_scope="global", shard_rows=2)
+    per = build.build_enriched(lines, unranked, catalogue, audio, dedupe_scope="shard", shard_rows=2)
+    key = ("Hey Jude", "The Beatles")
+    assert sum(1 for r in glob.collect() if (r.song, r.artist) == key) == 1
+    assert sum(1 for r in per.collect() if (r.song, r.artist) == key) == 2
