@@ -98,9 +98,14 @@ def restrict_to_years_of(
     date_col: str = "date",
 ) -> DataFrame:
     """Keep chart rows whose year lies in [min, max] of the reference
-    table's known years (year 0 means unknown). The bounds are scalar
-    subqueries, evaluated once by Spark and never collected by us."""
-    known = reference.where(F.col(year_col) > 0)
-    lo = known.select(F.min(year_col)).scalar()
-    hi = known.select(F.max(year_col)).scalar()
-    return chart.where(F.year(date_col).between(lo, hi))
+    table's known years (year 0 means unknown).
+
+    One aggregate pass yields the two years; the filter is written as a date
+    range (``lo-01-01 <= date < (hi+1)-01-01``) rather than ``year(date)``, so
+    it reaches the Parquet scan as a pushed filter. No known year: no rows."""
+    lo, hi = reference.where(F.col(year_col) > 0).agg(F.min(year_col), F.max(year_col)).first()
+    if lo is None:
+        return chart.where(F.lit(False))
+    start = F.lit(f"{int(lo):04d}-01-01").cast("date")
+    stop = F.lit(f"{int(hi) + 1:04d}-01-01").cast("date")
+    return chart.where((F.col(date_col) >= start) & (F.col(date_col) < stop))

@@ -113,8 +113,9 @@ def class_histogram(
     if bins is None:
         out = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     else:
-        lo = df.select(F.min(col).cast("double")).scalar()
-        hi = df.select(F.max(col).cast("double")).scalar()
+        # one aggregate pass; the two bounds become literals
+        lo_v, hi_v = df.agg(F.min(col).cast("double"), F.max(col).cast("double")).first()
+        lo, hi = F.lit(lo_v).cast("double"), F.lit(hi_v).cast("double")
         width = (hi - lo) / F.lit(bins)
         b = F.when(width == 0, F.lit(0)).otherwise(
             F.least(F.floor((F.col(col) - lo) / width), F.lit(bins - 1))
