@@ -78,3 +78,16 @@ def test_best_rank_plan_pushes_date_filter(spark, tmpdir_path):
     plan = chart.best_rank(spark.read.parquet(path), before="2021")._jdf.queryExecution().executedPlan().toString()
     assert "PushedFilters: [IsNotNull(date), LessThan(date,2021-01-01)]" in plan
     assert F is not None
+
+
+def test_year_range_reaches_the_scan(spark, tmpdir_path):
+    path = f"{tmpdir_path}/chart_years"
+    spark.createDataFrame(
+        [(dt.date(y, 3, 1), 1, "s", "a") for y in (1990, 1996, 2003)],
+        "date date, rank int, song string, artist string",
+    ).write.parquet(path)
+    ref = spark.createDataFrame([(0,), (1995,), (1999,)], "year int")
+    out = chart.restrict_to_years_of(spark.read.parquet(path), ref)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(date,1995-01-01)" in plan and "LessThan(date,2000-01-01)" in plan
+    assert [r.date.year for r in out.collect()] == [1996]
