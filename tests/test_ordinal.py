@@ -45,3 +45,25 @@ def test_range_path_sized_from_row_count(spark, monkeypatch):
     got = ordinal.with_ordinal(df, ["h", "id"], group_by=["g"])
     brute = df.withColumn("expect", F.row_number().over(Window.partitionBy("g").orderBy("h", "id")))
     assert got.join(brute, ["id", "g", "h"]).where("ordinal <> expect").count() == 0
+
+
+def test_offsets_joined_by_shuffle_above_the_broadcast_bound(spark, monkeypatch):
+    from rankforge.operators import ordinal
+
+    monkeypatch.setattr(ordinal, "BROADCAST_OFFSETS_MAX_ROWS", 0)
+    # no hint from us, and no automatic broadcast from the planner either
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    try:
+        df = spark.range(0, 2000).selectExpr("id", "CAST(id % 3 AS STRING) AS g")
+        for groups in ((), ("g",)):
+            got = ordinal.with_ordinal(df, ["id"], group_by=groups, num_partitions=4)
+            got.count()
+            plan = got._jdf.queryExecution().executedPlan().toString()
+            assert "BroadcastExchange" not in plan
+            w = Window.partitionBy(*groups).orderBy("id") if groups else Window.orderBy("id")
+            brute = df.withColumn("expect", F.row_number().over(w))
+            assert got.join(brute, ["id", "g"]).where("ordinal <> expect").count() == 0
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.autoBroadcastJoinThreshold")
