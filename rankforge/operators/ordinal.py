@@ -86,7 +86,7 @@ def with_ordinal(
     gnames = [f"_rf_g{i}" for i in range(len(group_by))]
     offsets = cells.select(
         F.col(_PID).alias("_rf_opid"),
-        *[F.col(g).alias(n) for g, n in zip(group_by, gnames)],
+        *[F.col(g).alias(a) for g, a in zip(group_by, gnames)],
         "_rf_first",
         F.coalesce(F.sum("_rf_n").over(before), F.lit(0)).alias("_rf_before"),
     )
@@ -97,7 +97,7 @@ def with_ordinal(
     elif group_by and offsets.count() <= BROADCAST_OFFSETS_MAX_ROWS:
         offsets = F.broadcast(offsets)
     cond = [F.col(_PID) == F.col("_rf_opid")] + [
-        F.col(g).eqNullSafe(F.col(n)) for g, n in zip(group_by, gnames)
+        F.col(g).eqNullSafe(F.col(a)) for g, a in zip(group_by, gnames)
     ]
     position = F.col("_rf_before") + (F.col(_POS) - F.col("_rf_first")) + F.lit(1)
     return ranged.join(offsets, cond, "inner").select(*df.columns, position.alias(name))
