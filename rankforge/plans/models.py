@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.plans.evaluate import mark_best
+from rankforge.session import ensure_checkpoint_dir
 
 # Sweep lists of the original notebooks.
 REG_PARAMS = [1e-5, 1e-4, 1e-3, 1e-2, 0.1, 1.0]
@@ -145,6 +146,7 @@ def materialize_split(df: DataFrame, rows_per_partition: int = TRAIN_ROWS_PER_PA
     to the row count (only ever fewer partitions, no shuffle)."""
     # checkpoint first: reading the partition count of a plan with shuffles
     # would run its stages an extra time under AQE
+    ensure_checkpoint_dir(df.sparkSession)
     saved = df.checkpoint(eager=True)
     # coalesce never raises the partition count, so this only merges
     return saved.coalesce(max(1, math.ceil(saved.count() / rows_per_partition)))
