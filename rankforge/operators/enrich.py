@@ -79,6 +79,11 @@ def top_hit(
     return keyed.groupBy(*names).agg(F.min_by("_rf_hit", "_rf_rank").alias("hit"))
 
 
+# Up to this many songs, their keys are broadcast to pre-filter the catalogue
+# (two small key tables of at most this many rows each).
+PREFILTER_MAX_SONGS = 2_000_000
+
+
 def fallback_lookup(
     songs: DataFrame,
     catalogue: DataFrame,
@@ -95,17 +100,29 @@ def fallback_lookup(
 
     Both tiers are reduced to one row per match key before joining, so the
     joins never fan out; they are left joins AQE can broadcast or shuffle.
+    When the songs are few (counted: at most ``PREFILTER_MAX_SONGS``), their
+    distinct keys are broadcast and semi-join each tier's catalogue rows in
+    the scan stage, so only catalogue entries some song asks for reach the
+    aggregation; otherwise the catalogue is aggregated first.
     """
     rank_by = [(-F.col("popularity")).alias("p"), F.col("id").alias("i")]
-    tier1 = top_hit(
-        catalogue, ["title", "artist"], rank_by, key_names=["_rf_t", "_rf_a"]
-    ).select("_rf_t", "_rf_a", F.col("hit").alias("_rf_h1"))
-    tier2 = top_hit(
-        catalogue, [normalize_text(free_text_query("title", "artist"))], rank_by,
-        key_names=["_rf_q"],
-    ).select("_rf_q", F.col("hit").alias("_rf_h2"))
-
     s = songs.withColumn("_rf_q", normalize_text(free_text_query(song_col, artist_col)))
+    cat1 = catalogue.select("id", "popularity", F.col("title").alias("_rf_t"), F.col("artist").alias("_rf_a"))
+    cat2 = catalogue.select(
+        "id", "popularity", normalize_text(free_text_query("title", "artist")).alias("_rf_q")
+    )
+    if s.count() <= PREFILTER_MAX_SONGS:
+        k1 = s.select(F.col(song_col).alias("_rf_t"), F.col(artist_col).alias("_rf_a")).distinct()
+        k2 = s.select("_rf_q").distinct()
+        cat1 = cat1.join(F.broadcast(k1), ["_rf_t", "_rf_a"], "left_semi")
+        cat2 = cat2.join(F.broadcast(k2), "_rf_q", "left_semi")
+    tier1 = top_hit(cat1, ["_rf_t", "_rf_a"], rank_by, key_names=["_rf_t", "_rf_a"]).select(
+        "_rf_t", "_rf_a", F.col("hit").alias("_rf_h1")
+    )
+    tier2 = top_hit(cat2, ["_rf_q"], rank_by, key_names=["_rf_q"]).select(
+        "_rf_q", F.col("hit").alias("_rf_h2")
+    )
+
     j = s.join(
         tier1, (s[song_col] == tier1["_rf_t"]) & (s[artist_col] == tier1["_rf_a"]), "left"
     ).join(tier2, "_rf_q", "left")

@@ -4,7 +4,7 @@ from rankforge.operators import enrich
 from rankforge.schemas import SEARCH_RESPONSE
 
 
-def test_fallback_lookup_tiers(spark):
+def test_fallback_lookup_tiers(spark, monkeypatch):
     songs = spark.createDataFrame(
         [("Hello", "Adele", 1), ("Yesterday", "The Beatles", 2), ("Nothing", "Nobody", 3), ("Two", "Hits", 4)],
         "song string, artist string, class bigint",
@@ -19,8 +19,13 @@ def test_fallback_lookup_tiers(spark):
         ],
         "id string, artist string, title string, popularity int",
     )
+    want = {"Hello": ("id1", 50), "Yesterday": ("id2", 70), "Nothing": ("", 0), "Two": ("id4", 40)}
     got = {r.song: (r.track_id, r.popularity) for r in enrich.fallback_lookup(songs, cat).collect()}
-    assert got == {"Hello": ("id1", 50), "Yesterday": ("id2", 70), "Nothing": ("", 0), "Two": ("id4", 40)}
+    assert got == want
+    # many songs: no key pre-filter, the catalogue is aggregated first -- same answer
+    monkeypatch.setattr(enrich, "PREFILTER_MAX_SONGS", 0)
+    got = {r.song: (r.track_id, r.popularity) for r in enrich.fallback_lookup(songs, cat).collect()}
+    assert got == want
 
 
 def test_join_features_fan_out_and_order(spark):
