@@ -162,10 +162,17 @@ def batch_enrich(
     The reference batches because its service takes 100 ids per call; here
     the batch id is kept as a column (the request unit) and the join does
     the fetch. A feature table with repeated ids is reduced first.
-    ``group_by`` restarts the batches per group (e.g. per shard).
+    ``group_by`` restarts the batches per group (e.g. per shard). When the
+    identified rows are few (counted), their ids are broadcast and semi-join
+    the feature records before the per-id reduction.
     """
     batched = with_chunk_id(identified, order_by, batch_size, name="batch_id", group_by=group_by)
-    feats = latest_per_id(features.select("id", *feature_cols))
+    feats = features.select("id", *feature_cols)
+    if identified.count() <= PREFILTER_MAX_SONGS:
+        # only records some identified row asks for reach the per-id reduction
+        ids = identified.select(F.col(id_col).alias("id")).distinct()
+        feats = feats.join(F.broadcast(ids), "id", "left_semi")
+    feats = latest_per_id(feats)
     out = batched.join(feats, batched[id_col] == feats["id"], "inner")
     return out.select(
         *[batched[c] for c in identified.columns], "batch_id", feats["id"],

@@ -39,7 +39,7 @@ def test_join_features_fan_out_and_order(spark):
     assert sorted(r.year for r in out.collect()) == [1990, 1991]
 
 
-def test_batch_enrich_drops_missing_and_keeps_both_ids(spark):
+def test_batch_enrich_drops_missing_and_keeps_both_ids(spark, monkeypatch):
     ident = spark.createDataFrame(
         [(f"s{i:03d}", "a", 1, f"t{i}", 5) for i in range(250)],
         "song string, artist string, class bigint, track_id string, popularity int",
@@ -54,6 +54,10 @@ def test_batch_enrich_drops_missing_and_keeps_both_ids(spark):
     assert all(r.track_id == r.id for r in rows)
     batches = {r.song: r.batch_id for r in rows}
     assert batches["s001"] == 0 and batches["s199"] == 1 and batches["s249"] == 2
+    # many identified rows: no id pre-filter -- same rows
+    monkeypatch.setattr(enrich, "PREFILTER_MAX_SONGS", 0)
+    again = enrich.batch_enrich(ident, feats, ["song"], feature_cols=["danceability", "key"]).collect()
+    assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
 
 
 def test_row_aligned_concat_missing_row(spark):
