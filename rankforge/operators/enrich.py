@@ -79,9 +79,20 @@ def top_hit(
     return keyed.groupBy(*names).agg(F.min_by("_rf_hit", "_rf_rank").alias("hit"))
 
 
-# Up to this many songs, their keys are broadcast to pre-filter the catalogue
-# (two small key tables of at most this many rows each).
+# Up to this many songs, their keys may be broadcast to pre-filter the
+# catalogue (key tables of at most this many rows each) -- worth it when the
+# catalogue has at least PREFILTER_MIN_RATIO times as many rows.
 PREFILTER_MAX_SONGS = 2_000_000
+PREFILTER_MIN_RATIO = 10
+
+
+def _worth_prefilter(small_rows: int, big: DataFrame) -> bool:
+    """Semi-join ``big`` with broadcast keys of a small side only when the
+    small side is bounded and ``big`` is much larger (one count of ``big``,
+    cheap next to aggregating it)."""
+    if small_rows > PREFILTER_MAX_SONGS:
+        return False
+    return big.count() >= PREFILTER_MIN_RATIO * max(small_rows, 1)
 
 
 def fallback_lookup(
@@ -100,7 +111,8 @@ def fallback_lookup(
 
     Both tiers are reduced to one row per match key before joining, so the
     joins never fan out; they are left joins AQE can broadcast or shuffle.
-    When the songs are few (counted: at most ``PREFILTER_MAX_SONGS``), their
+    When the songs are few (counted: at most ``PREFILTER_MAX_SONGS``) and the
+    catalogue is at least ``PREFILTER_MIN_RATIO`` times larger, the songs'
     distinct keys are broadcast and semi-join each tier's catalogue rows in
     the scan stage, so only catalogue entries some song asks for reach the
     aggregation; otherwise the catalogue is aggregated first.
@@ -111,7 +123,7 @@ def fallback_lookup(
     cat2 = catalogue.select(
         "id", "popularity", normalize_text(free_text_query("title", "artist")).alias("_rf_q")
     )
-    if s.count() <= PREFILTER_MAX_SONGS:
+    if _worth_prefilter(s.count(), catalogue):
         k1 = s.select(F.col(song_col).alias("_rf_t"), F.col(artist_col).alias("_rf_a")).distinct()
         k2 = s.select("_rf_q").distinct()
         cat1 = cat1.join(F.broadcast(k1), ["_rf_t", "_rf_a"], "left_semi")
@@ -163,12 +175,15 @@ def batch_enrich(
     the batch id is kept as a column (the request unit) and the join does
     the fetch. A feature table with repeated ids is reduced first.
     ``group_by`` restarts the batches per group (e.g. per shard). When the
-    identified rows are few (counted), their ids are broadcast and semi-join
-    the feature records before the per-id reduction.
+    identified rows are few and the feature records many (counted), their
+    ids are broadcast and semi-join the records before the per-id reduction.
     """
-    batched = with_chunk_id(identified, order_by, batch_size, name="batch_id", group_by=group_by)
+    rows = identified.count()
+    batched = with_chunk_id(
+        identified, order_by, batch_size, name="batch_id", group_by=group_by, row_count=rows
+    )
     feats = features.select("id", *feature_cols)
-    if identified.count() <= PREFILTER_MAX_SONGS:
+    if _worth_prefilter(rows, features):
         # only records some identified row asks for reach the per-id reduction
         ids = identified.select(F.col(id_col).alias("id")).distinct()
         feats = feats.join(F.broadcast(ids), "id", "left_semi")

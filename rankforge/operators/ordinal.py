@@ -42,6 +42,7 @@ def with_ordinal(
     group_by: Sequence[str] = (),
     name: str = "ordinal",
     num_partitions: int | None = None,
+    row_count: int | None = None,
 ) -> DataFrame:
     """Add ``name`` = 1-based position of the row in ``order_by`` order,
     restarting at 1 for every ``group_by`` value.
@@ -53,11 +54,12 @@ def with_ordinal(
     loss. Project the frame to the columns you need before calling.
     ``num_partitions`` defaults to one range partition per ~1M rows; an
     input of at most that many rows is numbered by a plain window instead.
+    A caller that already counted ``df`` passes ``row_count``.
     """
     spark = df.sparkSession
     group_by = list(group_by)
     if num_partitions is None:
-        rows = df.count()
+        rows = df.count() if row_count is None else row_count
         if rows <= ROWS_PER_RANGE_PARTITION:
             # Small input (size checked): a window is bounded by `rows` even
             # if every row sits in one group, and needs no checkpoint.
@@ -109,12 +111,13 @@ def with_chunk_id(
     size: int,
     name: str = "chunk_id",
     group_by: Sequence[str] = (),
+    row_count: int | None = None,
 ) -> DataFrame:
     """``chunk = floor((position - 1) / size)``: rows [0, size) -> 0, ...
 
     Used for shards of 1,000 rows (S11) and lookup batches of 100 (C11).
     """
-    with_pos = with_ordinal(df, order_by, group_by, name="_rf_chunk_pos")
+    with_pos = with_ordinal(df, order_by, group_by, name="_rf_chunk_pos", row_count=row_count)
     return with_pos.withColumn(
         name, F.floor((F.col("_rf_chunk_pos") - 1) / F.lit(size)).cast("bigint")
     ).drop("_rf_chunk_pos")

@@ -21,9 +21,9 @@ def test_fallback_lookup_tiers(spark, monkeypatch):
     )
     want = {"Hello": ("id1", 50), "Yesterday": ("id2", 70), "Nothing": ("", 0), "Two": ("id4", 40)}
     got = {r.song: (r.track_id, r.popularity) for r in enrich.fallback_lookup(songs, cat).collect()}
-    assert got == want
-    # many songs: no key pre-filter, the catalogue is aggregated first -- same answer
-    monkeypatch.setattr(enrich, "PREFILTER_MAX_SONGS", 0)
+    assert got == want  # catalogue not 10x the songs: aggregated first
+    # a catalogue much larger than the songs: key pre-filter -- same answer
+    monkeypatch.setattr(enrich, "PREFILTER_MIN_RATIO", 1)
     got = {r.song: (r.track_id, r.popularity) for r in enrich.fallback_lookup(songs, cat).collect()}
     assert got == want
 
@@ -54,8 +54,8 @@ def test_batch_enrich_drops_missing_and_keeps_both_ids(spark, monkeypatch):
     assert all(r.track_id == r.id for r in rows)
     batches = {r.song: r.batch_id for r in rows}
     assert batches["s001"] == 0 and batches["s199"] == 1 and batches["s249"] == 2
-    # many identified rows: no id pre-filter -- same rows
-    monkeypatch.setattr(enrich, "PREFILTER_MAX_SONGS", 0)
+    # feature records counted as many: id pre-filter -- same rows
+    monkeypatch.setattr(enrich, "PREFILTER_MIN_RATIO", 0)
     again = enrich.batch_enrich(ident, feats, ["song"], feature_cols=["danceability", "key"]).collect()
     assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
 
