@@ -184,7 +184,8 @@ def judge(features: DataFrame, cuts: DataFrame, *, lang: str = "lang") -> DataFr
     rules = cuts.select("stratum", F.struct(*MEASURES).alias("_cuts")).withColumnRenamed("stratum", "_stratum")
     joined = features.select(*columns, stratum(f"`{lang}`").alias("_s")).join(
         F.broadcast(rules), F.col("_s") == F.col("_stratum"), "left")
-    fired = F.lit(False)
-    for m in MEASURES:
-        fired = fired | F.coalesce(F.col("quality")[m] > F.col("_cuts")[m], F.lit(False))
-    return joined.select(*columns, (~(F.col("quality")["base_failed"] | fired)).alias("kept"))
+    # One expression over both sides of the join: a filter on it cannot be split
+    # and pushed below, where it would compute the measures once more for each use.
+    against = F.array(F.col("quality")["base_failed"], *[
+        F.coalesce(F.col("quality")[m] > F.col("_cuts")[m], F.lit(False)) for m in MEASURES])
+    return joined.select(*columns, (~F.array_contains(against, True)).alias("kept"))
