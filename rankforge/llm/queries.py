@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rankforge.session import ensure_checkpoint_dir
 
-from . import bpe, decontaminate, line_dedup, quality, simhash
+from . import bpe, decontaminate, line_dedup, pii, quality, sharding, simhash, token_count, toxicity
 from .text import table, whole_text
 
 
@@ -17,6 +17,15 @@ def _documents(spark: SparkSession, sf_dir: str, *columns: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select(*columns)
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    held_out = F.pmod(F.crc32(F.col("doc_id").cast("string").cast("binary")), F.lit(5)) == 0
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out))
+    out = toxicity.score(docs, model, keep=["doc_id"]).select("row.doc_id", "score", "segments")
+    return out.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+                      F.size("segments").cast("long").alias("n_segments"))
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir, "doc_id", "lang", "text")
     features = quality.with_features(docs).drop("text").checkpoint()
@@ -25,12 +34,22 @@ def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
                                      ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")], "kept")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = pii.find(_documents(spark, sf_dir, "doc_id", "text"), keep=["doc_id"])
+    return out.select("row.doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans")
+
+
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir, "doc_id", "text")
     out = bpe.encode_texts(docs, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN, keep=["doc_id"])
     return out.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = sharding.assign(_documents(spark, sf_dir, "doc_id", "text"), shards=24)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = _documents(spark, sf_dir, "doc_id", "text")
     out = decontaminate.mark(docs, table(spark, sf_dir, "benchmark"), keep=["doc_id"])
@@ -51,8 +70,15 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
 
 
+def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    out = token_count.count_tokens(docs, public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"])
+    return out.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > token_count.LIMIT).alias("over_limit"))
+
+
 QUERIES = {f.__name__: f for f in (
-    op2_quality_rules, op4_byte_bpe, op7_decontamination, op8_simhash, op9_line_dedup)}
+    op1_toxicity, op2_quality_rules, op3_pii, op4_byte_bpe, op6_sharding, op7_decontamination, op8_simhash, op9_line_dedup,
+    op10_token_count)}
 
 _WS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
