@@ -1,13 +1,17 @@
 """Toxicity by maximal scoring segments.
 
 Fit, on at most ``FIT_ROWS`` labelled documents of each class (those with the
-smallest hash of their id): tokens and four-byte token heads are counted per
-class. A token's weight is its log-odds between the classes under a Dirichlet
-prior proportional to its overall frequency, pulled towards zero by two
-standard errors (a token seen in one document alone weighs nothing); a token
-without weight falls back on its head's. All other tokens cost ``DRIFT``, so
-the expected score of clean text is negative. Seven tenths of the fit rows
-give the weights, the rest the calibration.
+smallest hash of their id; equal texts once): the documents of each class that
+have a token are counted, and for its heads of 4, 6 and 8 bytes the counts of
+their tokens are summed, ``KNOWN`` at most from each token, so that a head
+stands for many forms and not for one frequent word. A weight is the log-odds between the classes under a Dirichlet
+prior proportional to its overall frequency (and half a document for each
+class), pulled towards zero by ``ERRORS`` standard errors and ``MARGIN``
+(classes differ a little in everything, languages above all). A token scores the
+weight of the largest size among itself and its heads that ``KNOWN`` documents
+have, so unseen forms of a known stem count too. All other tokens cost
+``DRIFT``, so the expected score of clean text is negative. Seven tenths of the fit rows give
+the weights, the rest the calibration.
 
 Search: the linear-time scan of Ruzzo and Tompa finds all maximal scoring
 segments of the text's tokens. Scores follow the extreme-value law of Karlin
@@ -40,8 +44,8 @@ from pyspark.sql import types as T
 
 from .text import carried, whole_text
 
-FIT_ROWS, MAX_WEIGHTS = 10_000, 200_000
-PRIOR, ERRORS, DRIFT, SIGNIFICANT, HEAD = 1000.0, 2.0, 0.1, 0.05, 4
+FIT_ROWS, MEMO, KNOWN = 10_000, 400_000, 3
+PRIOR, ERRORS, MARGIN, DRIFT, SIGNIFICANT, HEADS = 1000.0, 2.5, 0.5, 0.1, 0.05, (8, 6, 4)
 _TOKEN = re.compile(rb"[a-z0-9\x80-\xff]+")
 
 
@@ -49,6 +53,11 @@ def tokens(text: bytes) -> list[bytes]:
     return _TOKEN.findall(text.lower())
 
 
+def keys(token: bytes) -> list[bytes]:
+    """The token itself (closed by a blank) and its heads, longest first."""
+    return [token + b" ", *(token[:n] for n in HEADS if len(token) >= n)]
+
+
 def maximal_segments(positions: list[int], scores: list[float], n: int, drift: float) -> list[tuple[int, int, float]]:
     """All maximal scoring segments (begin, end, score) of n tokens, of which
     those at ``positions`` have ``scores`` (not zero) and all others cost
@@ -78,18 +87,22 @@ def maximal_segments(positions: list[int], scores: list[float], n: int, drift: f
 class Model:
     """Weights, the extreme-value law and the logistic model."""
 
-    def __init__(self, weights: dict[bytes, float], heads: dict[bytes, float]):
-        self.weights, self.heads, self.lam, self.k, self.beta = weights, heads, 1.0, 1.0, None
+    def __init__(self, weights: dict[bytes, float]):
+        self.weights, self.lam, self.k, self.beta = weights, 1.0, 1.0, None
+        self.memo: dict[bytes, float] = {}
+
+    def weight(self, token: bytes) -> float:
+        return max((self.weights.get(k, 0.0) for k in keys(token)), key=abs)
 
     def segments(self, text: bytes) -> tuple[list[tuple[int, int, float]], int]:
-        ts = tokens(text)
-        weights, heads = self.weights, self.heads
+        ts, memo = tokens(text), self.memo
+        if len(memo) > MEMO:
+            memo.clear()
+        for t in set(ts).difference(memo):
+            memo[t] = self.weight(t)
         positions, scores = [], []
-        for i, t in enumerate(ts):
-            s = weights.get(t)
-            if s is None:
-                s = heads.get(t[:HEAD])
-            if s is not None:
+        for i, s in enumerate(map(memo.__getitem__, ts)):
+            if s:
                 positions.append(i)
                 scores.append(s - DRIFT)
         return maximal_segments(positions, scores, len(ts), DRIFT), len(ts)
@@ -111,18 +124,17 @@ class Model:
         return 1 / (1 + math.exp(-max(-700.0, min(700.0, x))))
 
 
-def _log_odds(counts: list[tuple[bytes, int, int]]) -> dict[bytes, float]:
-    """Shrunken log-odds of the (token, in toxic, in clean) counts."""
+def _log_odds(counts: list[tuple[bytes, int, int]], n1: int, n0: int) -> dict[bytes, float]:
+    """Shrunken log-odds of the (key, in toxic, in clean) counts; all keys'
+    counts sum to n1 and n0."""
     if not counts:
         return {}
     y1, y0 = (np.array([c[k] for c in counts], float) for k in (1, 2))
-    n1, n0 = y1.sum(), y0.sum()
-    prior = PRIOR * (y1 + y0) / (n1 + n0)
+    prior = 0.5 + PRIOR * (y1 + y0) / (n1 + n0)
     odds = np.log((y1 + prior) / (n1 + PRIOR - y1 - prior)) - np.log((y0 + prior) / (n0 + PRIOR - y0 - prior))
     error = ERRORS * np.sqrt(1 / (y1 + prior) + 1 / (y0 + prior))
-    shrunk = np.sign(odds) * np.maximum(0, np.abs(odds) - error)
-    top = np.argsort(-np.abs(shrunk), kind="stable")[:MAX_WEIGHTS]
-    return {counts[i][0]: float(shrunk[i]) for i in top if shrunk[i]}
+    shrunk = np.sign(odds) * np.maximum(0, np.abs(odds) - error - MARGIN)
+    return {c[0]: float(w) for c, w in zip(counts, shrunk)}
 
 
 def _lambda(scores: np.ndarray, share: np.ndarray) -> float:
@@ -161,39 +173,43 @@ def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str
     truth = labels.select(F.col(f"`{doc_id}`").alias("i"), F.col(f"`{label}`").alias("y")).where("i is not null and y is not null").groupBy("i").agg(
         F.max((F.col("y") > 0).cast("int")).alias("y")).checkpoint()
     sizes = {r["y"]: r["count"] for r in truth.groupBy("y").count().collect()}
-    model = Model({}, {})
+    model = Model({})
     if sizes.keys() != {0, 1}:
         return model
     order = F.xxhash64("i", F.lit(11))
     chosen = truth.where("y = 1").orderBy(order).limit(fit_rows).unionByName(truth.where("y = 0").orderBy(order).limit(fit_rows))
     rows = docs.select(F.col(f"`{doc_id}`").alias("i"), whole_text(f"`{text}`").cast("binary").alias("x")).join(
-        F.broadcast(chosen), "i").select("x", "y", (F.pmod(F.xxhash64("i", F.lit(13)), F.lit(10)) < 7).alias("first")).checkpoint()
+        F.broadcast(chosen), "i").groupBy("x").agg(F.max("y").alias("y")).withColumn(
+        "first", F.pmod(F.xxhash64("x", F.lit(13)), F.lit(10)) < 7).checkpoint()
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        seen: tuple[dict, dict] = ({}, {})
+        seen: dict[bytes, list[int]] = {}
         for b in batches:
             for t, y in zip(b.column("x"), b.column("y").to_pylist()):
-                ts = tokens(t.as_py())
-                for w in ts:
-                    for kind, key in ((0, w), (1, w[:HEAD])):
-                        c = seen[kind].get(key)
-                        if c is None:
-                            c = seen[kind][key] = [0, 0]
-                        c[1 - y] += 1
-        for kind in (0, 1):
-            d = seen[kind]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([kind] * len(d), pa.int32()), pa.array(list(d), pa.binary()), pa.array([c[0] for c in d.values()], pa.int64()),
-                 pa.array([c[1] for c in d.values()], pa.int64())], names=["kind", "w", "y1", "y0"])
-
-    counted = rows.where("first").select("x", "y").mapInArrow(count, "kind int, w binary, y1 long, y0 long").groupBy("kind", "w").agg(
-        F.sum("y1").alias("y1"), F.sum("y0").alias("y0")).collect()  # tokens of 2 * fit_rows documents at most
-    both = [[(bytes(r["w"]), r["y1"], r["y0"]) for r in counted if r["kind"] == k] for k in (0, 1)]
-    model.weights, model.heads = (_log_odds(sorted(c)) for c in both)
-    clean = sum(c[2] for c in both[0])
+                for key in set(tokens(t.as_py())):
+                    c = seen.get(key)
+                    if c is None:
+                        c = seen[key] = [0, 0]
+                    c[1 - y] += 1
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(list(seen), pa.binary()), pa.array([c[0] for c in seen.values()], pa.int64()),
+             pa.array([c[1] for c in seen.values()], pa.int64())], names=["w", "y1", "y0"])
+
+    # Of 2 * fit_rows documents at most; rarer keys weigh nothing but in the sums.
+    counted = rows.where("first").select("x", "y").mapInArrow(count, "w binary, y1 long, y0 long").groupBy("w").agg(
+        F.sum("y1").alias("y1"), F.sum("y0").alias("y0")).checkpoint()
+    head = F.explode(F.array(*[F.when(F.octet_length("w") >= n, F.substring("w", 1, n)) for n in HEADS]))
+    few = [F.least(F.col(y), F.lit(KNOWN)).alias(y) for y in ("y1", "y0")]
+    heads = counted.select(head.alias("k"), *few).where("k is not null").groupBy("k").agg(F.sum("y1").alias("y1"), F.sum("y0").alias("y0"))
+    both = counted.select(F.concat("w", F.lit(b" ")).alias("k"), "y1", "y0").unionByName(heads)
+    n1, n0 = both.agg(F.coalesce(F.sum("y1"), F.lit(0)), F.coalesce(F.sum("y0"), F.lit(0))).first()
+    often = sorted((bytes(r["k"]), r["y1"], r["y0"]) for r in both.where(F.col("y1") + F.col("y0") >= KNOWN).collect())
+    model.weights = _log_odds(often, n1, n0)
+    whole = [c for c in often if c[0].endswith(b" ")]
+    clean = sum(c[2] for c in whole)
     if not clean:
         return model
-    held = [(model.weights.get(w, model.heads.get(w[:HEAD], 0.0)) - DRIFT, y0 / clean) for w, _, y0 in both[0]]
+    held = [(model.weight(w[:-1]) - DRIFT, y0 / clean) for w, _, y0 in whole]
     model.lam = _lambda(np.array([s for s, _ in held]), np.array([p for _, p in held]))
 
     def summarize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
