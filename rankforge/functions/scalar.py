@@ -54,9 +54,10 @@ def free_text_query(title, artist) -> Column:
 
 
 def normalize_text(c) -> Column:
-    """Match key of a free-text query: lower case, runs of non-alphanumerics
-    become one space, trimmed."""
-    return F.trim(F.regexp_replace(F.lower(_col(c)), "[^a-z0-9]+", " "))
+    """Match key of a free-text query: lower case, runs of characters that are
+    neither letters nor digits (of any script) become one space, trimmed; null
+    if nothing is left."""
+    return F.nullif(F.trim(F.regexp_replace(F.lower(_col(c)), r"[^\p{L}\p{N}]+", " ")), F.lit(""))
 
 
 def json_field(c, path: str, dtype: str | None = None) -> Column:

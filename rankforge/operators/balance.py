@@ -11,12 +11,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from rankforge.functions.scalar import binary_relabel_expr, hash_order
 from rankforge.operators.chart import DEFAULT_CLASS
-from rankforge.operators.ordinal import ROWS_PER_RANGE_PARTITION, with_ordinal
+from rankforge.operators.ordinal import with_ordinal
 
 
 def _key_cols(keys: Sequence) -> list[Column]:
@@ -38,14 +38,8 @@ def sample_rank(
     return ranked.drop("_rf_h")
 
 
-# Candidate pre-filter: expect MARGIN * n + SLACK rows below the threshold;
-# a shortfall (about 6 sigma away for n = 300) falls back to the whole class.
-CANDIDATE_MARGIN = 1.1
-CANDIDATE_SLACK = 100
-# Per-class thresholds travel as a literal map; more classes than this are
-# ranked whole (correct, just without the pre-filter).
-MAX_THRESHOLD_GROUPS = 10_000
-_ALL = "ffffffff"
+# Rows are counted per leading hex digits of their md5 sample order.
+PREFIX_DIGITS = 4
 
 
 def _number(spark, n) -> float:
@@ -55,56 +49,27 @@ def _number(spark, n) -> float:
     return float(n)
 
 
-def _prefix_threshold(need: float, count: float) -> str:
-    """Largest 8-hex-digit md5 prefix to keep so that about
-    ``MARGIN * need + SLACK`` of ``count`` uniformly hashed rows pass."""
-    frac = min(1.0, (need * CANDIDATE_MARGIN + CANDIDATE_SLACK) / max(count, 1.0))
-    return f"{int(frac * 4294967295.0):08x}"
-
-
 def _candidates(df: DataFrame, n: float, keys: Sequence[str], seed: int, group_by: Sequence[str]) -> DataFrame:
     """Rows that can be among the first ``n`` of their group in the seeded
-    order -- an exact superset: sample order is md5 order, so every row
-    whose md5 prefix is above the threshold ranks after every row below it.
-
-    Two aggregate passes (rows per group, candidates per group; one row per
-    group reaches the driver) replace a range shuffle and checkpoint of
-    whole groups by one of ~n rows each. The thresholds are literals, so
-    the filter is row-local.
+    order -- an exact superset, at every size: one aggregate pass counts the
+    rows per (group, md5 prefix); a prefix is needed if fewer than ``n`` rows
+    of its group come before it (65,536 prefixes a group at most). The needed
+    prefixes' end joins back as one row per group, so only about ``n`` rows
+    per group go on to the range shuffle and checkpoint.
     """
-    assert len(group_by) <= 1, "one group column"
-    pre = df.withColumn("_rf_p", F.substring(hash_order(*keys, seed=seed), 1, 8))
-    if group_by:
-        g = group_by[0]
-        rows = pre.groupBy(g).agg(F.count(F.lit(1)).alias("c")).limit(MAX_THRESHOLD_GROUPS + 1).collect()
-        if len(rows) > MAX_THRESHOLD_GROUPS:
-            return df
-        gtype = dict(df.dtypes)[g]
-    else:
-        g, gtype = None, None
-        rows = [(None, pre.count())]
-    sizes = {r[0]: float(r[1]) for r in rows}
-    if sum(sizes.values()) <= ROWS_PER_RANGE_PARTITION:
-        return df  # small enough to rank whole (one bounded window)
-    need = {k: min(n, c) for k, c in sizes.items()}
-    thr = {k: _prefix_threshold(need[k], c) for k, c in sizes.items()}
-
-    def keep(t: dict) -> Column:
-        if g is None:
-            return F.col("_rf_p") <= F.lit(t[None])
-        pairs = [x for k, v in t.items() if k is not None for x in (F.lit(k).cast(gtype), F.lit(v))]
-        lookup = F.create_map(*pairs)[F.col(g)] if pairs else F.lit(None).cast("string")
-        bound = F.when(F.col(g).isNull(), F.lit(t.get(None, _ALL))).otherwise(lookup)
-        return F.col("_rf_p") <= bound
-
-    first = pre.where(keep(thr))
-    got = (
-        {r[0]: r[1] for r in first.groupBy(g).count().collect()} if g is not None
-        else {None: first.count()}
-    )
-    # groups without enough candidates keep every row
-    thr2 = {k: (t if got.get(k, 0) >= need[k] else _ALL) for k, t in thr.items()}
-    return pre.where(keep(thr2)).drop("_rf_p")
+    groups = list(group_by)
+    pre = df.withColumn("_rf_p", F.substring(hash_order(*keys, seed=seed), 1, PREFIX_DIGITS))
+    counts = pre.groupBy(*groups, "_rf_p").agg(F.count(F.lit(1)).alias("_rf_c"))
+    before = Window.partitionBy(*groups).orderBy("_rf_p").rowsBetween(Window.unboundedPreceding, -1)
+    needed = counts.withColumn("_rf_b", F.coalesce(F.sum("_rf_c").over(before), F.lit(0))).where(F.col("_rf_b") < F.lit(n))
+    names = [f"_rf_g{i}" for i in range(len(groups))]
+    last = needed.groupBy(*[F.col(g).alias(a) for g, a in zip(groups, names)]).agg(F.max("_rf_p").alias("_rf_last"))
+    if not groups:
+        last = F.broadcast(last)  # one row
+    on = F.col("_rf_p") <= F.col("_rf_last")
+    for g, a in zip(groups, names):
+        on = on & F.col(g).eqNullSafe(F.col(a))
+    return pre.join(last, on, "left_semi").drop("_rf_p")
 
 
 def seeded_sample_ranked(

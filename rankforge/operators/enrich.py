@@ -79,22 +79,6 @@ def top_hit(
     return keyed.groupBy(*names).agg(F.min_by("_rf_hit", "_rf_rank").alias("hit"))
 
 
-# Up to this many songs, their keys may be broadcast to pre-filter the
-# catalogue (key tables of at most this many rows each) -- worth it when the
-# catalogue has at least PREFILTER_MIN_RATIO times as many rows.
-PREFILTER_MAX_SONGS = 2_000_000
-PREFILTER_MIN_RATIO = 10
-
-
-def _worth_prefilter(small_rows: int, big: DataFrame) -> bool:
-    """Semi-join ``big`` with broadcast keys of a small side only when the
-    small side is bounded and ``big`` is much larger (one count of ``big``,
-    cheap next to aggregating it)."""
-    if small_rows > PREFILTER_MAX_SONGS:
-        return False
-    return big.count() >= PREFILTER_MIN_RATIO * max(small_rows, 1)
-
-
 def fallback_lookup(
     songs: DataFrame,
     catalogue: DataFrame,
@@ -111,11 +95,10 @@ def fallback_lookup(
 
     Both tiers are reduced to one row per match key before joining, so the
     joins never fan out; they are left joins AQE can broadcast or shuffle.
-    When the songs are few (counted: at most ``PREFILTER_MAX_SONGS``) and the
-    catalogue is at least ``PREFILTER_MIN_RATIO`` times larger, the songs'
-    distinct keys are broadcast and semi-join each tier's catalogue rows in
-    the scan stage, so only catalogue entries some song asks for reach the
-    aggregation; otherwise the catalogue is aggregated first.
+    Only catalogue entries that some song asks for reach the aggregation: a
+    left semi join with the songs' distinct keys, on the aggregation's own
+    keys, so a shuffled join adds no exchange and AQE may broadcast the keys.
+    A text without letters or digits has no free-text key and matches nothing.
     """
     rank_by = [(-F.col("popularity")).alias("p"), F.col("id").alias("i")]
     s = songs.withColumn("_rf_q", normalize_text(free_text_query(song_col, artist_col)))
@@ -123,11 +106,10 @@ def fallback_lookup(
     cat2 = catalogue.select(
         "id", "popularity", normalize_text(free_text_query("title", "artist")).alias("_rf_q")
     )
-    if _worth_prefilter(s.count(), catalogue):
-        k1 = s.select(F.col(song_col).alias("_rf_t"), F.col(artist_col).alias("_rf_a")).distinct()
-        k2 = s.select("_rf_q").distinct()
-        cat1 = cat1.join(F.broadcast(k1), ["_rf_t", "_rf_a"], "left_semi")
-        cat2 = cat2.join(F.broadcast(k2), "_rf_q", "left_semi")
+    k1 = s.select(F.col(song_col).alias("_rf_t"), F.col(artist_col).alias("_rf_a")).distinct()
+    k2 = s.select("_rf_q").where(F.col("_rf_q").isNotNull()).distinct()
+    cat1 = cat1.join(k1, ["_rf_t", "_rf_a"], "left_semi")
+    cat2 = cat2.join(k2, "_rf_q", "left_semi")
     tier1 = top_hit(cat1, ["_rf_t", "_rf_a"], rank_by, key_names=["_rf_t", "_rf_a"]).select(
         "_rf_t", "_rf_a", F.col("hit").alias("_rf_h1")
     )
@@ -147,14 +129,13 @@ def fallback_lookup(
 
 
 def latest_per_id(features: DataFrame, id_col: str = "id", order_col: str | None = None) -> DataFrame:
-    """Defect 17: a feature table with repeated ids keeps one record per id
-    (the last one by ``order_col`` when given) so song rows do not fan out."""
-    if order_col is None:
-        return features.dropDuplicates([id_col])
+    """Defect 17: a feature table with repeated ids keeps one record per id so
+    song rows do not fan out: the last one by ``order_col``, or without one the
+    largest record (the same one on every run)."""
     others = [c for c in features.columns if c != id_col]
-    picked = features.groupBy(id_col).agg(
-        F.max_by(F.struct(*others), F.col(order_col)).alias("_rf_last")
-    )
+    record = F.struct(*others)
+    last = F.max(record) if order_col is None else F.max_by(record, F.struct(F.col(order_col), record))
+    picked = features.groupBy(id_col).agg(last.alias("_rf_last"))
     return picked.select(id_col, *[F.col("_rf_last")[c].alias(c) for c in others])
 
 
@@ -166,6 +147,7 @@ def batch_enrich(
     id_col: str = "track_id",
     feature_cols: Sequence[str] = AUDIO_FEATURE_COLUMNS,
     group_by: Sequence[str] = (),
+    record_order: str | None = None,
 ) -> DataFrame:
     """C11: batches of ``batch_size`` rows in row order (W1), then an inner
     join with the feature records on ``track_id = id`` (J2). Ids without a
@@ -173,21 +155,12 @@ def batch_enrich(
 
     The reference batches because its service takes 100 ids per call; here
     the batch id is kept as a column (the request unit) and the join does
-    the fetch. A feature table with repeated ids is reduced first.
-    ``group_by`` restarts the batches per group (e.g. per shard). When the
-    identified rows are few and the feature records many (counted), their
-    ids are broadcast and semi-join the records before the per-id reduction.
+    the fetch. Of records with one id the last by ``record_order`` stays.
+    ``group_by`` restarts the batches per group (e.g. per shard).
     """
-    rows = identified.count()
-    batched = with_chunk_id(
-        identified, order_by, batch_size, name="batch_id", group_by=group_by, row_count=rows
-    )
-    feats = features.select("id", *feature_cols)
-    if _worth_prefilter(rows, features):
-        # only records some identified row asks for reach the per-id reduction
-        ids = identified.select(F.col(id_col).alias("id")).distinct()
-        feats = feats.join(F.broadcast(ids), "id", "left_semi")
-    feats = latest_per_id(feats)
+    batched = with_chunk_id(identified, order_by, batch_size, name="batch_id", group_by=group_by)
+    extra = [record_order] if record_order and record_order not in feature_cols else []
+    feats = latest_per_id(features.select("id", *feature_cols, *extra), order_col=record_order)
     out = batched.join(feats, batched[id_col] == feats["id"], "inner")
     return out.select(
         *[batched[c] for c in identified.columns], "batch_id", feats["id"],

@@ -8,12 +8,11 @@ task. Here the rows are range-partitioned on ``(group, order)`` instead, so a
 hot group is spread over many partitions, and each row's position is
 ``rows before it in earlier partitions + its position inside its partition``.
 The per-partition counts form a table of at most ``partitions + groups - 1``
-rows, which is checked before it is broadcast.
+rows; AQE broadcasts it where it is small.
 """
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -21,14 +20,6 @@ from pyspark.sql import functions as F
 
 from rankforge.session import ensure_checkpoint_dir
 
-# Above this many (partition, group) cells the offsets are joined by shuffle
-# instead of being broadcast.
-BROADCAST_OFFSETS_MAX_ROWS = 200_000
-# Rows per range partition when the caller does not fix the count. The range
-# exchange is user-sized (AQE neither coalesces nor splits it), so it is
-# sized from the row count: 1e12 rows -> 1e6 partitions of ~1M rows.
-ROWS_PER_RANGE_PARTITION = 1_000_000
-
 _PID, _POS = "_rf_pid", "_rf_pos"
 
 
@@ -42,7 +33,6 @@ def with_ordinal(
     group_by: Sequence[str] = (),
     name: str = "ordinal",
     num_partitions: int | None = None,
-    row_count: int | None = None,
 ) -> DataFrame:
     """Add ``name`` = 1-based position of the row in ``order_by`` order,
     restarting at 1 for every ``group_by`` value.
@@ -52,26 +42,15 @@ def with_ordinal(
     checkpointed to the session's reliable checkpoint directory: both passes
     (counts and numbering) then read the same bytes, even after an executor
     loss. Project the frame to the columns you need before calling.
-    ``num_partitions`` defaults to one range partition per ~1M rows; an
-    input of at most that many rows is numbered by a plain window instead.
-    A caller that already counted ``df`` passes ``row_count``.
+    One plan at every size: without ``num_partitions`` the range exchange has
+    the session's shuffle partitions, which AQE merges by bytes.
     """
-    spark = df.sparkSession
     group_by = list(group_by)
-    if num_partitions is None:
-        rows = df.count() if row_count is None else row_count
-        if rows <= ROWS_PER_RANGE_PARTITION:
-            # Small input (size checked): a window is bounded by `rows` even
-            # if every row sits in one group, and needs no checkpoint.
-            w = Window.partitionBy(*group_by).orderBy(*_cols(order_by))
-            return df.withColumn(name, F.row_number().over(w).cast("bigint"))
-        num_partitions = math.ceil(rows / ROWS_PER_RANGE_PARTITION)
-    ensure_checkpoint_dir(spark)
-    n = num_partitions
+    ensure_checkpoint_dir(df.sparkSession)
     keys = _cols(group_by) + _cols(order_by)
 
     ranged = (
-        df.repartitionByRange(n, *keys)
+        (df.repartitionByRange(num_partitions, *keys) if num_partitions else df.repartitionByRange(*keys))
         .sortWithinPartitions(*keys)
         .withColumn(_PID, F.spark_partition_id())
         .withColumn(_POS, F.monotonically_increasing_id())
@@ -92,12 +71,6 @@ def with_ordinal(
         "_rf_first",
         F.coalesce(F.sum("_rf_n").over(before), F.lit(0)).alias("_rf_before"),
     )
-    # Size check: one row per (partition, group) cell. Without groups the
-    # table has at most one row per range partition, a bound known here.
-    if not group_by and n <= BROADCAST_OFFSETS_MAX_ROWS:
-        offsets = F.broadcast(offsets)
-    elif group_by and offsets.count() <= BROADCAST_OFFSETS_MAX_ROWS:
-        offsets = F.broadcast(offsets)
     cond = [F.col(_PID) == F.col("_rf_opid")] + [
         F.col(g).eqNullSafe(F.col(a)) for g, a in zip(group_by, gnames)
     ]
@@ -111,13 +84,12 @@ def with_chunk_id(
     size: int,
     name: str = "chunk_id",
     group_by: Sequence[str] = (),
-    row_count: int | None = None,
 ) -> DataFrame:
     """``chunk = floor((position - 1) / size)``: rows [0, size) -> 0, ...
 
     Used for shards of 1,000 rows (S11) and lookup batches of 100 (C11).
     """
-    with_pos = with_ordinal(df, order_by, group_by, name="_rf_chunk_pos", row_count=row_count)
+    with_pos = with_ordinal(df, order_by, group_by, name="_rf_chunk_pos")
     return with_pos.withColumn(
         name, F.floor((F.col("_rf_chunk_pos") - 1) / F.lit(size)).cast("bigint")
     ).drop("_rf_chunk_pos")

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.utils import AnalysisException
+from pyspark.sql import types as T
 
 from rankforge.operators.enrich import pending
 from rankforge.operators.ordinal import with_chunk_id
@@ -19,12 +19,17 @@ def assign_shards(df: DataFrame, order_by: Sequence, size: int = SHARD_ROWS) ->
     return with_chunk_id(df, order_by, size, name="shard_id")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def finished_shards(spark: SparkSession, path: str) -> DataFrame:
-    """Shard ids already present under a ``shard_id=``-partitioned output."""
-    try:
-        return spark.read.parquet(path).select("shard_id").distinct()
-    except AnalysisException:
+    """Shard ids in the stage's manifest: those whose output is complete,
+    with or without rows. A manifest that cannot be read is an error."""
+    if not _exists(spark, f"{path}.finished"):
         return spark.createDataFrame([], "shard_id bigint")
+    return spark.read.schema("shard_id bigint").parquet(f"{path}.finished").distinct()
 
 
 def run_sharded_stage(
@@ -32,18 +37,22 @@ def run_sharded_stage(
     stage: Callable[[DataFrame], DataFrame],
     out_path: str,
 ) -> DataFrame:
-    """Run ``stage`` only on shards that have no output yet and append
-    them under ``out_path`` partitioned by shard_id; finished shards are not
-    recomputed (left anti join on shard_id). Returns the complete output."""
+    """Run ``stage`` only on shards that are not finished and write them
+    under ``out_path`` partitioned by shard_id; then their ids go into the
+    manifest beside it. Finished shards are not recomputed, also if they gave
+    no rows; a shard whose run broke off before the manifest is overwritten.
+    Returns the complete output (no rows at all: the stage's columns)."""
     spark = shards.sparkSession
     todo = pending(shards, finished_shards(spark, out_path), ["shard_id"])
     result = stage(todo)
     (
-        result.write.mode("append")
+        result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
         .partitionBy("shard_id")
         .parquet(out_path)
     )
-    return spark.read.parquet(out_path)
+    todo.select("shard_id").distinct().write.mode("append").parquet(f"{out_path}.finished")
+    schema = T.StructType([*[f for f in result.schema.fields if f.name != "shard_id"], result.schema["shard_id"]])
+    return spark.read.schema(schema).parquet(out_path)
 
 
 def combine_shards(spark: SparkSession, path: str) -> DataFrame:

@@ -29,7 +29,7 @@ def hash_split_label(keys: Sequence[str], weights=DEFAULT_WEIGHTS, seed: int = 0
     cuts = []
     acc = 0.0
     for w in weights[:-1]:
-        acc += w
+        acc += w / sum(weights)
         cuts.append(int(round(acc * 100)))
     expr = None
     for name, cut in zip(names, cuts):
@@ -103,7 +103,9 @@ def rank_cuts(pre: DataFrame, ks: Sequence[int], n: int, keys: Sequence[str]) ->
         band = pre.where(p.between(lo, hi)).select("_rf_h", *keys)
         ranked = with_ordinal(band, ["_rf_h", *keys], name="_rf_r")
         row = ranked.where(F.col("_rf_r") == k - below).select("_rf_h", *keys).collect()
-        cuts.append(tuple(row[0]) if row else None)
+        if not row:
+            raise ValueError(f"no row at rank {k}: the keys are null or not unique")
+        cuts.append(tuple(row[0]))
     return cuts
 
 

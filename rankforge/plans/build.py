@@ -27,15 +27,20 @@ HEADER = ("song", "artist", "class")
 
 def repaired_chart(raw_lines: DataFrame, ordinal: str = "ordinal", header: bool = True) -> DataFrame:
     """C6 on raw lines (``value`` + an input-order column); the header line
-    is dropped after repair, classes become bigint (bad values null)."""
+    is dropped after repair, classes become bigint (bad values null). Repair
+    wraps fields with commas in quotes, which reading the line as CSV takes
+    off again."""
     rows = clean.repair_lines(raw_lines, "value", keep=[ordinal])
     if header:
         is_header = (
             (F.col("song") == HEADER[0]) & (F.col("artist") == HEADER[1]) & (F.col("class") == HEADER[2])
         )
         rows = rows.where(~is_header)
+    def unquoted(c: str):
+        return F.when(F.col(c).rlike('(?s)^".*"$') & (F.length(c) > 1), F.expr(f"substring({c}, 2, length({c}) - 2)")).otherwise(F.col(c)).alias(c)
+
     return rows.select(
-        ordinal, "song", "artist", F.col("class").try_cast("bigint").alias("class")
+        ordinal, unquoted("song"), unquoted("artist"), F.col("class").try_cast("bigint").alias("class")
     )
 
 

@@ -120,11 +120,15 @@ def class_histogram(
         b = F.when(width == 0, F.lit(0)).otherwise(
             F.least(F.floor((F.col(col) - lo) / width), F.lit(bins - 1))
         )
-        out = (
+        counts = (
             df.where(F.col(col).isNotNull())
             .groupBy(b.cast("int").alias("bin"))
             .agg(F.count(F.lit(1)).alias("n"))
-            .withColumn("lower", lo + F.col("bin") * width)
+        )
+        # every bin has a row, empty ones with 0; no values at all: no bins
+        every = df.sparkSession.range(bins if lo_v is not None else 0).select(F.col("id").cast("int").alias("bin"))
+        out = every.join(counts, "bin", "left").select(
+            "bin", F.coalesce("n", F.lit(0)).alias("n"), (lo + F.col("bin") * width).alias("lower")
         )
     if dataset is not None:
         out = out.select(F.lit(dataset).alias("dataset"), *out.columns)
@@ -155,7 +159,10 @@ def best_row(scores: DataFrame, by: str = "val", order: str = "ordinal") -> Data
 
 def compare_families(sweeps: dict[str, DataFrame]) -> DataFrame:
     """Sweep tables of several model families side by side (stacked)."""
-    parts = [df.select(F.lit(name).alias("family"), *df.columns) for name, df in sweeps.items()]
+    parts = [
+        df.select(F.lit(name).alias("family"), *[c for c in df.columns if c != "family"])
+        for name, df in sweeps.items()
+    ]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p, allowMissingColumns=True)

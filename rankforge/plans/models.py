@@ -42,6 +42,8 @@ LEARNING_RATES = [1e-5, 1e-4, 1e-3, 1e-2, 0.1, 1.0]
 SVM_C = [0.01, 0.1, 1.0, 10.0, 100.0, 1000.0]
 # Spark's tree depth limit.
 MAX_TREE_DEPTH = 30
+# M8's depths; the original's 50 and 100 are beyond Spark's limit.
+BINARY_DEPTHS = [1, 5, 10, 20, MAX_TREE_DEPTH]
 
 
 # ---------------------------------------------------------------- features
@@ -80,18 +82,11 @@ def vector_column_values(df: DataFrame, col: str, names: Sequence[str]) -> DataF
     return df.select(*[c for c in df.columns if c != col], *[arr[i].alias(n) for i, n in enumerate(names)])
 
 
-# Above this many distinct labels the label index is joined by shuffle.
-MAX_BROADCAST_LABELS = 100_000
-
-
 def index_labels(df: DataFrame, label_col: str = "class", out: str = "label") -> DataFrame:
     """Labels -> 0..k-1 in ascending order (MLP needs contiguous labels).
-    The label table has one row per distinct label; it is broadcast after
-    its size is checked."""
+    The label table has one row per distinct label."""
     labels = df.select(label_col).distinct().where(F.col(label_col).isNotNull())
     idx = labels.withColumn(out, (F.dense_rank().over(Window.orderBy(label_col)) - 1).cast("double"))
-    if labels.count() <= MAX_BROADCAST_LABELS:
-        idx = F.broadcast(idx)
     return df.join(idx, label_col, "inner")
 
 
@@ -102,8 +97,8 @@ def estimator(family: str, features_col: str = "features", label_col: str = "cla
     if family == "lr":
         return LogisticRegression(featuresCol=features_col, labelCol=label_col, **params)
     if family == "rf":
-        if "maxDepth" in params:
-            params["maxDepth"] = min(int(params["maxDepth"]), MAX_TREE_DEPTH)
+        if int(params.get("maxDepth", 0)) > MAX_TREE_DEPTH:
+            raise ValueError(f"trees go to depth {MAX_TREE_DEPTH} at most")
         return RandomForestClassifier(featuresCol=features_col, labelCol=label_col, seed=0, **params)
     if family == "mlp":
         return MultilayerPerceptronClassifier(featuresCol=features_col, labelCol=label_col, seed=0, **params)
@@ -164,12 +159,17 @@ def sweep(
     features_col: str = "features",
     metric: str = "f1",
     parallelism: int = 4,
+    scale: bool = False,
+    fitted: list | None = None,
     **fixed,
 ) -> DataFrame:
     """M11 + E4 + E5 + E10: fit one model per value of one parameter (all
     others fixed), score each on train / val / test, flag the best by
     validation score (first on ties; test never selects).
 
+    With ``scale`` the features go through the scaler, fitted on train. The
+    fitted models are appended to the list ``fitted``, in value order.
+
     Returns a table (family, param, ordinal, value, train, val, test,
     fit_seconds, is_best). Fits run ``parallelism`` at a time as concurrent
     Spark jobs over the cached splits.
@@ -181,18 +181,23 @@ def sweep(
         i, v = item
         params = dict(fixed)
         params.update(make_params(v) if make_params else {param_name: v})
-        est = estimator(family, features_col, label_col, **params)
+        est = estimator(family, "scaled_features" if scale else features_col, label_col, **params)
+        if scale:
+            est = Pipeline(stages=[scaler(features_col, "scaled_features"), est])
         t0 = time.perf_counter()
         model = est.fit(train)
         fit_s = time.perf_counter() - t0
-        return (
+        return model, (
             family, param_name, i, float(v) if not isinstance(v, (list, tuple)) else float(v[0]),
             score(model, train, label_col, metric), score(model, val, label_col, metric),
             score(model, test, label_col, metric), fit_s,
         )
 
     with ThreadPoolExecutor(max_workers=max(1, parallelism)) as pool:
-        rows = list(pool.map(fit_one, list(enumerate(values))))
+        done = list(pool.map(fit_one, list(enumerate(values))))
+    rows = [row for _, row in done]
+    if fitted is not None:
+        fitted += [model for model, _ in done]
     schema = T.StructType([
         T.StructField("family", T.StringType()), T.StructField("param", T.StringType()),
         T.StructField("ordinal", T.IntegerType()), T.StructField("value", T.DoubleType()),
@@ -202,6 +207,12 @@ def sweep(
     return mark_best(spark.createDataFrame(rows, schema))
 
 
+def best_predictions(fitted: Sequence, table: DataFrame, data: DataFrame) -> DataFrame:
+    """Predictions on ``data`` of the sweep's selected model."""
+    best = table.where("is_best").select("ordinal").first()[0]
+    return fitted[best].transform(data)
+
+
 def cross_validate(
     family: str,
     grid: dict[str, Sequence],
@@ -227,8 +238,6 @@ def cross_validate(
     est = estimator(family, feat, label_col, **fixed)
     builder = ParamGridBuilder()
     for name, values in grid.items():
-        if family == "rf" and name == "maxDepth":
-            values = [min(int(v), MAX_TREE_DEPTH) for v in values]
         builder = builder.addGrid(est.getParam(name), list(values))
     maps = builder.build()
     ev = MulticlassClassificationEvaluator(labelCol=label_col, predictionCol="prediction", metricName="f1")

@@ -43,7 +43,7 @@ _CAPPED = f"""capped AS (
 
 _ARGMAX = """pred AS (
   SELECT vec_id, label AS class,
-         CAST(list_position(embedding[1:10], list_max(embedding[1:10])) - 1 AS BIGINT) AS prediction
+         CAST((list_position(embedding, list_max(embedding)) - 1) % 10 AS BIGINT) AS prediction
   FROM embeddings)"""
 
 _HASH_SPLIT = (
@@ -88,7 +88,8 @@ w AS (SELECT lo, (hi - lo) / 11 AS width FROM b),
 h AS (
   SELECT CAST(CASE WHEN w.width = 0 THEN 0 ELSE least(floor((c.class - w.lo) / w.width), 10) END AS INTEGER) AS bin
   FROM classified c, w WHERE c.class IS NOT NULL)
-SELECT h.bin, count(*) AS n, w.lo + h.bin * w.width AS lower FROM h, w GROUP BY h.bin, w.lo, w.width""",
+SELECT CAST(r.i AS INTEGER) AS bin, count(h.bin) AS n, w.lo + r.i * w.width AS lower
+FROM w, range(11) r(i) LEFT JOIN h ON h.bin = r.i WHERE w.lo IS NOT NULL GROUP BY r.i, w.lo, w.width""",
     "classified_join": _BASE_F + f"""
 SELECT c.song, c.artist, c.class, {_FEATURE_COLS}
 FROM classified c JOIN features_a f ON c.song = f.title AND c.artist = f.artist_name""",

@@ -184,7 +184,7 @@ LOOKUP_SQL = r"""t1 AS (
 t2 AS (
   SELECT q, id, popularity FROM (
     SELECT *, row_number() OVER (PARTITION BY q ORDER BY popularity DESC, id) AS rn
-    FROM (SELECT trim(regexp_replace(lower(title || ' ' || artist), '[^a-z0-9]+', ' ', 'g')) AS q,
+    FROM (SELECT nullif(trim(regexp_replace(lower(title || ' ' || artist), '[^\p{L}\p{N}]+', ' ', 'g')), '') AS q,
                  id, popularity FROM cat)) WHERE rn = 1),
 lookup AS (
   SELECT s.song, s.artist, s.class,
@@ -192,7 +192,7 @@ lookup AS (
          CAST(COALESCE(t1.popularity, t2.popularity, 0) AS INTEGER) AS popularity
   FROM classified s
   LEFT JOIN t1 ON s.song = t1.title AND s.artist = t1.artist
-  LEFT JOIN t2 ON trim(regexp_replace(lower(s.song || ' ' || s.artist), '[^a-z0-9]+', ' ', 'g')) = t2.q),
+  LEFT JOIN t2 ON trim(regexp_replace(lower(s.song || ' ' || s.artist), '[^\p{L}\p{N}]+', ' ', 'g')) = t2.q),
 identified AS (
   SELECT * FROM lookup WHERE track_id IS NULL OR track_id <> '')"""
 

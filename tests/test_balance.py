@@ -51,35 +51,13 @@ def test_seeded_sample_independent_of_partitioning(spark):
     assert a == b and len(a) == 50
 
 
-def test_candidate_prefilter_falls_back_exactly(spark, monkeypatch):
-    from rankforge.operators import ordinal
-
-    # force the large-input paths (pre-filter, range-partitioned ordinal)
-    monkeypatch.setattr(balance, "ROWS_PER_RANGE_PARTITION", 100)
-    monkeypatch.setattr(ordinal, "ROWS_PER_RANGE_PARTITION", 100)
+def test_candidates_are_an_exact_superset(spark):
     df = _labelled(spark, {0: 400, 1: 250, 2: 30})
-    want = balance.exact_sample_per_class(df, 200, ["song", "artist"])
-    assert _counts(want) == {0: 200, 1: 200, 2: 30}
-    # margin below 1: groups come up short and fall back to every row
-    monkeypatch.setattr(balance, "CANDIDATE_MARGIN", 0.9)
-    monkeypatch.setattr(balance, "CANDIDATE_SLACK", 0)
     got = balance.exact_sample_per_class(df, 200, ["song", "artist"])
-    assert sorted(r.song for r in got.collect()) == sorted(r.song for r in want.collect())
     assert _counts(got) == {0: 200, 1: 200, 2: 30}
-    one = balance.seeded_sample(df, 77, ["song", "artist"])
-    monkeypatch.setattr(balance, "CANDIDATE_MARGIN", 1.1)
-    monkeypatch.setattr(balance, "CANDIDATE_SLACK", 100)
-    assert sorted(r.song for r in one.collect()) == sorted(
-        r.song for r in balance.seeded_sample(df, 77, ["song", "artist"]).collect()
-    )
-
-
-def test_cap_classes_same_on_small_and_large_paths(spark, monkeypatch):
-    from rankforge.operators import ordinal
-
-    df = _labelled(spark, {0: 500, 10: 350, 4: 20})
-    small = sorted(r.song for r in balance.cap_classes(df, [0, 10], 120, ["song", "artist"]).collect())
-    monkeypatch.setattr(balance, "ROWS_PER_RANGE_PARTITION", 60)
-    monkeypatch.setattr(ordinal, "ROWS_PER_RANGE_PARTITION", 60)
-    large = sorted(r.song for r in balance.cap_classes(df, [0, 10], 120, ["song", "artist"]).collect())
-    assert small == large and len(small) == 260
+    some = balance._candidates(df, 20, ["song", "artist"], 0, ["class"])
+    assert all(20 <= n < 60 for n in _counts(some).values())
+    ranked = balance.sample_rank(df, ["song", "artist"], 0, ["class"]).where("sample_rank <= 20")
+    assert {r.song for r in ranked.collect()} <= {r.song for r in some.collect()}
+
+

@@ -15,7 +15,7 @@ def _inputs(spark):
         [("Song %d" % i, "Band") for i in range(30)], "title string, artist_name string"
     )
     catalogue = spark.createDataFrame(
-        [("tA", "The Beatles", '"Hello, Goodbye"', 80), ("tB", "The Beatles", "Hey Jude", 90)]
+        [("tA", "The Beatles", "Hello, Goodbye", 80), ("tC", "the beatles", "hello goodbye", 95), ("tB", "The Beatles", "Hey Jude", 90)]
         + [("s%d" % i, "Band", "Song %d" % i, 10) for i in range(30)],
         "id string, artist string, title string, popularity int",
     )
@@ -34,7 +34,7 @@ def test_build_enriched_chain(spark):
     rows = {(r.song, r.artist): r for r in out.collect()}
     # first row per key wins (class 3 before 0); the 2-field line is dropped
     assert rows[("Hey Jude", "The Beatles")]["class"] == 3
-    assert rows[('"Hello, Goodbye"', "The Beatles")].track_id == "tA"
+    assert rows[("Hello, Goodbye", "The Beatles")].track_id == "tA"
     assert ("Unknown", "Nobody") not in rows  # no catalogue hit -> dropped
     # (5 chart rows + header) / 10 = 0 default-class rows
     assert out.where(F.col("class") == 10).count() == 0

@@ -4,7 +4,7 @@ from rankforge.operators import enrich
 from rankforge.schemas import SEARCH_RESPONSE
 
 
-def test_fallback_lookup_tiers(spark, monkeypatch):
+def test_fallback_lookup_tiers(spark):
     songs = spark.createDataFrame(
         [("Hello", "Adele", 1), ("Yesterday", "The Beatles", 2), ("Nothing", "Nobody", 3), ("Two", "Hits", 4)],
         "song string, artist string, class bigint",
@@ -21,13 +21,19 @@ def test_fallback_lookup_tiers(spark, monkeypatch):
     )
     want = {"Hello": ("id1", 50), "Yesterday": ("id2", 70), "Nothing": ("", 0), "Two": ("id4", 40)}
     got = {r.song: (r.track_id, r.popularity) for r in enrich.fallback_lookup(songs, cat).collect()}
-    assert got == want  # catalogue not 10x the songs: aggregated first
-    # a catalogue much larger than the songs: key pre-filter -- same answer
-    monkeypatch.setattr(enrich, "PREFILTER_MIN_RATIO", 1)
-    got = {r.song: (r.track_id, r.popularity) for r in enrich.fallback_lookup(songs, cat).collect()}
     assert got == want
 
 
+def test_fallback_lookup_keeps_scripts_apart(spark):
+    songs = spark.createDataFrame([("東京", "嵐"), ("!!!", "???"), ("Élan", "Ô")], "song string, artist string")
+    cat = spark.createDataFrame(
+        [("a", "李", "上海", 9), ("b", "...", "---", 9), ("c", "ô", "élan", 3)],
+        "id string, artist string, title string, popularity int",
+    )
+    got = {r.song: r.track_id for r in enrich.fallback_lookup(songs, cat).collect()}
+    assert got == {"東京": "", "!!!": "", "Élan": "c"}
+
+
 def test_join_features_fan_out_and_order(spark):
     cls = spark.createDataFrame([("s", "a", 1), ("t", "a", 2)], "song string, artist string, class bigint")
     feats = spark.createDataFrame(
@@ -39,7 +45,7 @@ def test_join_features_fan_out_and_order(spark):
     assert sorted(r.year for r in out.collect()) == [1990, 1991]
 
 
-def test_batch_enrich_drops_missing_and_keeps_both_ids(spark, monkeypatch):
+def test_batch_enrich_drops_missing_and_keeps_both_ids(spark):
     ident = spark.createDataFrame(
         [(f"s{i:03d}", "a", 1, f"t{i}", 5) for i in range(250)],
         "song string, artist string, class bigint, track_id string, popularity int",
@@ -54,10 +60,10 @@ def test_batch_enrich_drops_missing_and_keeps_both_ids(spark, monkeypatch):
     assert all(r.track_id == r.id for r in rows)
     batches = {r.song: r.batch_id for r in rows}
     assert batches["s001"] == 0 and batches["s199"] == 1 and batches["s249"] == 2
-    # feature records counted as many: id pre-filter -- same rows
-    monkeypatch.setattr(enrich, "PREFILTER_MIN_RATIO", 0)
-    again = enrich.batch_enrich(ident, feats, ["song"], feature_cols=["danceability", "key"]).collect()
-    assert sorted(map(tuple, again)) == sorted(map(tuple, rows))
+    # the last of several records wins
+    twice = feats.selectExpr("*", "1 AS at").unionByName(spark.createDataFrame([("t1", 9.0, 3, 2)], "id string, danceability double, key int, at int"))
+    again = enrich.batch_enrich(ident, twice, ["song"], feature_cols=["danceability", "key"], record_order="at").collect()
+    assert len(again) == 245 and [r.danceability for r in again if r.id == "t1"] == [9.0]
 
 
 def test_row_aligned_concat_missing_row(spark):

@@ -18,7 +18,7 @@ def con():
 def test_every_query_has_callable_and_oracle_keys_exist():
     qs = entry.queries()
     assert set(ORACLE) <= set(qs)
-    rows_only = set(qs) - set(ORACLE)
+    rows_only = set(QUERIES) - set(ORACLE)
     assert rows_only == {
         "lr_sweep", "rf_sweep", "mlp_sweep", "svc_sweep", "lr_iter_sweep", "rf_trees_sweep",
         "mlp_iter_sweep", "svc_iter_sweep", "binary_rf_sweep", "binary_mlp_rate_sweep",

@@ -37,21 +37,9 @@ def test_null_group_and_chunks(spark):
     assert chunks[0] == 0 and chunks[999] == 0 and chunks[1000] == 1 and chunks[2500] == 2
 
 
-def test_range_path_sized_from_row_count(spark, monkeypatch):
+def test_offsets_are_not_forced_to_broadcast(spark):
     from rankforge.operators import ordinal
 
-    monkeypatch.setattr(ordinal, "ROWS_PER_RANGE_PARTITION", 700)  # 3000 rows -> 5 partitions
-    df = spark.range(0, 3000).selectExpr("id", "CAST(id % 4 AS STRING) AS g", "md5(CAST(id AS STRING)) AS h")
-    got = ordinal.with_ordinal(df, ["h", "id"], group_by=["g"])
-    brute = df.withColumn("expect", F.row_number().over(Window.partitionBy("g").orderBy("h", "id")))
-    assert got.join(brute, ["id", "g", "h"]).where("ordinal <> expect").count() == 0
-
-
-def test_offsets_joined_by_shuffle_above_the_broadcast_bound(spark, monkeypatch):
-    from rankforge.operators import ordinal
-
-    monkeypatch.setattr(ordinal, "BROADCAST_OFFSETS_MAX_ROWS", 0)
-    # no hint from us, and no automatic broadcast from the planner either
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
     try:

@@ -58,6 +58,20 @@ def test_sharded_stage_resumes(spark, tmpdir_path):
     assert full.count() == 2500 and full.select("song").distinct().count() == 2500
 
 
+def test_sharded_stage_resumes_after_empty_shards(spark, tmpdir_path):
+    rows = spark.range(5).selectExpr("id", "CAST(id % 2 AS BIGINT) AS shard_id")
+    for keep, n in (("shard_id = 1", 2), ("false", 0)):
+        out, seen = os.path.join(tmpdir_path, f"stage{n}"), []
+
+        def stage(df, keep=keep, seen=seen):
+            seen.append(sorted(r.shard_id for r in df.select("shard_id").distinct().collect()))
+            return df.where(keep)
+
+        assert shards.run_sharded_stage(rows, stage, out).count() == n
+        assert shards.run_sharded_stage(rows, stage, out).count() == n
+        assert seen == [[0, 1], []]
+
+
 def test_csv_sinks_round_trip(spark, tmpdir_path):
     df = spark.createDataFrame([("a, b", 1)], "song string, class int")
     sinks.write_single_csv(df, os.path.join(tmpdir_path, "one"))
