@@ -5,6 +5,7 @@ import pytest
 
 import __spark_entry__ as entry
 from oracle_compare import compare, duck
+from rankforge.plans.catalogue import QUERIES
 
 SF = "/root/testdata/sf0.001"
 ORACLE = entry.oracle_sql()
