@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from rankforge.session import ensure_checkpoint_dir
 
-from . import bpe, decontaminate, line_dedup, pii, quality, sharding, simhash, token_count, toxicity
+from . import bpe, decontaminate, line_dedup, pii, quality, sharding, simhash, suffix_dedup, token_count, toxicity
 from .text import table, whole_text
 
 
@@ -45,6 +45,11 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = suffix_dedup.remove_repeats(_documents(spark, sf_dir, "doc_id", "text"), keep=["doc_id"])
+    return out.select("row.doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op6_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = sharding.assign(_documents(spark, sf_dir, "doc_id", "text"), shards=24)
     return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
@@ -77,7 +82,7 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {f.__name__: f for f in (
-    op1_toxicity, op2_quality_rules, op3_pii, op4_byte_bpe, op6_sharding, op7_decontamination, op8_simhash, op9_line_dedup,
+    op1_toxicity, op2_quality_rules, op3_pii, op4_byte_bpe, op5_suffix_dedup, op6_sharding, op7_decontamination, op8_simhash, op9_line_dedup,
     op10_token_count)}
 
 _WS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
