@@ -29,6 +29,7 @@ counts as larger than all others; ids are integers.
 
 from __future__ import annotations
 
+import gc
 import os
 import posixpath
 from collections import Counter
@@ -207,80 +208,97 @@ def _shared_places(docs: DataFrame) -> DataFrame:
 
 
 def _occurrences(docs: DataFrame) -> DataFrame:
-    """(h, c, off, d, a): anchor hash, context, the anchor's place in it, document, the context's start."""
-    places = _shared_places(docs).groupBy("d").agg(F.collect_set("at").alias("places"))
+    """(h, c, off, d, t, a): anchor hash, context, the anchor's place in it,
+    document id and text hash, the context's start."""
+    places = _shared_places(docs.select("d", "x")).groupBy("d").agg(F.collect_set("at").alias("places"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for lo in range(0, len(b), 256):
                 rows = []
                 part = b.slice(lo, 256)
-                for d, t, wanted in zip(part.column(0).to_pylist(), part.column(1), part.column(2).to_pylist()):
-                    text, wanted = t.as_py(), set(wanted)
-                    for h, p in zip(*(x.tolist() for x in anchors(text))):
+                for d, t, x, wanted in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), part.column(3).to_pylist()):
+                    text, wanted = x.as_py(), set(wanted)
+                    for h, p in zip(*(v.tolist() for v in anchors(text))):
                         if p in wanted:
                             c, a = _context(text, p)
-                            rows.append((h, c, p - a, d, a))
-                cols = list(zip(*rows)) or [()] * 5
-                types = (pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=["h", "c", "off", "d", "a"])
+                            rows.append((h, c, p - a, d, t, a))
+                cols = list(zip(*rows)) or [()] * 6
+                types = (pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
+                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=["h", "c", "off", "d", "t", "a"])
 
-    return docs.join(places, "d").select("d", "x", "places").mapInArrow(run, "h long, c binary, off int, d long, a int")
+    return docs.join(places, "d").select("d", "t", "x", "places").mapInArrow(run, "h long, c binary, off int, d long, t long, a int")
 
 
 def _context_marks(contexts: DataFrame) -> DataFrame:
-    """(h, off, c, first) -> the same with ``marks``, for anchors with several contexts."""
+    """(h, k1, k2, off, c, first) -> (k1, k2, first, marks): one row per context."""
+
+    def halves(off: int, c: bytes) -> list[tuple[int, bytes]]:
+        # A window around the anchor has 17 bytes more on its left or on its right.
+        side = (LENGTH - GRAM) // 2
+        left, right = c[max(0, off - side):off], c[off + GRAM:off + GRAM + side]
+        return [(k, x) for k, x in enumerate((left, right)) if len(x) == side]
+
+    def solved(rows: list[tuple]) -> list[tuple]:
+        count = Counter(x for _, _, off, c, _ in rows for x in halves(off, c))
+        live = [k for k, r in enumerate(rows) if any(count[x] > 1 for x in halves(r[2], r[3]))]
+        marks: list[list[int]] = [[] for _ in rows]
+        for k, m in zip(live, _marks([(rows[k][3], rows[k][4]) for k in live]) if live else ()):
+            marks[k] = sorted(m)
+        return [(k1, k2, d, m) for (k1, k2, _, _, d), m in zip(rows, marks)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def halves(off, c):
-            # A window around the anchor has 17 bytes more on its left or on its right.
-            side = (LENGTH - GRAM) // 2
-            left, right = c[max(0, off - side):off], c[off + GRAM:off + GRAM + side]
-            return [(k, x) for k, x in enumerate((left, right)) if len(x) == side]
-
-        def solved(key, rows):
-            if len(rows) < 2:
-                return []
-            count = Counter(x for off, c, _ in rows for x in halves(off, c))
-            rows = [r for r in rows if any(count[x] > 1 for x in halves(r[0], r[1]))]
-            return [(key, off, c, m) for (off, c, _), m in zip(rows, _marks([(c, d) for _, c, d in rows])) if m]
-
-        def batch(rows):
+        def batch(rows: list[tuple]) -> pa.RecordBatch:
             cols = list(zip(*rows)) or [()] * 4
-            return pa.RecordBatch.from_arrays(
-                [pa.array(list(c), t) for c, t in zip(cols, (pa.int64(), pa.int32(), pa.binary(), pa.list_(pa.int32())))], names=["h", "off", "c", "marks"])
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
+            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=["k1", "k2", "first", "marks"])
 
         key, rows = None, []
         for b in batches:
             out = []
-            for h, off, c, d in zip(*(b.column(x).to_pylist() for x in ("h", "off", "c", "first"))):
+            for h, *row in zip(*(b.column(x).to_pylist() for x in ("h", "k1", "k2", "off", "c", "first"))):
                 if h != key:
-                    out += solved(key, rows)
+                    out += solved(rows)
                     key, rows = h, []
-                rows.append((off, c, d))
+                rows.append(tuple(row))
             yield batch(out)
-        yield batch(solved(key, rows))
+        yield batch(solved(rows))
 
-    return contexts.repartition("h").sortWithinPartitions("h").mapInArrow(run, "h long, off int, c binary, marks array<int>")
+    return contexts.repartition("h").sortWithinPartitions("h").mapInArrow(run, "k1 long, k2 long, first long, marks array<int>")
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` as a table in the shared folder. What was shuffled to make it is
+    not needed again; a collection lets Spark delete those files."""
+    spark, schema = df.sparkSession, df.schema
+    df.write.option("compression", "zstd").parquet(path)
+    del df
+    gc.collect()
+    spark._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", keep: list[str] | None = None) -> DataFrame:
     """Every row of ``docs`` as a struct ``row`` with ``n_bytes``,
     ``n_removed``, ``n_spans`` and ``kept`` (binary)."""
-    spark = docs.sparkSession
     order = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit((1 << 63) - 1))
-    rows = carried(docs, keep, d=order, x=whole_text(f"`{text}`").cast("binary"))
-    path = posixpath.join(ensure_checkpoint_dir(spark), f"contexts-{os.urandom(8).hex()}")
-    _occurrences(rows.select("d", "x").distinct()).write.parquet(path)
-    seen = spark.read.parquet(path)
-    contexts = seen.groupBy("h", "off", "c").agg(F.min("d").alias("first"))
-    marks = _context_marks(contexts)
+    rows = carried(docs, keep, d=order, x=whole_text(f"`{text}`").cast("binary")).withColumn("t", F.xxhash64("x"))
+    path = posixpath.join(ensure_checkpoint_dir(docs.sparkSession), f"contexts-{os.urandom(8).hex()}")
+    seen = _written(_occurrences(rows.select("d", "t", "x")), f"{path}-seen")
+    # A context is known by a 128-bit hash from here on.
+    seen = seen.withColumns({"k1": F.xxhash64("h", "off", "c"), "k2": F.xxhash64("c", "off", F.lit(23))})
+    contexts = seen.groupBy("h", "k1", "k2").agg(F.min("d").alias("first"), F.first("off").alias("off"), F.first("c").alias("c"))
+    marks = _written(_context_marks(contexts), f"{path}-marks")
     # All windows of a context repeat in later documents; in the first one, those marked.
-    last = F.octet_length("c") - LENGTH
-    judged = seen.join(contexts, ["h", "off", "c"]).join(marks, ["h", "off", "c"], "left").select(
-        "d", "a", F.when(F.col("d") > F.col("first"), F.when(last >= 0, F.sequence(F.lit(0), last))).otherwise(F.col("marks")).alias("m"))
-    starts = judged.where("m is not null").select("d", F.transform("m", lambda o: o + F.col("a")).alias("m")).groupBy("d").agg(
-        F.array_distinct(F.flatten(F.collect_set("m"))).alias("starts"))
+    last = (F.octet_length("c") - LENGTH).alias("last")
+    judged = seen.select("k1", "k2", "d", "t", "a", last).join(marks, ["k1", "k2"]).select(
+        "d", "t", "a", F.when(F.col("d") > F.col("first"), F.when(F.col("last") >= 0, F.sequence(F.lit(0), "last"))).otherwise(F.col("marks")).alias("m"))
+    # As (first, last) window starts: whole contexts are one run.
+    runs = judged.where("size(m) > 0").select("d", "t", F.when(
+        F.col("m")[F.size("m") - 1] - F.col("m")[0] == F.size("m") - 1,
+        F.array(F.struct((F.col("a") + F.col("m")[0]).alias("lo"), (F.col("a") + F.col("m")[F.size("m") - 1]).alias("hi")))).otherwise(
+        F.transform("m", lambda o: F.struct((F.col("a") + o).alias("lo"), (F.col("a") + o).alias("hi")))).alias("m"))
+    starts = runs.groupBy("d", "t").agg(F.flatten(F.collect_list("m")).alias("starts"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -289,9 +307,8 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
                 data = np.frombuffer(t.as_py(), np.uint8)
                 step = np.zeros(len(data) + 1, np.int64)
                 if s.is_valid:
-                    at = s.values.to_numpy()
-                    np.add.at(step, at, 1)
-                    np.add.at(step, at + LENGTH, -1)
+                    np.add.at(step, s.values.field("lo").to_numpy(), 1)
+                    np.add.at(step, s.values.field("hi").to_numpy() + LENGTH, -1)
                 gone = np.cumsum(step[:-1]) > 0
                 sizes.append(len(data))
                 removed.append(int(gone.sum()))
@@ -302,4 +319,4 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
                 names=["row", "n_bytes", "n_removed", "n_spans", "kept"])
 
     schema = T.StructType([rows.schema["row"], *[T.StructField(c, T.LongType()) for c in ("n_bytes", "n_removed", "n_spans")], T.StructField("kept", T.BinaryType())])
-    return rows.join(starts, "d", "left").select("row", "x", "starts").mapInArrow(run, schema)
+    return rows.join(starts, ["d", "t"], "left").select("row", "x", "starts").mapInArrow(run, schema)
