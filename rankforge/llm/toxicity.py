@@ -151,20 +151,29 @@ def _lambda(scores: np.ndarray, share: np.ndarray) -> float:
     return max(high, 1e-3)
 
 
-def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 1.0) -> np.ndarray:
-    """Newton's method with a ridge penalty."""
+def _logistic(x: np.ndarray, y: np.ndarray, weight: np.ndarray, ridge: float = 0.01) -> np.ndarray:
+    """Newton's method with step halving and a ridge penalty, on columns of
+    unit size (the first is the constant)."""
+    size = np.maximum(np.sqrt((x ** 2).mean(axis=0)), 1e-9)
+    x = x / size
+    penalty = np.full(x.shape[1], ridge)
+    penalty[0] = 1e-6
+
+    def loss(b: np.ndarray) -> float:
+        return float((weight * (np.logaddexp(0, x @ b) - y * (x @ b))).sum() + (penalty * b * b).sum() / 2)
+
     beta = np.zeros(x.shape[1])
-    penalty = ridge * np.eye(len(beta))
-    penalty[0, 0] = 1e-6
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(x @ beta, -30, 30)))
-        gradient = x.T @ (weight * (p - y)) + penalty @ beta
-        hessian = (x * (weight * np.maximum(p * (1 - p), 1e-9))[:, None]).T @ x + penalty
-        step = np.linalg.solve(hessian, gradient)
-        beta -= np.clip(step, -5, 5)
-        if np.abs(step).max() < 1e-8:
+    for _ in range(100):
+        p = 1 / (1 + np.exp(-np.clip(x @ beta, -500, 500)))
+        gradient = x.T @ (weight * (p - y)) + penalty * beta
+        hessian = (x * (weight * p * (1 - p))[:, None]).T @ x + np.diag(penalty)
+        step, t = np.linalg.solve(hessian, gradient), 1.0
+        while loss(beta - t * step) > loss(beta) and t > 1e-6:
+            t /= 2
+        beta = beta - t * step
+        if np.abs(t * step).max() < 1e-8:
             break
-    return beta
+    return beta / size
 
 
 def fit(docs: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", text: str = "text", label: str = "toxic",
