@@ -158,7 +158,7 @@ def fit(features: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", lang:
         .select("stratum", "_y", F.expr(f"stack({len(MEASURES)}, {pairs}) as (measure, bin)"))
         .groupBy("stratum", "measure", "bin")
         .agg(F.sum((F.col("_y") > 0).cast("long")).alias("good"), F.sum((F.col("_y") <= 0).cast("long")).alias("bad"))
-    )
+    ).checkpoint()  # small, and read several times
     # One cut below each occupied bin: it rejects that bin and those above.
     whole = Window.partitionBy("stratum", "measure")
     above = whole.orderBy(F.desc("bin"))
