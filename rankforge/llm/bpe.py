@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from .text import carried, whole_text
 
-SLICE_BYTES, CACHE_TOKENS = 8 << 20, 400_000
+SLICE_BYTES, CACHE_TOKENS = 4 << 20, 200_000
 
 
 @functools.cache
@@ -127,7 +127,8 @@ def replay(pretokens: list[bytes], ranks: dict[bytes, int], vocab: list[bytes],
 
 
 def encoder(path: str, pattern: str):
-    """texts (bytes) -> ids of each, as uint32 arrays; keeps a cache."""
+    """texts (bytes) -> ids of each, as uint32 arrays; keeps a cache of
+    pre-tokens with their ids as bytes."""
     import regex
 
     ranks, vocab, merges = load(path)
@@ -136,21 +137,19 @@ def encoder(path: str, pattern: str):
     def encode(texts: list[bytes]) -> list[np.ndarray]:
         if len(cache) > CACHE_TOKENS:
             cache.clear()
+        if len(merges) > CACHE_TOKENS:
             merges.clear()
         tokens = [split(t.decode("utf-8", "replace")) for t in texts]
-        missing = {w for ws in tokens for w in ws if w not in cache}
-        raw = {w: w.encode() for w in missing}
-        whole = {w: (ranks[b],) for w, b in raw.items() if b in ranks}
-        cache.update(whole)
-        rest = sorted(missing - whole.keys())
-        cache.update(zip(rest, map(tuple, replay([raw[w] for w in rest], ranks, vocab, merges))))
-        out = []
-        for ws in tokens:
-            ids: list[int] = []
-            for w in ws:
-                ids += cache[w]
-            out.append(np.array(ids, "<u4"))
-        return out
+        rest = []
+        for w in {w for ws in tokens for w in ws if w not in cache}:
+            rank = ranks.get(w.encode())
+            if rank is None:
+                rest.append(w)
+            else:
+                cache[w] = rank.to_bytes(4, "little")
+        for w, ids in zip(rest, replay([w.encode() for w in rest], ranks, vocab, merges)):
+            cache[w] = np.array(ids, "<u4").tobytes()
+        return [np.frombuffer(b"".join(map(cache.__getitem__, ws)), "<u4") for ws in tokens]
 
     return encode
 
