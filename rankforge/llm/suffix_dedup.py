@@ -3,17 +3,21 @@
 A byte goes if some ``length`` = 50 bytes around it also start in a document
 with a smaller id. Strings are judged on the input.
 
-1. Anchors: of all 16-byte grams of a text, those with the smallest hash in
-   some window of 50 bytes. Equal windows have equal anchors at the same
-   places, so only windows around an anchor that two documents share can
-   repeat. The anchors (hash, document, place; no text) are range-partitioned
-   on (hash, document), so a frequent anchor spreads over many tasks, and
-   streamed; those of one document alone are left out there.
-2. Contexts: each shared anchor with the 34 bytes on either side, which hold
-   all windows around it. Equal contexts are one, with the smallest id that
-   has it. In documents with a larger id all of it repeats.
-3. Suffix arrays: the different contexts of an anchor (those that agree with
-   another in 17 bytes on a side of it) are put side by side and
+0. Of equal texts, those with larger ids than the smallest go whole; only the
+   one with the smallest id is looked at below.
+1. Anchors: every window of 50 bytes has one anchor, the 16-byte gram of
+   smallest hash in it (the leftmost of equal ones). Equal windows have equal
+   anchors at the same places, so only windows of an anchor that two documents
+   share can repeat. The anchors (hash, document, place; no text) are
+   range-partitioned on (hash, document), so a frequent anchor spreads over
+   many tasks, and streamed; those of one document alone are left out there.
+2. Contexts: each shared anchor with the bytes of its windows, known by the
+   64-bit hashes of both. Equal contexts are one, with the smallest id that has it. In
+   documents with a larger id all of it repeats. Only where an anchor has
+   several contexts are their bytes looked up, once each.
+3. Suffix arrays: an anchor's contexts are trimmed to what agrees with another
+   one from the anchor to the left and to the right; the different remainders
+   of 50 bytes or more are put side by side and
    their suffixes sorted by linear grouping construction: groups of equal
    Lyndon prefixes are processed in descending order; the previous-smaller
    pointers of a group's suffixes name the suffixes whose Lyndon prefix the
@@ -22,6 +26,9 @@ with a smaller id. Strings are judged on the input.
    are one string; its smallest id marks the rest.
 4. The marks go back to their documents, and the marked bytes go.
 
+What one step hands to the next is a table in the shared folder, so that
+Spark can delete the shuffle files of the steps before.
+
 Defined cases: a null or empty text has no bytes; texts shorter than 50 bytes
 keep all; documents with one id are one document, neither smaller; a null id
 counts as larger than all others; ids are integers.
@@ -32,7 +39,6 @@ from __future__ import annotations
 import gc
 import os
 import posixpath
-from collections import Counter
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -130,10 +136,10 @@ def _slide(x: np.ndarray, width: int, f) -> np.ndarray:
     return x if n == width else f(x[:len(x) - (width - n)], x[width - n:])
 
 
-def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes and places of the anchors."""
+def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Of each anchor: its hash, its place, the starts of the first and the last of its windows."""
     if len(text) < LENGTH:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        return (np.zeros(0, np.int64),) * 4
     h, n = np.frombuffer(text, np.uint8).astype(np.uint64) + np.uint64(1), 1
     for step in _STEPS:
         h = h[:-n] * np.uint64(step) + h[n:]
@@ -141,41 +147,48 @@ def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray]:
         n *= 2
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
-    width = LENGTH - GRAM + 1
-    pad = np.zeros(width - 1, np.uint64)
-    least = _slide(h, width, np.minimum)
-    at = np.flatnonzero(_slide(np.concatenate([pad, least, pad]), width, np.maximum) == h)
-    return h[at].view(np.int64), at
-
-
-def _context(text: bytes, at: int) -> tuple[bytes, int]:
-    """The context of the anchor at a place, and where it begins."""
-    a = max(0, at - (LENGTH - GRAM))
-    return text[a:at + LENGTH], a
+    low = np.uint64(0xFFFFFFFF)
+    ranked = (h & ~low) | np.arange(len(h), dtype=np.uint64)
+    place = (_slide(ranked, LENGTH - GRAM + 1, np.minimum) & low).astype(np.int64)  # of each window's anchor
+    first = np.flatnonzero(np.diff(place, prepend=-1))
+    at = place[first]
+    return h[at].view(np.int64), at, first, np.append(first[1:], len(place)) - 1
+
+
+def _agreement(words: list[bytes]) -> list[int]:
+    """The longest common prefix of each word with another one."""
+    out = [0] * len(words)
+    order = sorted(range(len(words)), key=words.__getitem__)
+    for i, j in zip(order, order[1:]):
+        n = min(len(words[i]), len(words[j]))
+        differ = int.from_bytes(words[i][:n], "big") ^ int.from_bytes(words[j][:n], "big")
+        n -= (differ.bit_length() + 7) // 8
+        out[i], out[j] = max(out[i], n), max(out[j], n)
+    return out
 
 
-def _marks(contexts: list[tuple[bytes, int]]) -> list[list[int]]:
-    """Starts of the windows in each (context, smallest id) that a context with a smaller id has."""
+def _marks(pieces: list[tuple[bytes, int]]) -> list[list[int]]:
+    """Starts of the windows in each (text, smallest id) that a piece with a smaller id has."""
     text, owner = [], []
-    for k, (c, _) in enumerate(contexts):
+    for k, (c, _) in enumerate(pieces):
         text += [*c, 256]
         owner += [k] * (len(c) + 1)
-    begin = np.cumsum([0] + [len(c) + 1 for c, _ in contexts])
-    out: list[list[int]] = [[] for _ in contexts]
+    begin = np.cumsum([0] + [len(c) + 1 for c, _ in pieces]).tolist()
+    out: list[list[int]] = [[] for _ in pieces]
     run: list[tuple[int, int]] = []
     last = None
 
     def close() -> None:
         if len(run) > 1:
-            first = min(contexts[k][1] for k, _ in run)
+            first = min(pieces[k][1] for k, _ in run)
             for k, o in run:
-                if contexts[k][1] > first:
+                if pieces[k][1] > first:
                     out[k].append(o)
 
     for i in suffix_array(text):
         k = owner[i]
-        o = i - int(begin[k])
-        window = contexts[k][0][o:o + LENGTH]
+        o = i - begin[k]
+        window = pieces[k][0][o:o + LENGTH]
         if len(window) < LENGTH:
             continue
         if window != last:
@@ -186,6 +199,29 @@ def _marks(contexts: list[tuple[bytes, int]]) -> list[list[int]]:
     return out
 
 
+def _solved(contexts: list[tuple[int, bytes, int]]) -> list[list[int]]:
+    """For each (place of the anchor, context, smallest id) of one anchor the
+    starts of the windows that a smaller id has."""
+    left = _agreement([c[:off][::-1] for off, c, _ in contexts])
+    right = _agreement([c[off + GRAM:] for off, c, _ in contexts])
+    pieces: dict[bytes, int] = {}
+    cut = []
+    for (off, c, first), a, b in zip(contexts, left, right):
+        piece = c[off - a:off + GRAM + b]
+        cut.append(piece if len(piece) >= LENGTH else None)
+        if len(piece) >= LENGTH:
+            pieces[piece] = min(first, pieces.get(piece, first))
+    found = dict(zip(pieces, _marks(list(pieces.items())))) if pieces else {}
+    out = []
+    for (off, _, first), a, piece in zip(contexts, left, cut):
+        if piece is None:
+            out.append([])
+        else:
+            starts = range(len(piece) - LENGTH + 1) if first > pieces[piece] else sorted(found[piece])
+            out.append([off - a + o for o in starts])
+    return out
+
+
 def _shared_places(docs: DataFrame) -> DataFrame:
     """(d, at) of the anchors that several documents have, and a few more at
     the partitions' borders."""
@@ -194,7 +230,7 @@ def _shared_places(docs: DataFrame) -> DataFrame:
         for b in batches:
             for lo in range(0, len(b), 512):
                 part = b.slice(lo, 512)
-                found = [anchors(t.as_py()) for t in part.column(1)]
+                found = [anchors(t.as_py())[:2] for t in part.column(1)]
                 ids = np.repeat(part.column(0).to_numpy(zero_copy_only=False), [len(h) for h, _ in found])
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.concatenate([h for h, _ in found]), pa.int64()), pa.array(ids, pa.int64()),
@@ -207,64 +243,64 @@ def _shared_places(docs: DataFrame) -> DataFrame:
     return shared.where(F.col("kind").isin(DROPPED, PENDING)).select(F.col("doc").alias("d"), "at")
 
 
-def _occurrences(docs: DataFrame) -> DataFrame:
-    """(h, c, off, d, t, a): anchor hash, context, the anchor's place in it,
-    document id and text hash, the context's start."""
-    places = _shared_places(docs.select("d", "x")).groupBy("d").agg(F.collect_set("at").alias("places"))
+def _contexts(docs: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
+    """(h, k, d, t, a, last, off, c) for the anchors of each document ``d``
+    whose ``name`` (place ``at`` or hash ``h``) is wanted: the hashes of the
+    anchor and its context, document id and text hash, start of the first
+    window, the number of windows less one, the anchor's place in the context,
+    the context."""
+    types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo in range(0, len(b), 256):
-                rows = []
-                part = b.slice(lo, 256)
-                for d, t, x, wanted in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), part.column(3).to_pylist()):
-                    text, wanted = x.as_py(), set(wanted)
-                    for h, p in zip(*(v.tolist() for v in anchors(text))):
-                        if p in wanted:
-                            c, a = _context(text, p)
-                            rows.append((h, c, p - a, d, t, a))
-                cols = list(zip(*rows)) or [()] * 6
-                types = (pa.int64(), pa.binary(), pa.int32(), pa.int64(), pa.int64(), pa.int32())
-                yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=["h", "c", "off", "d", "t", "a"])
-
-    return docs.join(places, "d").select("d", "t", "x", "places").mapInArrow(run, "h long, c binary, off int, d long, t long, a int")
+            for lo in range(0, len(b), 64):
+                part = b.slice(lo, 64)
+                cols: list[list] = [[] for _ in types]
+                for d, t, x, keep in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), part.column(3)):
+                    text = x.as_py()
+                    h, at, first, last = anchors(text)
+                    mine = np.isin(at if name == "at" else h, keep.values.to_numpy())
+                    cols[0] += h[mine].tolist()
+                    cols[1] += [d] * int(mine.sum())
+                    cols[2] += [t] * int(mine.sum())
+                    first, last = first[mine], last[mine]
+                    cols[3] += first.tolist()
+                    cols[4] += (last - first).tolist()
+                    cols[5] += (at[mine] - first).tolist()
+                    cols[6] += [text[i:j] for i, j in zip(first.tolist(), (last + LENGTH).tolist())]
+                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, types)], names=["h", "d", "t", "a", "last", "off", "c"])
+
+    sets = wanted.groupBy("d").agg(F.collect_set(name).alias("wanted"))
+    found = docs.join(sets, "d").select("d", "t", "x", "wanted").mapInArrow(run, "h long, d long, t long, a int, last int, off int, c binary")
+    return found.withColumn("k", F.xxhash64("off", "c"))
 
 
 def _context_marks(contexts: DataFrame) -> DataFrame:
-    """(h, k1, k2, off, c, first) -> (k1, k2, first, marks): one row per context."""
-
-    def halves(off: int, c: bytes) -> list[tuple[int, bytes]]:
-        # A window around the anchor has 17 bytes more on its left or on its right.
-        side = (LENGTH - GRAM) // 2
-        left, right = c[max(0, off - side):off], c[off + GRAM:off + GRAM + side]
-        return [(k, x) for k, x in enumerate((left, right)) if len(x) == side]
-
-    def solved(rows: list[tuple]) -> list[tuple]:
-        count = Counter(x for _, _, off, c, _ in rows for x in halves(off, c))
-        live = [k for k, r in enumerate(rows) if any(count[x] > 1 for x in halves(r[2], r[3]))]
-        marks: list[list[int]] = [[] for _ in rows]
-        for k, m in zip(live, _marks([(rows[k][3], rows[k][4]) for k in live]) if live else ()):
-            marks[k] = sorted(m)
-        return [(k1, k2, d, m) for (k1, k2, _, _, d), m in zip(rows, marks)]
+    """(h, k, off, c, d) -> (h, k, marks): one row per context that has any."""
+
+    def solved(h: int | None, rows: dict[int, tuple[int, bytes, int]]) -> list[tuple]:
+        if len(rows) < 2:
+            return []
+        return [(h, k, m) for k, m in zip(rows, _solved(list(rows.values()))) if m]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def batch(rows: list[tuple]) -> pa.RecordBatch:
-            cols = list(zip(*rows)) or [()] * 4
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int32()))
-            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=["k1", "k2", "first", "marks"])
+            cols = list(zip(*rows)) or [()] * 3
+            types = (pa.int64(), pa.int64(), pa.list_(pa.int32()))
+            return pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, types)], names=["h", "k", "marks"])
 
-        key, rows = None, []
+        key, rows = None, {}
         for b in batches:
             out = []
-            for h, *row in zip(*(b.column(x).to_pylist() for x in ("h", "k1", "k2", "off", "c", "first"))):
+            for h, k, off, c, d in zip(*(b.column(x).to_pylist() for x in ("h", "k", "off", "c", "d"))):
                 if h != key:
-                    out += solved(rows)
-                    key, rows = h, []
-                rows.append(tuple(row))
+                    out += solved(key, rows)
+                    key, rows = h, {}
+                rows[k] = (off, c, min(d, rows[k][2]) if k in rows else d)
             yield batch(out)
-        yield batch(solved(rows))
+        yield batch(solved(key, rows))
 
-    return contexts.repartition("h").sortWithinPartitions("h").mapInArrow(run, "k1 long, k2 long, first long, marks array<int>")
+    return contexts.repartition("h").sortWithinPartitions("h").mapInArrow(run, "h long, k long, marks array<int>")
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
@@ -283,22 +319,29 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     ``n_removed``, ``n_spans`` and ``kept`` (binary)."""
     order = F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit((1 << 63) - 1))
     rows = carried(docs, keep, d=order, x=whole_text(f"`{text}`").cast("binary")).withColumn("t", F.xxhash64("x"))
-    path = posixpath.join(ensure_checkpoint_dir(docs.sparkSession), f"contexts-{os.urandom(8).hex()}")
-    seen = _written(_occurrences(rows.select("d", "t", "x")), f"{path}-seen")
-    # A context is known by a 128-bit hash from here on.
-    seen = seen.withColumns({"k1": F.xxhash64("h", "off", "c"), "k2": F.xxhash64("c", "off", F.lit(23))})
-    contexts = seen.groupBy("h", "k1", "k2").agg(F.min("d").alias("first"), F.first("off").alias("off"), F.first("c").alias("c"))
-    marks = _written(_context_marks(contexts), f"{path}-marks")
+    path = posixpath.join(ensure_checkpoint_dir(docs.sparkSession), f"repeats-{os.urandom(8).hex()}")
+    long_enough = rows.where(F.octet_length("x") >= LENGTH).select("d", "t", "x", F.xxhash64(F.lit(23), "x").alias("u"))
+    ids = long_enough.select("d", "t", "u", F.octet_length("x").alias("n"))
+    smallest = _written(ids.groupBy("t", "u").agg(F.min("d").alias("d")), f"{path}-texts")
+    texts = long_enough.join(smallest, ["d", "t", "u"], "left_semi").select("d", "t", "x")
+    places = _written(_shared_places(texts.select("d", "x")), f"{path}-places")
+    seen = _written(_contexts(texts, places, "at").select("h", "k", "d", "t", "a", "last"), f"{path}-seen")
+    known = _written(seen.groupBy("h", "k").agg(F.min("d").alias("d")), f"{path}-known")
+    several = known.groupBy("h").count().where("count > 1")
+    looked_up = _contexts(texts, known.join(several, "h", "left_semi"), "h")
+    marks = _written(_context_marks(looked_up.select("h", "k", "off", "c", "d")), f"{path}-marks")
     # All windows of a context repeat in later documents; in the first one, those marked.
-    last = (F.octet_length("c") - LENGTH).alias("last")
-    judged = seen.select("k1", "k2", "d", "t", "a", last).join(marks, ["k1", "k2"]).select(
-        "d", "t", "a", F.when(F.col("d") > F.col("first"), F.when(F.col("last") >= 0, F.sequence(F.lit(0), "last"))).otherwise(F.col("marks")).alias("m"))
+    first = known.withColumnRenamed("d", "first").join(marks, ["h", "k"], "left")
+    judged = seen.join(first, ["h", "k"]).select(
+        "d", "t", "a", F.when(F.col("d") > F.col("first"), F.sequence(F.lit(0), "last")).otherwise(F.col("marks")).alias("m"))
     # As (first, last) window starts: whole contexts are one run.
     runs = judged.where("size(m) > 0").select("d", "t", F.when(
         F.col("m")[F.size("m") - 1] - F.col("m")[0] == F.size("m") - 1,
         F.array(F.struct((F.col("a") + F.col("m")[0]).alias("lo"), (F.col("a") + F.col("m")[F.size("m") - 1]).alias("hi")))).otherwise(
         F.transform("m", lambda o: F.struct((F.col("a") + o).alias("lo"), (F.col("a") + o).alias("hi")))).alias("m"))
-    starts = runs.groupBy("d", "t").agg(F.flatten(F.collect_list("m")).alias("starts"))
+    copies = ids.join(smallest.withColumnRenamed("d", "first"), ["t", "u"]).where("d > first").select(
+        "d", "t", F.array(F.struct(F.lit(0).alias("lo"), (F.col("n") - LENGTH).alias("hi"))).alias("m"))
+    starts = _written(runs.unionByName(copies).groupBy("d", "t").agg(F.flatten(F.collect_list("m")).alias("starts")), f"{path}-starts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
