@@ -36,7 +36,6 @@ counts as larger than all others; ids are integers.
 
 from __future__ import annotations
 
-import gc
 import os
 import posixpath
 from collections.abc import Iterator, Sequence
@@ -53,6 +52,7 @@ from .line_dedup import DROPPED, PENDING, _runs_over
 from .text import carried, whole_text
 
 LENGTH, GRAM = 50, 16
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _STEPS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 
@@ -305,12 +305,14 @@ def _context_marks(contexts: DataFrame) -> DataFrame:
 
 def _written(df: DataFrame, path: str) -> DataFrame:
     """``df`` as a table in the shared folder. What was shuffled to make it is
-    not needed again; a collection lets Spark delete those files."""
+    not needed again; Spark deletes those files when the write ends."""
     spark, schema = df.sparkSession, df.schema
-    df.write.option("compression", "zstd").parquet(path)
-    del df
-    gc.collect()
-    spark._jvm.System.gc()
+    before = spark.conf.get(CLEANUP, "false")
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(schema).parquet(path)
 
 
