@@ -5,7 +5,7 @@ with a smaller id. Strings are judged on the input.
 
 0. Of equal texts, those with larger ids than the smallest go whole; only the
    one with the smallest id is looked at below.
-1. Anchors: every window of 50 bytes has one anchor, the 16-byte gram of
+1. Anchors: every window of 50 bytes has one anchor, the 24-byte gram of
    smallest hash in it (the leftmost of equal ones). Equal windows have equal
    anchors at the same places, so only windows of an anchor that two documents
    share can repeat. The anchors (hash, document, place; no text) are
@@ -51,7 +51,7 @@ from rankforge.session import ensure_checkpoint_dir
 from .line_dedup import DROPPED, PENDING, _runs_over
 from .text import carried, whole_text
 
-LENGTH, GRAM = 50, 16
+LENGTH, GRAM = 50, 24
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _STEPS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
@@ -145,6 +145,7 @@ def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
         h = h[:-n] * np.uint64(step) + h[n:]
         h ^= h >> np.uint64(29)
         n *= 2
+    h = h[:n - GRAM] * np.uint64(_STEPS[0]) + h[GRAM - n:]  # two overlapping halves
     h *= np.uint64(0xBF58476D1CE4E5B9)
     h ^= h >> np.uint64(32)
     low = np.uint64(0xFFFFFFFF)
