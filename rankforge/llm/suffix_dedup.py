@@ -212,7 +212,8 @@ def _solved(contexts: list[tuple[int, bytes, int]]) -> list[list[int]]:
         cut.append(piece if len(piece) >= LENGTH else None)
         if len(piece) >= LENGTH:
             pieces[piece] = min(first, pieces.get(piece, first))
-    found = dict(zip(pieces, _marks(list(pieces.items())))) if pieces else {}
+    # A piece alone repeats in all its contexts and needs no order.
+    found = dict(zip(pieces, _marks(list(pieces.items())))) if len(pieces) > 1 else dict.fromkeys(pieces, [])
     out = []
     for (off, _, first), a, piece in zip(contexts, left, cut):
         if piece is None:
@@ -261,15 +262,13 @@ def _contexts(docs: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
                     text = x.as_py()
                     h, at, first, last = anchors(text)
                     mine = np.isin(at if name == "at" else h, keep.values.to_numpy())
-                    cols[0] += h[mine].tolist()
-                    cols[1] += [d] * int(mine.sum())
-                    cols[2] += [t] * int(mine.sum())
-                    first, last = first[mine], last[mine]
-                    cols[3] += first.tolist()
-                    cols[4] += (last - first).tolist()
-                    cols[5] += (at[mine] - first).tolist()
+                    h, at, first, last = h[mine], at[mine], first[mine], last[mine]
+                    for col, v in zip(cols, (h, np.full(len(h), d), np.full(len(h), t), first, last - first, at - first)):
+                        col.append(v)
                     cols[6] += [text[i:j] for i, j in zip(first.tolist(), (last + LENGTH).tolist())]
-                yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, types)], names=["h", "d", "t", "a", "last", "off", "c"])
+                yield pa.RecordBatch.from_arrays(
+                    [*[pa.array(np.concatenate(v), t) for v, t in zip(cols[:6], types)], pa.array(cols[6], types[6])],
+                    names=["h", "d", "t", "a", "last", "off", "c"])
 
     sets = wanted.groupBy("d").agg(F.collect_set(name).alias("wanted"))
     found = docs.join(sets, "d").select("d", "t", "x", "wanted").mapInArrow(run, "h long, d long, t long, a int, last int, off int, c binary")
