@@ -39,48 +39,45 @@ SLICE_BYTES, CACHE_TOKENS = 4 << 20, 200_000
 
 
 @functools.cache
-def load(path: str) -> tuple[dict[bytes, int], list[bytes], dict]:
-    """Ranks, the bytes of each id, and the merges: (left, right) -> id."""
+def load(path: str) -> tuple[dict[bytes, int], list[bytes], dict, np.ndarray, np.ndarray]:
+    """Ranks, the bytes of each id, the merges: (left, right) -> id, the id of
+    each byte and of each pair of bytes (-1: none)."""
     with open(path, "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in (line.split() for line in f if line.strip())}
     vocab = [b""] * (max(ranks.values(), default=-1) + 1)
     for token, rank in ranks.items():
         vocab[rank] = token
-    return ranks, vocab, {}
+    single = np.array([ranks[bytes([b])] for b in range(256)])
+    pairs = np.full((256, 256), -1)
+    for token, rank in ranks.items():
+        if len(token) == 2:
+            pairs[token[0], token[1]] = rank
+    return ranks, vocab, {}, single, pairs
 
 
-def replay(pretokens: list[bytes], ranks: dict[bytes, int], vocab: list[bytes], merges: dict) -> list[list[int]]:
-    """Ids of each pre-token.
+def replay(pretokens: list[bytes], ranks: dict[bytes, int], vocab: list[bytes], merges: dict,
+           single: np.ndarray, pairs: np.ndarray) -> list[bytes]:
+    """Ids of each pre-token (none of them empty), as little-endian uint32.
 
-    ``merges`` remembers (left id, right id) -> merged id or None across calls;
+    ``merges`` remembers (left id, right id) -> merged id or -1 across calls;
     its size is bounded by the pairs that the corpus shows, and it is emptied by
     the caller with the cache."""
-    ids: list[int] = []
-    begins = []
-    for p in pretokens:
-        begins.append(len(ids))
-        ids += [ranks[p[i:i + 1]] for i in range(len(p))]
-        ids.append(-1)  # pairs never cross it
-    n = len(ids)
-    after, before = list(range(1, n + 1)), list(range(-1, n - 1))
-    index: dict[int, list[int]] = {}
-
-    def rank_of(a: int, b: int) -> int:
-        if a < 0 or b < 0:
-            return -1
-        r = merges.get((a, b))
-        if r is None:
-            r = merges[a, b] = ranks.get(vocab[a] + vocab[b], -1)
-        return r
-
-    for i in range(n - 1):
-        a, b = ids[i], ids[i + 1]
-        if a >= 0 and b >= 0:
-            r = merges.get((a, b))
-            if r is None:
-                r = rank_of(a, b)
-            if r >= 0:
-                index.setdefault(r, []).append(i)
+    if not pretokens:
+        return []
+    data = np.frombuffer(b"".join(pretokens), np.uint8)
+    sizes = np.array([len(p) for p in pretokens])
+    at = np.arange(len(data)) + np.repeat(np.arange(len(sizes)), sizes)  # one -1 after each, pairs never cross it
+    n = len(data) + len(sizes)
+    laid, first = np.full(n, -1), np.full(n, -1)
+    laid[at] = single[data]
+    inside = at[1:] == at[:-1] + 1
+    first[at[:-1][inside]] = pairs[data[:-1], data[1:]][inside]
+    order = np.argsort(first, kind="stable")
+    order = order[np.searchsorted(first[order], 0):]
+    found, starts = np.unique(first[order], return_index=True)
+    index = {r: places.tolist() for r, places in zip(found.tolist(), np.split(order, starts[1:]))}
+    ids, rank_at = laid.tolist(), first.tolist()  # rank_at: of the pair that starts there
+    after, before = list(range(1, n + 1)), list(range(-1, n - 1))  # ids[-1] is the last -1
     heap = list(index)
     heapq.heapify(heap)
     while heap:
@@ -90,40 +87,39 @@ def replay(pretokens: list[bytes], ranks: dict[bytes, int], vocab: list[bytes],
             continue
         places.sort()
         for k, i in enumerate(places):
-            a = ids[i]
-            if a < 0:
+            if rank_at[i] != r:
                 continue
             j = after[i]
-            if j >= n or ids[j] < 0 or rank_of(a, ids[j]) != r:
-                continue
-            ids[i] = r
-            ids[j] = -2  # gone
-            nxt = after[j]
-            after[i] = nxt
-            if nxt < n:
-                before[nxt] = i
-            lower = False
-            for left, right in ((before[i], i), (i, nxt)):
-                if left >= 0 and right < n:
-                    new = rank_of(ids[left], ids[right])
-                    if new >= 0:
-                        places_of = index.get(new)
-                        if places_of is None:
-                            index[new] = [left]
-                            if new != r:
-                                heapq.heappush(heap, new)
-                        else:
-                            places_of.append(left)
-                        lower = lower or new <= r
+            after[i] = right = after[j]
+            before[right] = i
+            ids[i], ids[j], rank_at[j] = r, -2, -1
+            left, lower = before[i], False
+            for place, a, b in ((left, ids[left], r), (i, r, ids[right])):
+                if a < 0 or b < 0:
+                    rank_at[place] = -1
+                    continue
+                new = merges.get((a, b))
+                if new is None:
+                    new = merges[a, b] = ranks.get(vocab[a] + vocab[b], -1)
+                rank_at[place] = new
+                if new >= 0:
+                    if new in index:
+                        index[new].append(place)
+                    else:
+                        index[new] = [place]
+                        if new != r:
+                            heapq.heappush(heap, new)
+                    lower = lower or new <= r
             if lower:
                 rest = index.setdefault(r, [])
                 rest += places[k + 1:]
                 heapq.heappush(heap, r)
                 break
-    out = []
-    for b, p in zip(begins, pretokens):
-        out.append([x for x in ids[b:b + len(p)] if x >= 0])
-    return out
+    laid = np.array(ids)
+    left = laid >= 0
+    packed = laid[left].astype("<u4").tobytes()
+    ends = (4 * np.cumsum(left)[np.cumsum(sizes + 1) - 1]).tolist()
+    return [packed[a:b] for a, b in zip([0, *ends], ends)]
 
 
 def encoder(path: str, pattern: str):
@@ -131,7 +127,7 @@ def encoder(path: str, pattern: str):
     pre-tokens with their ids as bytes."""
     import regex
 
-    ranks, vocab, merges = load(path)
+    ranks, vocab, merges, single, pairs = load(path)
     split, cache = regex.compile(pattern).findall, {}
 
     def encode(texts: list[bytes]) -> list[np.ndarray]:
@@ -147,8 +143,7 @@ def encoder(path: str, pattern: str):
                 rest.append(w)
             else:
                 cache[w] = rank.to_bytes(4, "little")
-        for w, ids in zip(rest, replay([w.encode() for w in rest], ranks, vocab, merges)):
-            cache[w] = np.array(ids, "<u4").tobytes()
+        cache.update(zip(rest, replay([w.encode() for w in rest], ranks, vocab, merges, single, pairs)))
         return [np.frombuffer(b"".join(map(cache.__getitem__, ws)), "<u4") for ws in tokens]
 
     return encode
