@@ -9,8 +9,8 @@ added to the index. If a merge makes a pair of a lower rank, that rank is
 replayed first, so the result is what merging each pre-token by itself gives.
 
 A task gathers texts until ``SLICE_BYTES``, replays the pre-tokens that its
-cache does not hold, and writes the ids of each text; the cache of a task is
-emptied when it holds ``CACHE_TOKENS``. So a task's memory is bounded by its
+cache does not hold, and writes the ids of each text; the cache of a worker
+outlives its tasks and is emptied when it holds ``CACHE_TOKENS``. So a task's memory is bounded by its
 longest text, no pre-token is shuffled, and a lost task is simply run again.
 The rank file is read by each worker from the installed tokenizer folder.
 
@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from .text import carried, whole_text
 
-SLICE_BYTES, CACHE_TOKENS = 4 << 20, 200_000
+SLICE_BYTES, CACHE_TOKENS = 4 << 20, 400_000
 
 
 @functools.cache
@@ -122,6 +122,7 @@ def replay(pretokens: list[bytes], ranks: dict[bytes, int], vocab: list[bytes],
     return [packed[a:b] for a, b in zip([0, *ends], ends)]
 
 
+@functools.cache
 def encoder(path: str, pattern: str):
     """texts (bytes) -> ids of each, as uint32 arrays; keeps a cache of
     pre-tokens with their ids as bytes."""
