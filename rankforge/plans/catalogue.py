@@ -447,7 +447,7 @@ def q_family_comparison(spark, sf):
     train, val, test = _splits(spark, sf)
     lr = models.sweep("lr", "regParam", models.REG_PARAMS, train, val, test)
     rf = models.sweep("rf", "maxDepth", models.MAX_DEPTHS, train, val, test)
-    return lr.unionByName(rf)
+    return evaluate.compare_families({"lr": lr, "rf": rf})
 
 
 QUERIES: dict[str, Query] = {

@@ -62,3 +62,11 @@ def test_shape_labels_and_distinct_count(spark):
     assert [tuple(r) for r in evaluate.shape(df).collect()] == [(4, 2)]
     assert [r["class"] for r in evaluate.sorted_labels(df).collect()] == [1, 3, 10]
     assert evaluate.distinct_label_count(df).collect()[0].n_labels == 3
+
+
+def test_compare_families_replaces_the_sweeps_own_family_column(spark):
+    a = spark.createDataFrame([("x", 0, 0.5)], "family string, ordinal int, val double")
+    b = spark.createDataFrame([(1, 0.7)], "ordinal int, val double")
+    got = evaluate.compare_families({"lr": a, "rf": b})
+    assert got.columns == ["family", "ordinal", "val"]
+    assert sorted(map(tuple, got.collect())) == [("lr", 0, 0.5), ("rf", 1, 0.7)]
