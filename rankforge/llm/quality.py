@@ -11,8 +11,18 @@ shared among all rules of all strata (Bonferroni). So with probability
 1 - delta no rule rejects more than ``alpha`` of any stratum's good documents.
 Among the certified cuts, the one with the largest difference between the
 rejected share of bad and of good documents is used, the more lenient at ties;
-a cut that rejects no bad document is not used. A stratum with too few labels
-to certify anything keeps its documents (unless the base rules reject them).
+a cut that rejects no bad document is not used.
+
+A stratum with too few good labels to certify any cut alone takes the cuts of a
+pool: all such strata and, if their labels do not suffice together either, the
+next larger strata until they do (these lend labels and keep their own cuts).
+The pool is one member of the family in place of the strata it serves, so there
+are never more members than strata; who is in it depends on the numbers of good
+labels only. The bound then holds for the good documents of the pool, not of each
+stratum in it, so a pooled cut is left out where it rejects more than ``alpha``
+of a stratum's own good labels. Only if all labels together are too few to
+certify a cut, or a stratum has no label at all, its documents are kept (unless
+the base rules reject them).
 
 The measures are binned on fixed grids, and a rule fires on the bin, so the
 fitted counts and the applied rule agree exactly. What the fit gathers is one
@@ -48,6 +58,8 @@ MEASURES = {
     "mean_word_length": 2,
 }
 ALPHA, DELTA = 0.005, 0.05
+#: No stratum is called so.
+POOL = "pool"
 
 
 def _count_of(text: Column, chars: str) -> Column:
@@ -147,8 +159,8 @@ def most_false_rejections(n: Column, alpha: float, delta: Column) -> Column:
 
 def fit(features: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", lang: str = "lang",
         label: str = "quality", alpha: float = ALPHA, delta: float = DELTA) -> DataFrame:
-    """One row per stratum: ``stratum`` and for each measure its cut (null: no
-    certified cut that rejects a bad document)."""
+    """One row per stratum with a cut: ``stratum`` and for each measure its cut,
+    its own or the pool's (null: no certified cut that rejects a bad document)."""
     truth = (labels.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{label}`").alias("_y"))
              .where("_id is not null and _y is not null").groupBy("_id").agg(F.min("_y").alias("_y")))
     seen = features.select(F.col(f"`{doc_id}`").alias("_id"), stratum(f"`{lang}`").alias("stratum"), "quality")
@@ -159,22 +171,44 @@ def fit(features: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", lang:
         .groupBy("stratum", "measure", "bin")
         .agg(F.sum((F.col("_y") > 0).cast("long")).alias("good"), F.sum((F.col("_y") <= 0).cast("long")).alias("bad"))
     ).checkpoint()  # small, and read several times
+    sizes = counts.groupBy("stratum", "measure").agg(F.sum("good").alias("n")).groupBy("stratum").agg(F.max("n").alias("n"))
+    tests = counts.agg(F.countDistinct("stratum").alias("n_strata"))
+    each = F.lit(delta) / (F.col("n_strata") * len(MEASURES))
+    # One row per stratum (at most 677): those too small alone, and who is in their pool.
+    fewer = Window.orderBy("n", "stratum").rowsBetween(Window.unboundedPreceding, -1)
+    members = (
+        sizes.crossJoin(F.broadcast(tests))
+        .withColumn("before", F.coalesce(F.sum("n").over(fewer), F.lit(0)))
+        .select("stratum", "n", (most_false_rejections(F.col("n"), alpha, each) < 0).alias("small"),
+                (most_false_rejections(F.col("before"), alpha, each) < 0).alias("needed"))
+    ).checkpoint()
+    pooled = counts.join(F.broadcast(members.where("small or needed").select("stratum")), "stratum").groupBy("measure", "bin").agg(
+        F.sum("good").alias("good"), F.sum("bad").alias("bad"))
+    own = counts.join(F.broadcast(members.where("not small").select("stratum")), "stratum")
     # One cut below each occupied bin: it rejects that bin and those above.
     whole = Window.partitionBy("stratum", "measure")
     above = whole.orderBy(F.desc("bin"))
-    tested = counts.select(
+    tested = own.select("stratum", "measure", "bin", "good", "bad").unionByName(
+        pooled.select(F.lit(POOL).alias("stratum"), "measure", "bin", "good", "bad")).select(
         "stratum", "measure", (F.col("bin") - 1).alias("cut"),
         F.sum("good").over(above).alias("good_hit"), F.sum("bad").over(above).alias("bad_hit"),
         F.sum("good").over(whole).alias("n_good"), F.sum("bad").over(whole).alias("n_bad"),
     )
-    tests = counts.agg(F.countDistinct("stratum").alias("n_strata"))
     limits = (
         tested.groupBy("stratum").agg(F.max("n_good").alias("n")).crossJoin(F.broadcast(tests))
-        .select("stratum", most_false_rejections(F.col("n"), alpha, F.lit(delta) / (F.col("n_strata") * len(MEASURES))).alias("most"))
+        .select("stratum", most_false_rejections(F.col("n"), alpha, each).alias("most"))
     )
     gain = F.col("bad_hit") / F.col("n_bad") - F.col("good_hit") / F.col("n_good")
     certified = tested.join(limits, "stratum").where("good_hit <= most and bad_hit > 0").withColumn("gain", gain).where("gain > 0")
-    best = certified.groupBy("stratum", "measure").agg(F.max_by("cut", F.struct("gain", "cut")).alias("cut"))
+    best = certified.groupBy("stratum", "measure").agg(F.max_by("cut", F.struct("gain", "cut")).alias("cut")).checkpoint()
+    # The pool's cuts for the small strata whose own good labels do not speak against them.
+    lent = (
+        counts.join(F.broadcast(members.where("small").select("stratum", "n")), "stratum")
+        .join(F.broadcast(best.where(F.col("stratum") == POOL).select("measure", "cut")), "measure")
+        .groupBy("stratum", "measure", "cut", "n").agg(F.sum(F.when(F.col("bin") > F.col("cut"), F.col("good")).otherwise(0)).alias("hit"))
+        .where(F.col("hit") <= alpha * F.col("n")).select("stratum", "measure", "cut")
+    )
+    best = best.where(F.col("stratum") != POOL).unionByName(lent)
     return best.groupBy("stratum").pivot("measure", list(MEASURES)).agg(F.first("cut"))
 
 

@@ -100,6 +100,32 @@ def test_quality_cuts_hold_their_limit(spark):
         assert quality.judge(features, quality.fit(features, some)).where("not kept").count() == 0
 
 
+def test_quality_small_strata_share_a_pool(spark):
+    """No language but en certifies a cut alone; the pool of de and fr does,
+    with es lent no cut that its own good labels speak against."""
+    clean, junk = " ".join(f"w{i}" for i in range(60)), " ".join(f"w{i}||" for i in range(60))
+
+    def docs_of(langs):
+        rows = [(lang, bad, odd) for lang, good, bads, odds in langs for bad, odd in [(0, 0)] * good + [(1, 1)] * bads + [(0, 1)] * odds]
+        return spark.createDataFrame([(i, junk if odd else clean, lang, 1 - bad) for i, (lang, bad, odd) in enumerate(rows)],
+                                     "doc_id long, text string, lang string, quality int")
+
+    def rejected(langs):
+        df = docs_of(langs)
+        features = quality.with_features(df.drop("quality"))
+        out = quality.judge(features, quality.fit(features, df.select("doc_id", "quality"))).where("not kept").groupBy("lang").count()
+        return {r[0]: r[1] for r in out.collect()}
+
+    # de and fr suffice together (n >= 1059 with 3 strata); each alone does not.
+    assert rejected([("en", 3000, 100, 0), ("de", 700, 30, 0), ("fr", 600, 20, 0)]) == {"en": 100, "de": 30, "fr": 20}
+    # They do not suffice together: en lends its labels.
+    assert rejected([("en", 3000, 100, 0), ("de", 300, 30, 0), ("fr", 200, 20, 0)]) == {"en": 100, "de": 30, "fr": 20}
+    # es's own good documents look like junk: it is left alone, the others are not.
+    assert rejected([("en", 3000, 100, 0), ("de", 1150, 30, 0), ("fr", 1150, 20, 0), ("es", 8, 5, 2)]) == {"en": 100, "de": 30, "fr": 20}
+    # All together are too few.
+    assert rejected([("en", 300, 100, 0), ("de", 300, 30, 0)]) == {}
+
+
 # --- line dedup --------------------------------------------------------------
 
 def _key(line):
