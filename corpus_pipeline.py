@@ -8,8 +8,9 @@ of what its predecessor kept:
 * ``quality_rules`` drops the documents that the rules reject;
 * ``line_dedup`` takes the lines found in 10 or more of the documents out of
   every text (``n_chars`` follows the new text);
-* ``simhash_dedup`` keeps one document of each near-duplicate group, the one
-  with the smallest id (and of rows that repeat it, one);
+* ``simhash_dedup`` keeps one row of each near-duplicate group, the one with the
+  smallest id (null ids last) and, of this id's texts there, the smallest text
+  hash (and of rows that repeat both, one);
 * ``decontamination`` drops the documents that hold a benchmark window;
 * ``byte_bpe`` returns each document's token ids in place of its text.
 """
@@ -42,11 +43,11 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    classes = simhash.near_duplicates(docs, shingle_words=3)
-    # A group without any id but null keeps its null rows' first one below.
-    first = classes.where(F.col("doc_id").eqNullSafe(F.col("component"))).select(F.col("doc_id").alias("_id")).distinct()
-    kept = carried(docs, _doc=F.col("doc_id")).join(first, F.col("_doc").eqNullSafe(F.col("_id")), "left_semi")
-    one = kept.groupBy("_doc").agg(F.first("row").alias("row"))
+    first = simhash.first_of_groups(docs, shingle_words=3).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_of"))
+    rows = carried(docs, _doc=F.col("doc_id"), _text=simhash.text_hash("text"))
+    kept = rows.join(first, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_of")), "left_semi")
+    # A chosen row may be repeated with its id and text.
+    one = kept.groupBy("_doc", "_text").agg(F.first("row").alias("row"))
     return uncarried(one)
 
 

@@ -29,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.window import Window
@@ -63,17 +63,21 @@ def fingerprint(text: bytes, shingle_words: int = 3) -> int:
     return int(np.packbits(2 * counts > len(hashes)).view(">i8")[0])
 
 
-def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle_words: int = 3) -> DataFrame:
-    """(doc_id, fp) for every row."""
+def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle_words: int = 3,
+                 hashed: bool = False) -> DataFrame:
+    """(doc_id, fp) for every row, if ``hashed`` with its ``text_hash``."""
     id_type = docs.schema[doc_id].dataType
+    hashes = ["text_hash"] if hashed else []
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             fps = pa.array([fingerprint(t.as_py(), shingle_words) for t in b.column(1)], pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column(0), fps], names=["doc_id", "fp"])
+            yield pa.RecordBatch.from_arrays([b.column(0), fps, *b.columns[2:]], names=["doc_id", "fp", *hashes])
 
-    schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("fp", T.LongType())])
-    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), whole_text(f"`{text}`").cast("binary")).mapInArrow(run, schema)
+    schema = T.StructType([T.StructField("doc_id", id_type), T.StructField("fp", T.LongType()),
+                           *[T.StructField(h, T.StringType()) for h in hashes]])
+    return docs.select(F.col(f"`{doc_id}`").alias("doc_id"), whole_text(f"`{text}`").cast("binary"),
+                       *[text_hash(f"`{text}`").alias(h) for h in hashes]).mapInArrow(run, schema)
 
 
 def fingerprint_links(nodes: DataFrame) -> DataFrame:
@@ -92,14 +96,34 @@ def fingerprint_links(nodes: DataFrame) -> DataFrame:
     return entries.select(F.col("fp").alias("u"), smallest.alias("v")).where("u != v").where(near)
 
 
+def _rooted(nodes: DataFrame) -> DataFrame:
+    """``nodes`` (fp, first) with the smallest fingerprint of their component, ``root``."""
+    roots = components(fingerprint_links(nodes))
+    return nodes.join(roots, F.col("fp") == F.col("node"), "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
+
+
 def near_duplicates(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle_words: int = 3) -> DataFrame:
     """(doc_id, fp, component) for every row; the component is the smallest id
     reachable over links."""
     rows = fingerprints(docs, doc_id=doc_id, text=text, shingle_words=shingle_words).checkpoint()
     nodes = rows.groupBy("fp").agg(F.min("doc_id").alias("first")).checkpoint()
-    roots = components(fingerprint_links(nodes))
-    rooted = nodes.join(roots, F.col("fp") == F.col("node"), "left").select(
-        "fp", "first", F.coalesce("root", "fp").alias("root"))
+    rooted = _rooted(nodes)
     smallest = rooted.groupBy("root").agg(F.min("first").alias("component"))
     classes = rooted.join(smallest, "root").select(F.col("fp").alias("_fp"), "component").checkpoint()
     return rows.join(classes, F.col("fp") == F.col("_fp")).select("doc_id", "fp", "component")
+
+
+def text_hash(text: str | Column) -> Column:
+    """Tells rows of one id, or without one, apart by their texts."""
+    return F.sha2(whole_text(text).cast("binary"), 256)
+
+
+def first_of_groups(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shingle_words: int = 3) -> DataFrame:
+    """(doc_id, text_hash) of one row of each near-duplicate group: the smallest
+    id's (null only where the group has no other) and, of its texts in the
+    group, the one with the smallest hash."""
+    rows = fingerprints(docs, doc_id=doc_id, text=text, shingle_words=shingle_words, hashed=True)
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_hash")
+    nodes = rows.groupBy("fp").agg(F.min(order).alias("first")).checkpoint()
+    firsts = _rooted(nodes).groupBy("root").agg(F.min("first").alias("first"))
+    return firsts.select("first.doc_id", "first.text_hash")

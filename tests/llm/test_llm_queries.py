@@ -42,3 +42,17 @@ def test_pipeline_stages_take_odd_rows(spark):
     for rows in (docs.unionByName(odd), docs.where("false")):
         for name, stage in corpus_pipeline.STAGES:
             assert stage(spark, rows, SF).count() <= rows.count()
+
+
+def test_simhash_stage_keeps_one_row_per_group(spark):
+    def text(k):
+        return " ".join(f"{k}word{i}" for i in range(80))
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    # Three texts without an id (one twice); two texts of one id, each also under others.
+    ids = [(None, "a"), (None, "b"), (None, "c"), (None, "c"), (5, "d"), (5, "e"), (2, "e"), (7, "d"), (8, "f"), (None, "f"), (9, "g"), (9, "h")]
+    rows = spark.createDataFrame([(i, *[text(k) if f == "text" else None for f in docs.columns[1:]]) for i, k in ids], docs.schema)
+    assert docs.columns[0] == "doc_id"
+    out = dict(corpus_pipeline.STAGES)["simhash_dedup"](spark, rows.repartition(3), SF).select("doc_id", "text").collect()
+    want = [(None, "a"), (None, "b"), (None, "c"), (5, "d"), (2, "e"), (8, "f"), (9, "g"), (9, "h")]
+    assert sorted(map(repr, map(tuple, out))) == sorted(repr((i, text(k))) for i, k in want)
