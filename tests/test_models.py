@@ -50,3 +50,19 @@ def test_cross_validate_rows(spark):
     assert text[0].startswith("regParam")
     pred = models.predict(model, test).select("prediction").distinct().collect()
     assert all(0 <= r.prediction <= 9 for r in pred)
+
+
+def test_registered_cv_grids_are_whole():
+    from rankforge.plans.catalogue import CV_GRIDS
+
+    assert CV_GRIDS["lr"] == {"regParam": models.REG_PARAMS, "maxIter": models.MAX_ITERS}
+    assert CV_GRIDS["rf"] == {"maxDepth": [1, 5, 10, 20, 30], "numTrees": models.NUM_TREES}
+    assert [x[1] for x in CV_GRIDS["mlp"]["layers"]] == models.HIDDEN_WIDTHS and CV_GRIDS["mlp"]["maxIter"] == models.MAX_ITERS
+
+
+def test_cross_validate_over_layers(spark):
+    train, _, test = _data(spark)
+    d, k = len(train.first()["features"]), int(train.agg({"class": "max"}).first()[0]) + 1
+    grid = {"layers": [models.mlp_layers(d, h, k) for h in (1, 3)], "maxIter": [1, 2]}
+    _, table, _ = models.cross_validate("mlp", grid, train, test)
+    assert sorted(r.params for r in table.collect()) == sorted(str([("layers", float(h)), ("maxIter", float(m))]) for h in (1, 3) for m in (1, 2))
