@@ -14,6 +14,8 @@ from rankforge.operators.ordinal import with_ordinal
 # The 60 / 20 / 20 split and its seed.
 DEFAULT_WEIGHTS = (0.6, 0.2, 0.2)
 SPLIT_NAMES = ("train", "val", "test")
+# Hashes of 32 bits in one of 100 buckets, at most.
+BUCKET_WIDTH = -(-(2**32) // 100)
 
 
 def random_split(df: DataFrame, weights=DEFAULT_WEIGHTS, seed: int = 0) -> list[DataFrame]:
@@ -23,14 +25,16 @@ def random_split(df: DataFrame, weights=DEFAULT_WEIGHTS, seed: int = 0) -> list[
 
 
 def hash_split_label(keys: Sequence[str], weights=DEFAULT_WEIGHTS, seed: int = 0, names=SPLIT_NAMES):
-    """Stable split label from ``md5`` of the key: bucket 0..99 against the
-    cumulative weights. Row-local, reproducible on any partitioning."""
-    b = hash_bucket(*keys, seed=seed, buckets=100)
+    """Stable split label from ``md5`` of the key: bucket 0..99, and within a
+    bucket the rest of the 32-bit hash, against the cumulative weights.
+    Row-local, reproducible on any partitioning."""
+    h = hash_bucket(*keys, seed=seed, buckets=2**32)
+    b = F.pmod(h, F.lit(100)) * BUCKET_WIDTH + F.floor(h / 100)
     cuts = []
     acc = 0.0
     for w in weights[:-1]:
         acc += w / sum(weights)
-        cuts.append(int(round(acc * 100)))
+        cuts.append(round(acc * 100 * BUCKET_WIDTH))
     expr = None
     for name, cut in zip(names, cuts):
         expr = F.when(b < cut, F.lit(name)) if expr is None else expr.when(b < cut, F.lit(name))

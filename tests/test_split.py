@@ -40,3 +40,11 @@ def test_exact_split_band_fallback_is_exact(spark, monkeypatch):
     assert got == want
     sizes = {s: list(got.values()).count(s) for s in ("train", "val", "test")}
     assert (sizes["train"], sizes["val"], sizes["test"]) == split.exact_split_sizes(700)
+
+
+def test_hash_split_small_and_odd_weights(spark):
+    df = spark.range(100000)
+    sizes = [d.count() for d in split.hash_split(df, ["id"], (0.998, 0.001, 0.001))]
+    assert sum(sizes) == 100000 and all(60 <= n <= 140 for n in sizes[1:])
+    thirds = [d.count() for d in split.hash_split(df, ["id"], (1, 1, 1))]
+    assert sum(thirds) == 100000 and all(abs(n - 100000 / 3) < 600 for n in thirds)
