@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 
 from rankforge.session import ensure_checkpoint_dir
 
-from . import bpe, decontaminate, line_dedup, pii, quality, sharding, simhash, suffix_dedup, token_count, toxicity
+from . import (alignment, bpe, chunk_reuse, decontaminate, line_dedup, pii, prefix_trie, quality, sharding, simhash, suffix_dedup, token_count,
+               toxicity)
 from .text import table, whole_text
 
 
@@ -81,13 +82,60 @@ def op10_token_count(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("row.doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > token_count.LIMIT).alias("over_limit"))
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    out = alignment.align_texts(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"), keep=["doc_id"])
+    return out.select("row.doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ensure_checkpoint_dir(spark)
+    return prefix_trie.build(table(spark, sf_dir, "conversations"), base_of=lambda c: c - F.pmod(c, F.lit(5)),
+                             head_of=lambda c: F.pmod(F.crc32(c.cast("string").cast("binary")), F.lit(9)), max_head=8)
+
+
+def op13_chunk_reuse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _documents(spark, sf_dir, "doc_id", "text")
+    out = chunk_reuse.encode_texts(docs, public_tokenizers.path("word_bpe_49k.json"), keep=["doc_id"])
+    return out.select("row.doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_quality_rules, op3_pii, op4_byte_bpe, op5_suffix_dedup, op6_sharding, op7_decontamination, op8_simhash, op9_line_dedup,
-    op10_token_count)}
+    op10_token_count, op11_alignment, op12_prefix_trie, op13_chunk_reuse)}
 
 _WS = "chr(32) || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 
+#: CRC-32 of a conversation id's decimal digits.
+_CRC32 = """xor(4294967295::BIGINT, list_reduce(list_prepend(4294967295::BIGINT, [ord(x)::BIGINT FOR x IN string_split(c::VARCHAR, '')]),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), [0::BIGINT FOR k IN range(8)]),
+                             lambda r, k: CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384::BIGINT) ELSE r >> 1 END)))"""
+
 ORACLE = {
+    "op12_prefix_trie": f"""
+        WITH turns AS (
+          SELECT conv_id AS c, list({{'r': coalesce(role, ''), 't': coalesce(text, '')}} ORDER BY turn NULLS FIRST,
+                                    sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS l
+          FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id
+        ), heads AS (SELECT c, l, {_CRC32} % 9 AS h FROM turns),
+        rebuilt AS (
+          SELECT o.c, list_concat(coalesce(b.l, [])[1:o.h], o.l[o.h + 1:]) AS s FROM heads o LEFT JOIN turns b ON b.c = o.c - ((o.c % 5) + 5) % 5
+        ), paths AS (
+          SELECT c, d, md5(s[1:d]::VARCHAR) AS k, md5(s[1:d - 1]::VARCHAR) AS up, strlen(s[d].t) AS bytes, d = len(s) AS at_end
+          FROM (SELECT c, s, unnest(range(len(s) + 1)) AS d FROM rebuilt)
+        ), nodes AS (
+          SELECT d, k, min(c) AS conv_id, count(*) AS n_convs, CASE WHEN d = 0 THEN 0 ELSE (count(*) - 1) * max(bytes) END AS saved, min(up) AS up,
+                 sha256(coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (at_end), '')) AS ends_sha256
+          FROM paths GROUP BY d, k
+        ), kids AS (SELECT d - 1 AS d, up AS k, count(*) AS n FROM nodes WHERE d > 0 GROUP BY ALL),
+        counted AS (SELECT n.*, coalesce(kids.n, 0) AS n_children FROM nodes n LEFT JOIN kids USING (d, k)),
+        below AS (
+          SELECT p.d, p.k, sum(u.saved)::BIGINT AS saved_tokens, count(*) FILTER (u.n_children = 0) AS n_leaves
+          FROM counted u JOIN paths p ON p.c = u.conv_id AND p.d <= u.d GROUP BY ALL
+        )
+        SELECT n.conv_id, n.d AS depth, CASE WHEN n.d > 0 THEN p.conv_id END AS parent_conv_id, n.n_convs, n.n_children, n_leaves, saved_tokens, n.ends_sha256
+        FROM counted n JOIN below USING (d, k) LEFT JOIN nodes p ON p.d = n.d - 1 AND p.k = n.up
+    """,
     "op9_line_dedup": f"""
         WITH lines AS (
           SELECT doc_id, generate_subscripts(l, 1) AS pos, unnest(l) AS line
