@@ -36,6 +36,7 @@ import json
 import os
 import posixpath
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
@@ -111,16 +112,22 @@ def _parted(left: bytes, right: bytes) -> bool:
     return left[-1] in _BLANK or right[0] in _BLANK or bool(_STOP.search(left[-3:] + right[:1]))
 
 
+@functools.cache
+def width(path: str) -> str:
+    """The type that an id is packed as."""
+    return "<u2" if _tokenizer(path).get_vocab_size() <= 1 << 16 else "<u4"
+
+
 @functools.cache
 def encoder(path: str):
-    """words -> the ids of each, packed as little-endian uint32."""
+    """words -> the ids of each, packed."""
     with open(path, encoding="utf-8") as f:
         rules = json.load(f)
     first = rules["pre_tokenizer"].get("pretokenizers", [{}])[0]
     pattern = first.get("pattern", {}).get("Regex", "")
     if first.get("behavior") != "Removed" or not first.get("invert") or r"[^\s\p{L}\p{N}]+" not in pattern:
         raise ValueError(f"{path}: white space must part words and be dropped")
-    tokenizer, cache, held = _tokenizer(path), {}, 0
+    tokenizer, kind, cache, held = _tokenizer(path), width(path), {}, 0
 
     def encode(ws: list[bytes]) -> list[bytes]:
         nonlocal held
@@ -132,7 +139,7 @@ def encoder(path: str):
             for lo in range(0, len(missing), 4096):
                 part = missing[lo:lo + 4096]
                 got = tokenizer.encode_batch([w.decode() for w in part], add_special_tokens=False)
-                ids = [np.array(e.ids, "<u4").tobytes() for e in got]
+                ids = [np.array(e.ids, kind).tobytes() for e in got]
                 cache.update(zip(part, ids))
                 held += sum(map(len, part)) + sum(map(len, ids)) + 100 * len(part)
         return [cache[w] for w in ws]
@@ -140,15 +147,36 @@ def encoder(path: str):
     return encode
 
 
-def record(text: bytes, path: str) -> dict:
-    """A part: its ids without those of the outer words, the outer words and
-    their ids, and what stands at its ends; or the bare text if it is short."""
+_SIZES = struct.Struct(f"<{2 * EDGE + 2}IBB")
+
+
+def record(text: bytes, path: str) -> bytes:
+    """A part as bytes. A short one is a 0 and its text. Else, after a 1: the
+    sizes of the ids of its outer words, of the outer words and of the text's
+    two ends, then these ends, the outer words, and all ids."""
     ws = words(text)
     if len(ws) <= 2 * EDGE:
-        return {"text": text, "head": None, "tail": None, "head_ids": None, "tail_ids": None, "ids": None, "first": None, "last": None}
+        return b"\0" + text
     ids = encoder(path)(ws)
-    return {"text": None, "head": ws[:EDGE], "tail": ws[-EDGE:], "head_ids": ids[:EDGE], "tail_ids": ids[-EDGE:], "ids": b"".join(ids[EDGE:-EDGE]),
-            "first": text[:1], "last": text[-3:]}
+    head, tail, first, last = b" ".join(ws[:EDGE]), b" ".join(ws[-EDGE:]), text[:1], text[-3:]
+    sizes = _SIZES.pack(*map(len, ids[:EDGE] + ids[-EDGE:]), len(head), len(tail), len(first), len(last))
+    return b"".join([b"\1", sizes, first, last, head, tail, *ids])
+
+
+def _unpacked(part: bytes) -> dict:
+    *edges, n_head, n_tail, n_first, n_last = _SIZES.unpack_from(part, 1)
+    at = 1 + _SIZES.size
+
+    def taken(n: int) -> bytes:
+        nonlocal at
+        at += n
+        return part[at - n:at]
+
+    out = {"first": taken(n_first), "last": taken(n_last), "head": taken(n_head).split(b" "), "tail": taken(n_tail).split(b" ")}
+    out["head_ids"] = [taken(n) for n in edges[:EDGE]]
+    out["ids"] = taken(len(part) - at - sum(edges[EDGE:]))
+    out["tail_ids"] = [taken(n) for n in edges[EDGE:]]
+    return out
 
 
 def _repaired(left: dict, middle: bytes, right: dict, path: str) -> list[bytes]:
@@ -166,14 +194,15 @@ def _repaired(left: dict, middle: bytes, right: dict, path: str) -> list[bytes]:
     raise RuntimeError("a join does not agree; words of this tokenizer depend on their neighbours")
 
 
-def assemble(parts: list[dict], path: str) -> bytes:
-    """The ids of a text from its parts in order."""
+def assemble(parts: list[bytes], path: str) -> bytes:
+    """The packed ids of a text from its parts in order."""
     out: list[bytes] = []
     left, middle = None, b""
-    for p in parts:
-        if p["text"] is not None:
-            middle += p["text"]
+    for part in parts:
+        if part[0] == 0:
+            middle += part[1:]
             continue
+        p = _unpacked(part)
         if left is None:  # the text begins here, or before some short parts
             lead = middle + (b"" if not middle or not _parted(middle, p["first"]) else b" ")
             out += encoder(path)(words(lead + b" ".join(p["head"])))
@@ -242,12 +271,6 @@ def _marked(h: np.ndarray, field: np.ndarray) -> np.ndarray:
     return out
 
 
-_REC = pa.struct([("text", pa.binary()), ("head", pa.list_(pa.binary())), ("tail", pa.list_(pa.binary())), ("head_ids", pa.list_(pa.binary())),
-                  ("tail_ids", pa.list_(pa.binary())), ("ids", pa.binary()), ("first", pa.binary()), ("last", pa.binary())])
-_REC_DDL = ("rec struct<text: binary, head: array<binary>, tail: array<binary>, head_ids: array<binary>, tail_ids: array<binary>, "
-            "ids: binary, first: binary, last: binary>")
-
-
 def _parts(rows: DataFrame, field, path: str) -> DataFrame:
     """(k, pos, row, h1, h2, text, rec, ids): a text's whole ids where no
     chunk is marked, else its parts: records, or hashes of marked chunks (with
@@ -287,21 +310,21 @@ def _parts(rows: DataFrame, field, path: str) -> DataFrame:
                 cols = list(zip(*out))
                 yield pa.RecordBatch.from_arrays(
                     [b.column("row").take(pa.array(cols[0], pa.int64())),
-                     *[pa.array(c, t) for c, t in zip(cols[1:], (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), _REC, pa.binary()))]],
+                     *[pa.array(c, t) for c, t in zip(cols[1:], (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary()))]],
                     names=["row", "k", "pos", "h1", "h2", "text", "rec", "ids"])
 
     schema = T.StructType([T.StructField("row", rows.schema["row"].dataType), *T._parse_datatype_string(
-        f"k long, pos int, h1 long, h2 long, text binary, {_REC_DDL}, ids binary").fields])
+        "k long, pos int, h1 long, h2 long, text binary, rec binary, ids binary").fields])
     return rows.mapInArrow(run, schema)
 
 
 def _encoded(chunks: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            recs = pa.array([record(t, path) for t in b.column("text").to_pylist()], _REC)
+            recs = pa.array([record(t, path) for t in b.column("text").to_pylist()], pa.binary())
             yield pa.RecordBatch.from_arrays([b.column("h1"), b.column("h2"), recs], names=["h1", "h2", "rec"])
 
-    return chunks.mapInArrow(run, f"h1 long, h2 long, {_REC_DDL}")
+    return chunks.mapInArrow(run, "h1 long, h2 long, rec binary")
 
 
 def _finished(parts: DataFrame, path: str, keep_ids: bool) -> DataFrame:
@@ -311,9 +334,9 @@ def _finished(parts: DataFrame, path: str, keep_ids: bool) -> DataFrame:
         tokenizer = _tokenizer(path)
         for b in batches:
             packed = [i if i is not None else assemble(p, path) for i, p in zip(b.column("ids").to_pylist(), b.column("parts").to_pylist())]
-            ids = [np.frombuffer(p, "<u4") for p in packed]
+            ids = [np.frombuffer(p, width(path)).astype("<u4") for p in packed]
             decoded = [hashlib.sha256(tokenizer.decode(i.tolist(), skip_special_tokens=False).encode()).hexdigest() for i in ids]
-            cols = [b.column("row"), pa.array([len(i) for i in ids], pa.int64()), pa.array([hashlib.sha256(p).hexdigest() for p in packed]), pa.array(decoded)]
+            cols = [b.column("row"), pa.array([len(i) for i in ids], pa.int64()), pa.array([hashlib.sha256(i.tobytes()).hexdigest() for i in ids]), pa.array(decoded)]
             names = ["row", "n_tokens", "ids_sha256", "decoded_sha256"]
             if keep_ids:
                 cols.append(pa.array([i.astype(np.int32) for i in ids], pa.list_(pa.int32())))

@@ -123,7 +123,7 @@ def test_any_cuts_are_repaired(size):
     texts = ["".join(dice.choice(alphabet) for _ in range(dice.randint(1, 900))) for _ in range(40)] + [t[:900] for t in TEXTS if t]
     for t in texts:
         parts = [chunk_reuse.record(t[i:i + size].encode(), WORDS) for i in range(0, len(t), size)]
-        assert np.frombuffer(chunk_reuse.assemble(parts, WORDS), "<u4").tolist() == _library(t)[3]
+        assert np.frombuffer(chunk_reuse.assemble(parts, WORDS), chunk_reuse.width(WORDS)).tolist() == _library(t)[3]
 
 
 def test_a_tokenizer_that_keeps_blanks_is_refused():
