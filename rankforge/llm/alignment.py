@@ -41,7 +41,7 @@ from rankforge.session import ensure_checkpoint_dir
 
 from .text import carried, whole_text
 
-HEAD, SLICE_BYTES = 1 << 20, 1 << 20
+HEAD, SLICE_BYTES, SLICE_LINKS = 1 << 20, 1 << 20, 1 << 20
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -180,6 +180,16 @@ def _aligned(rows: DataFrame, a_path: str, b_path: str) -> DataFrame:
     return rows.mapInArrow(run, schema)
 
 
+def _slices(links: pa.ListArray) -> Iterator[tuple[int, int]]:
+    """Rows with about SLICE_LINKS links together."""
+    ends = np.cumsum(pc.list_value_length(links).to_numpy())
+    lo = 0
+    while lo < len(links):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + SLICE_LINKS, "right")))
+        yield lo, hi
+        lo = hi
+
+
 def _looked_up(docs: DataFrame, head) -> DataFrame:
     """``docs`` with count_sum and n_best over the links in the head, and the
     pairs of the other links."""
@@ -191,32 +201,36 @@ def _looked_up(docs: DataFrame, head) -> DataFrame:
         pair, n, best = head.value
         known = pa.array(pair)
         for b in batches:
-            links = b.column("pairs")
-            flat, bounds = pc.list_flatten(links), np.concatenate([[0], np.cumsum(pc.list_value_length(links).to_numpy())]).astype(np.int64)
-            at = pc.fill_null(pc.index_in(flat, known), -1).to_numpy().astype(np.int64)
-            found = at >= 0
+            for lo, hi in _slices(b.column("pairs")):
+                part = b.slice(lo, hi - lo)
+                links = part.column("pairs")
+                flat, bounds = pc.list_flatten(links), np.concatenate([[0], np.cumsum(pc.list_value_length(links).to_numpy())]).astype(np.int64)
+                at = pc.fill_null(pc.index_in(flat, known), -1).to_numpy()
+                found = at >= 0
 
-            def summed(values: np.ndarray) -> np.ndarray:
-                run = np.concatenate([[0], np.cumsum(values)])
-                return run[bounds[1:]] - run[bounds[:-1]]
+                def summed(values: np.ndarray) -> pa.Array:
+                    run = np.concatenate([[0], np.cumsum(np.where(found, values[at], 0) if len(values) else np.zeros(len(at), np.int64))])
+                    return pa.array(run[bounds[1:]] - run[bounds[:-1]], pa.int64())
 
-            sums = [np.where(found, v[at], 0) if len(v) else np.zeros(len(at), np.int64) for v in (n, best)]
-            rest = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(~found)])[bounds], pa.int32()), flat.filter(pa.array(~found)))
-            yield pa.RecordBatch.from_arrays([*[b.column(c) for c in kept], *[pa.array(summed(s), pa.int64()) for s in sums], rest], names=schema.names)
+                rest = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(~found)])[bounds], pa.int32()), flat.filter(pa.array(~found)))
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in kept], summed(n), summed(best), rest], names=schema.names)
 
     return docs.mapInArrow(run, schema)
 
 
 def align_texts(docs: DataFrame, a_path: str, b_path: str, *, text: str = "text", keep: list[str] | None = None, head: int = HEAD) -> DataFrame:
     """Every row of ``docs`` as a struct ``row`` (of the columns to ``keep``)
-    with n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256. A
-    table ``links-*`` is written to the shared folder."""
+    with n_a, n_b, n_groups, n_links, n_best, count_sum, groups_sha256. Two
+    tables ``links-*`` are written to the shared folder."""
     spark = docs.sparkSession
     rows = carried(docs, keep, x=whole_text(f"`{text}`").cast("binary")).withColumn("k", F.monotonically_increasing_id())
-    path = posixpath.join(ensure_checkpoint_dir(spark), f"links-{os.urandom(8).hex()}")
-    aligned = _aligned(rows, a_path, b_path)
-    aligned.write.option("compression", "zstd").parquet(path)
-    aligned = spark.read.schema(aligned.schema).parquet(path)
+    base = posixpath.join(ensure_checkpoint_dir(spark), f"links-{os.urandom(8).hex()}")
+
+    def written(df: DataFrame, name: str) -> DataFrame:
+        df.write.option("compression", "zstd").parquet(f"{base}-{name}")
+        return spark.read.schema(df.schema).parquet(f"{base}-{name}")
+
+    aligned = written(_aligned(rows, a_path, b_path), "aligned")
     n_b = len(pieces(b_path)[1])
     partial = aligned.where("ns is not null").select(F.explode(F.arrays_zip("pairs", "ns")).alias("p")).select("p.pairs", "p.ns")
     counts = partial.groupBy(F.col("pairs").alias("pair")).agg(F.sum("ns").alias("n")).withColumn("b", F.col("pair") % n_b).checkpoint()
@@ -224,7 +238,7 @@ def align_texts(docs: DataFrame, a_path: str, b_path: str, *, text: str = "text"
     counts = counts.join(highest, "b").select("pair", "n", (F.col("n") == F.col("top")).cast("long").alias("best"))
     top = counts.orderBy(F.desc("n"), "pair").limit(head).toArrow()
     known = spark.sparkContext.broadcast(tuple(top.column(c).to_numpy() for c in ("pair", "n", "best")))
-    judged = _looked_up(aligned.where("ns is null"), known)
+    judged = written(_looked_up(aligned.where("ns is null"), known), "judged")
     rest = judged.where("size(rest) > 0")
     others = rest.select("k", F.explode("rest").alias("pair")).groupBy("k", "pair").agg(F.count("*").alias("m")).join(counts, "pair")
     more = others.groupBy("k").agg(F.sum(F.col("m") * F.col("n")).alias("more"), F.sum(F.col("m") * F.col("best")).alias("more_best"))
