@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from rankforge.functions.scalar import binary_relabel_expr, clean_name, json_field, to_csv_line
 from rankforge.operators.ordinal import with_ordinal
 from rankforge.operators import balance, chart, clean, enrich, shards, split
-from rankforge.plans import build, evaluate, models
+from rankforge.plans import analysis, build, evaluate, models
 from rankforge.plans import standins as si
 from rankforge import streaming as stream
 from rankforge.sources.csv import read_table
@@ -501,3 +501,5 @@ QUERIES: dict[str, Query] = {
     "cv_confusion": q_cv_confusion,
     "family_comparison": q_family_comparison,
 }
+
+QUERIES |= analysis.QUERIES

@@ -6,6 +6,7 @@ Spark side uses group-by + ``min_by`` or the distributed ordinal.
 
 from __future__ import annotations
 
+from rankforge.plans import analysis
 from rankforge.plans.standins import (
     AUDIO_SQL,
     BEST_SQL,
@@ -242,3 +243,5 @@ SELECT CAST(ordinal AS INTEGER) AS ordinal, CAST(threshold AS INTEGER) AS thresh
        row_number() OVER (ORDER BY val DESC, ordinal ASC) = 1 AS is_best
 FROM s""",
 }
+
+ORACLE |= analysis.ORACLE
