@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from rankforge.functions.scalar import free_text_query, normalize_text
+from rankforge.functions.scalar import fielded_query, free_text_query, normalize_text
 from rankforge.operators.clean import drop_incomplete
 from rankforge.operators.ordinal import with_chunk_id
 from rankforge.schemas import AUDIO_FEATURE_COLUMNS, TRACK_FEATURE_COLUMNS
@@ -93,38 +94,32 @@ def fallback_lookup(
     then smallest id). No hit -> track_id ``''``, popularity 0. All input
     columns are kept and track_id, popularity appended.
 
-    Both tiers are reduced to one row per match key before joining, so the
-    joins never fan out; they are left joins AQE can broadcast or shuffle.
-    Only catalogue entries that some song asks for reach the aggregation: a
-    left semi join with the songs' distinct keys, on the aggregation's own
-    keys, so a shuffled join adds no exchange and AQE may broadcast the keys.
-    A text without letters or digits has no free-text key and matches nothing.
+    A match key is (tier, text, title): the fielded query text with the title
+    it ends in (together they fix both fields), or the normalised free text. One
+    pass explodes the catalogue into both keys of each entry and keeps the top
+    hit per key (map-side first, so a key with very many entries costs a row a
+    task); the songs' distinct pairs meet it on that partitioning, and a song's
+    first tier with a hit wins. The songs are read twice, the catalogue once;
+    no join fans out. A null field has no key of its tier, nor has a free text
+    without letters or digits; such a song matches nothing there.
     """
-    rank_by = [(-F.col("popularity")).alias("p"), F.col("id").alias("i")]
-    s = songs.withColumn("_rf_q", normalize_text(free_text_query(song_col, artist_col)))
-    cat1 = catalogue.select("id", "popularity", F.col("title").alias("_rf_t"), F.col("artist").alias("_rf_a"))
-    cat2 = catalogue.select(
-        "id", "popularity", normalize_text(free_text_query("title", "artist")).alias("_rf_q")
-    )
-    k1 = s.select(F.col(song_col).alias("_rf_t"), F.col(artist_col).alias("_rf_a")).distinct()
-    k2 = s.select("_rf_q").where(F.col("_rf_q").isNotNull()).distinct()
-    cat1 = cat1.join(k1, ["_rf_t", "_rf_a"], "left_semi")
-    cat2 = cat2.join(k2, "_rf_q", "left_semi")
-    tier1 = top_hit(cat1, ["_rf_t", "_rf_a"], rank_by, key_names=["_rf_t", "_rf_a"]).select(
-        "_rf_t", "_rf_a", F.col("hit").alias("_rf_h1")
-    )
-    tier2 = top_hit(cat2, ["_rf_q"], rank_by, key_names=["_rf_q"]).select(
-        "_rf_q", F.col("hit").alias("_rf_h2")
-    )
+    def keys(title: str, artist: str) -> Column:
+        fielded = F.struct(F.lit(1).alias("tier"), fielded_query(artist, title).alias("text"), F.col(title).alias("title"))
+        free = F.struct(F.lit(2).alias("tier"), normalize_text(free_text_query(title, artist)).alias("text"), F.lit("").alias("title"))
+        return F.explode(F.filter(F.array(fielded, free), lambda k: k["text"].isNotNull()))
 
-    j = s.join(
-        tier1, (s[song_col] == tier1["_rf_t"]) & (s[artist_col] == tier1["_rf_a"]), "left"
-    ).join(tier2, "_rf_q", "left")
-    hit = F.coalesce(F.col("_rf_h1"), F.col("_rf_h2"))
-    return j.select(
-        *[s[c] for c in songs.columns],
-        F.coalesce(hit["id"], F.lit("")).alias("track_id"),
-        F.coalesce(hit["popularity"], F.lit(0)).cast("int").alias("popularity"),
+    names = ["tier", "text", "title"]
+    rank_by = [(-F.col("popularity")).alias("p"), F.col("id").alias("i")]
+    entries = catalogue.select("id", "popularity", keys("title", "artist").alias("k")).select("id", "popularity", "k.*")
+    hits = top_hit(entries, names, rank_by, key_names=names)
+    asked = songs.select(F.col(song_col).alias("_rf_s"), F.col(artist_col).alias("_rf_a")).distinct()
+    asked = asked.select("_rf_s", "_rf_a", keys("_rf_s", "_rf_a").alias("k")).select("_rf_s", "_rf_a", "k.*")
+    found = asked.join(hits, names).groupBy("_rf_s", "_rf_a").agg(F.min_by("hit", "tier").alias("_rf_hit"))
+    joined = songs.join(found, (songs[song_col] == found["_rf_s"]) & (songs[artist_col] == found["_rf_a"]), "left")
+    return joined.select(
+        *[songs[c] for c in songs.columns],
+        F.coalesce(F.col("_rf_hit")["id"], F.lit("")).alias("track_id"),
+        F.coalesce(F.col("_rf_hit")["popularity"], F.lit(0)).cast("int").alias("popularity"),
     )
 
 
@@ -178,6 +173,17 @@ def flatten_feature_records(records: DataFrame, col: str = "records") -> DataFra
     )
 
 
+def read_feature_responses(df: DataFrame, col: str, schema, order_by: Sequence[str], name: str = "record_order") -> DataFrame:
+    """F9 from JSON: each response is an array of feature records, null for an
+    id that the service does not know. One row per record that is none, with
+    ``name``: a struct of ``order_by`` and the place in its response, so that
+    "the last record of an id" is what a reader of the responses in order
+    would keep. A response that is no such array has no records."""
+    parsed = df.select(*order_by, F.posexplode(F.from_json(F.col(col), T.ArrayType(schema))).alias("_rf_at", "_rf_rec"))
+    kept = parsed.where(F.col("_rf_rec").isNotNull())
+    return kept.select(F.struct(*order_by, F.col("_rf_at").alias("place")).alias(name), "_rf_rec.*")
+
+
 def parse_search_response(df: DataFrame, col: str, schema) -> DataFrame:
     """F8: JSON lookup response -> first item's id and popularity."""
     parsed = F.from_json(F.col(col), schema)

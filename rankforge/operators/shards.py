@@ -2,13 +2,16 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.operators.enrich import pending
 from rankforge.operators.ordinal import with_chunk_id
+from rankforge.sources.sinks import write_shards
 
 # Fixed value: rows per shard.
 SHARD_ROWS = 1000
@@ -25,11 +28,12 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 
 def finished_shards(spark: SparkSession, path: str) -> DataFrame:
-    """Shard ids in the stage's manifest: those whose output is complete,
-    with or without rows. A manifest that cannot be read is an error."""
+    """(shard_id, run) of the stage's manifest: the shards whose output is
+    complete, with or without rows. A manifest that cannot be read is an
+    error."""
     if not _exists(spark, f"{path}.finished"):
-        return spark.createDataFrame([], "shard_id bigint")
-    return spark.read.schema("shard_id bigint").parquet(f"{path}.finished").distinct()
+        return spark.createDataFrame([], "shard_id bigint, run string")
+    return spark.read.schema("shard_id bigint, run string").parquet(f"{path}.finished")
 
 
 def run_sharded_stage(
@@ -37,24 +41,30 @@ def run_sharded_stage(
     stage: Callable[[DataFrame], DataFrame],
     out_path: str,
 ) -> DataFrame:
-    """Run ``stage`` only on shards that are not finished and write them
-    under ``out_path`` partitioned by shard_id; then their ids go into the
-    manifest beside it. Finished shards are not recomputed, also if they gave
-    no rows; a shard whose run broke off before the manifest is overwritten.
+    """Run ``stage`` only on shards that are not finished. Each run has
+    one folder, in which ``shard_id`` is a column and files have about Spark's
+    advisory size: folders grow with the runs and files with the bytes, not
+    with the number of shards. Then the run's shard ids go into the manifest
+    beside it. Finished shards are not recomputed, also if they gave no rows;
+    a folder whose run broke off before the manifest is never read.
     Returns the complete output (no rows at all: the stage's columns)."""
     spark = shards.sparkSession
-    todo = pending(shards, finished_shards(spark, out_path), ["shard_id"])
+    finished = finished_shards(spark, out_path)
+    todo = pending(shards, finished.select("shard_id").distinct(), ["shard_id"])
     result = stage(todo)
-    (
-        result.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        .partitionBy("shard_id")
-        .parquet(out_path)
-    )
-    todo.select("shard_id").distinct().write.mode("append").parquet(f"{out_path}.finished")
     schema = T.StructType([*[f for f in result.schema.fields if f.name != "shard_id"], result.schema["shard_id"]])
-    return spark.read.schema(schema).parquet(out_path)
+    if finished.isEmpty() or not todo.isEmpty():
+        run = uuid.uuid4().hex
+        write_shards(result, f"{out_path}/{run}")
+        todo.select("shard_id").distinct().select("shard_id", F.lit(run).alias("run")).write.mode("append").parquet(f"{out_path}.finished")
+    return combine_shards(spark, out_path, schema)
 
 
-def combine_shards(spark: SparkSession, path: str) -> DataFrame:
-    """C13 combine: union of every shard (one scan of the partitioned folder)."""
-    return spark.read.parquet(path)
+def combine_shards(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+    """C13 combine: union of every finished shard (one scan of the folders of
+    the runs that the manifest names)."""
+    runs = [r["run"] for r in finished_shards(spark, path).select("run").distinct().collect()]  # one row a run
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    if not runs:
+        return spark.createDataFrame([], schema or T.StructType())
+    return reader.parquet(*[f"{path}/{r}" for r in sorted(runs)])

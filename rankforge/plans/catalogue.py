@@ -16,9 +16,10 @@ from pyspark.sql import functions as F
 from rankforge.functions.scalar import binary_relabel_expr, clean_name, json_field, to_csv_line
 from rankforge.operators.ordinal import with_ordinal
 from rankforge.operators import balance, chart, clean, enrich, shards, split
-from rankforge.plans import analysis, build, evaluate, models
+from rankforge.plans import analysis, build, evaluate, files, models
 from rankforge.plans import standins as si
 from rankforge import streaming as stream
+from rankforge.session import ensure_checkpoint_dir
 from rankforge.sources.csv import read_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -212,10 +213,11 @@ def q_add_default_class_sample(spark, sf):
 
 
 def q_class_distribution(spark, sf):
-    classified = _classified(spark, sf)
+    ensure_checkpoint_dir(spark)
+    classified = _classified(spark, sf).checkpoint()  # three datasets are made of it
     return evaluate.distribution_report({
         "classified": classified,
-        "with_default": _left_default(spark, sf),
+        "with_default": chart.classify_with_default(_features_as_songs(spark, sf), classified),
         "capped": balance.cap_classes(classified, CAP_LABELS, CAP_N, keys=["song", "artist"]),
     })
 
@@ -307,6 +309,13 @@ def _vectors(spark, sf):
     ).drop("embedding")
 
 
+def _widths(spark, sf) -> tuple[int, int]:
+    """Input and output width of a network: values of a vector, distinct
+    classes (A5)."""
+    e = read_table(spark, sf, "embeddings")
+    return e.agg(F.max(F.size("embedding"))).first()[0], evaluate.distinct_label_count(e, "label").first()[0]
+
+
 def _splits(spark, sf, df=None):
     df = df if df is not None else _vectors(spark, sf)
     return split.exact_split(df, ["vec_id"])
@@ -326,10 +335,10 @@ def q_mlp_sweep(spark, sf):
     vec = models.index_labels(_vectors(spark, sf), "class", "label").drop("class")
     vec = vec.withColumnRenamed("label", "class")
     train, val, test = _splits(spark, sf, vec)
-    k = 10
+    d, k = _widths(spark, sf)
     return models.sweep(
         "mlp", "layers", models.HIDDEN_WIDTHS, train, val, test,
-        make_params=lambda h: {"layers": models.mlp_layers(64, h, k)}, scale=True,
+        make_params=lambda h: {"layers": models.mlp_layers(d, h, k)}, scale=True,
     )
 
 
@@ -356,10 +365,11 @@ def q_rf_trees_sweep(spark, sf):
 
 def q_mlp_iter_sweep(spark, sf):
     """M7 iteration sweep with two hidden layers of 20."""
+    d, k = _widths(spark, sf)
     train, val, test = _splits(spark, sf)
     return models.sweep(
         "mlp", "maxIter", models.MAX_ITERS, train, val, test,
-        layers=models.mlp_layers(64, [20, 20], 10), scale=True,
+        layers=models.mlp_layers(d, [20, 20], k), scale=True,
     )
 
 
@@ -390,19 +400,21 @@ def q_binary_rf_trees_sweep(spark, sf):
 
 def q_binary_mlp_width_sweep(spark, sf):
     """M9: hidden-width sweep on the binary data (one hidden layer)."""
+    d, _ = _widths(spark, sf)
     train, val, test = _splits(spark, sf, _binary_vectors(spark, sf))
     return models.sweep(
         "mlp", "layers", models.HIDDEN_WIDTHS, train, val, test,
-        make_params=lambda h: {"layers": models.mlp_layers(64, h, 2)}, metric="accuracy", scale=True,
+        make_params=lambda h: {"layers": models.mlp_layers(d, h, 2)}, metric="accuracy", scale=True,
     )
 
 
 def q_binary_mlp_rate_sweep(spark, sf):
     """M9: learning-rate sweep, gradient descent with that step size."""
+    d, _ = _widths(spark, sf)
     train, val, test = _splits(spark, sf, _binary_vectors(spark, sf))
     return models.sweep(
         "mlp", "stepSize", models.LEARNING_RATES, train, val, test,
-        solver="gd", layers=models.mlp_layers(64, 100, 2), metric="accuracy", scale=True,
+        solver="gd", layers=models.mlp_layers(d, 100, 2), metric="accuracy", scale=True,
     )
 
 
@@ -410,16 +422,19 @@ def q_binary_mlp_rate_sweep(spark, sf):
 CV_GRIDS = {
     "lr": {"regParam": models.REG_PARAMS, "maxIter": models.MAX_ITERS},
     "rf": {"maxDepth": models.MAX_DEPTHS, "numTrees": models.NUM_TREES},
-    "mlp": {"layers": [models.mlp_layers(64, h, 10) for h in models.HIDDEN_WIDTHS], "maxIter": models.MAX_ITERS},
+    # The data give the input and output widths.
+    "mlp": {"layers": [(None, h, None) for h in models.HIDDEN_WIDTHS], "maxIter": models.MAX_ITERS},
 }
 CV_PARALLELISM = 8
 
 
 def _cv(family, spark, sf):
     train, _, test = _splits(spark, sf)
-    _, table, test_f1 = models.cross_validate(
-        family, CV_GRIDS[family], train, test, parallelism=CV_PARALLELISM
-    )
+    grid = dict(CV_GRIDS[family])
+    if family == "mlp":
+        d, k = _widths(spark, sf)
+        grid["layers"] = [models.mlp_layers(d, h, k) for _, h, _ in grid["layers"]]
+    _, table, test_f1 = models.cross_validate(family, grid, train, test, parallelism=CV_PARALLELISM)
     return table.withColumn("test_f1_of_best", F.when(F.col("is_best"), F.lit(test_f1)))
 
 
@@ -442,6 +457,26 @@ def q_cv_confusion(spark, sf):
     return evaluate.confusion_counts(models.predict(model, test))
 
 
+def q_sweep_confusion(spark, sf):
+    """Confusion matrices on test of the model that each sweep selects:
+    LR, RF, MLP on all classes, RF on the binary data."""
+    d, k = _widths(spark, sf)
+    out = None
+    for name, family, values, data, options in (
+        ("lr", "lr", ("regParam", models.REG_PARAMS), None, {}),
+        ("rf", "rf", ("maxDepth", models.MAX_DEPTHS), None, {}),
+        ("mlp", "mlp", ("layers", models.HIDDEN_WIDTHS), None, {"make_params": lambda h: {"layers": models.mlp_layers(d, h, k)}, "scale": True}),
+        ("binary_rf", "rf", ("maxDepth", models.BINARY_DEPTHS), _binary_vectors(spark, sf), {"metric": "accuracy"}),
+    ):
+        train, val, test = _splits(spark, sf, data)
+        fitted: list = []
+        table = models.sweep(family, *values, train, val, test, fitted=fitted, **options)
+        counts = evaluate.confusion_counts(models.best_predictions(fitted, table, test)).select(F.lit(name).alias("family"), "*")
+        out = counts if out is None else out.unionByName(counts)
+    return out.groupBy("family", "actual").pivot("predicted", [float(c) for c in range(k)]).agg(F.sum("n")).na.fill(0).withColumnsRenamed(
+        {f"{float(c)}": f"predicted_{c}" for c in range(k)})
+
+
 def q_family_comparison(spark, sf):
     """LR regParam sweep vs RF depth sweep, stacked."""
     train, val, test = _splits(spark, sf)
@@ -499,7 +534,8 @@ QUERIES: dict[str, Query] = {
     "rf_cv": q_rf_cv,
     "mlp_cv": q_mlp_cv,
     "cv_confusion": q_cv_confusion,
+    "sweep_confusion": q_sweep_confusion,
     "family_comparison": q_family_comparison,
 }
 
-QUERIES |= analysis.QUERIES
+QUERIES |= analysis.QUERIES | files.QUERIES

@@ -265,6 +265,13 @@ def explain_best(cv_model, names: Sequence[str]) -> list[str]:
     return [best.explainParam(n) for n in names]
 
 
+def best_params(cv_model, names: Sequence[str]) -> DataFrame:
+    """M14 as rows (param, value, doc)."""
+    best = cv_model.bestModel.stages[-1]
+    rows = [(n, str(best.getOrDefault(best.getParam(n))), best.getParam(n).doc) for n in names]
+    return SparkSession.active().createDataFrame(rows, "param string, value string, doc string")
+
+
 def predict(model, data: DataFrame) -> DataFrame:
     """M13."""
     return model.transform(data)

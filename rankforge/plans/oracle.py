@@ -6,7 +6,7 @@ Spark side uses group-by + ``min_by`` or the distributed ordinal.
 
 from __future__ import annotations
 
-from rankforge.plans import analysis
+from rankforge.plans import analysis, files
 from rankforge.plans.standins import (
     AUDIO_SQL,
     BEST_SQL,
@@ -118,14 +118,15 @@ WITH analysis AS (
          60.0 + o_totalprice / 5000.0 AS tempo, CAST(o_orderkey % 5 + 1 AS INTEGER) AS time_signature
   FROM orders),
 metadata AS (
-  SELECT CAST(o_custkey AS VARCHAR) AS file_id, o_orderkey AS row_idx,
+  SELECT CAST(o_custkey AS VARCHAR) AS file_id, CASE WHEN o_orderstatus = 'P' THEN -1 - o_orderkey ELSE o_orderkey END AS row_idx,
          o_orderpriority AS artist_name, CAST(o_custkey AS VARCHAR) AS title,
          o_totalprice / 600000.0 AS song_hotttnesss
-  FROM orders WHERE o_orderstatus <> 'P'),
+  FROM orders),
 mb AS (
-  SELECT CAST(o_custkey AS VARCHAR) AS file_id, o_orderkey AS row_idx,
+  SELECT CAST(o_custkey AS VARCHAR) AS file_id,
+         CASE WHEN CAST(o_orderdate AS DATE) < DATE '1996-01-01' THEN -1 - o_orderkey ELSE o_orderkey END AS row_idx,
          CAST(year(o_orderdate) AS INTEGER) AS year
-  FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1996-01-01'),
+  FROM orders),
 j AS (
   SELECT * FROM analysis FULL OUTER JOIN metadata USING (file_id, row_idx)
   FULL OUTER JOIN mb USING (file_id, row_idx))
@@ -244,4 +245,6 @@ SELECT CAST(ordinal AS INTEGER) AS ordinal, CAST(threshold AS INTEGER) AS thresh
 FROM s""",
 }
 
-ORACLE |= analysis.ORACLE
+ORACLE |= analysis.ORACLE | files.ORACLE
+ORACLE["feature_group_files"] = ORACLE["row_aligned_concat"]
+ORACLE["build_from_files"] = ORACLE["build_enriched"]

@@ -7,12 +7,14 @@ by the DuckDB oracle) -- and both must stay in step.
 * chart      = orders: song <- o_custkey, artist <- o_orderpriority,
                date <- o_orderdate, rank <- floor(o_totalprice / 4500) + 1
                (1..112, so ranks past 100 occur), input order <- o_orderkey.
-* features   = orders with status F since 1997 (the feature table of C3/C4;
-               year 0 = unknown in January).
-* catalogue  = orders since 1998 (lookup target of C9); status F rows carry
-               the chart's artist spelling, other rows a lower-case spelling
-               only the free-text tier finds.
-* audio      = orders not in status P (feature records of C11).
+* features   = orders (the feature table of C3/C4); records not in status F
+               carry another title (with a comma, or in Cyrillic) that no
+               chart song has; year 0 = unknown in January.
+* catalogue  = orders (lookup target of C9); entries before 1998 carry another
+               title; status F rows have the chart's artist spelling, other
+               rows a lower-case spelling only the free-text tier finds.
+* audio      = orders (feature records of C11); status P rows carry an id that
+               no lookup gives.
 * unranked   = customer (title <- c_name, artist <- c_mktsegment).
 """
 
@@ -25,7 +27,6 @@ from rankforge.sources.csv import read_table
 
 # Fixed values of the stand-in queries.
 CHART_BEFORE = "2000-01-01"
-FEATURES_SINCE = "1997-01-01"
 CATALOGUE_SINCE = "1998-01-01"
 
 
@@ -51,13 +52,13 @@ def chart_from_orders(o: DataFrame) -> DataFrame:
 def features_a(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     p = F.col("o_totalprice")
-    return o.where(
-        (F.col("o_orderstatus") == "F") & (_d("o_orderdate") >= F.lit(FEATURES_SINCE).cast("date"))
-    ).select(
+    title = F.col("o_custkey").cast("string")
+    return o.select(
         F.col("o_orderpriority").alias("artist_name"),
-        F.col("o_custkey").cast("string").alias("title"),
+        F.when(F.col("o_orderstatus") == "F", title).when(F.col("o_orderstatus") == "O", F.concat(title, F.lit(", live")))
+        .otherwise(F.concat(F.lit("Песня "), title)).alias("title"),
         F.when(F.month("o_orderdate") == 1, F.lit(0))
-        .otherwise(F.year("o_orderdate")).cast("int").alias("year"),
+        .otherwise(F.lit(1994) + F.col("o_custkey") % 4).cast("int").alias("year"),
         (p / F.lit(500000.0)).alias("danceability"),
         (p / F.lit(1000.0)).alias("duration"),
         F.lit(0.0).alias("energy"),
@@ -71,8 +72,8 @@ def features_a(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feature_groups(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
     """Three row-aligned groups keyed by (file_id, row_idx); the metadata
-    group lacks status-P rows, the year group rows before 1996; energy is
-    NaN for every 97th row."""
+    group has other row numbers for status P, the year group before 1996;
+    energy is NaN for every 97th row."""
     o = read_table(spark, sf_dir, "orders")
     p = F.col("o_totalprice")
     key = [F.col("o_custkey").cast("string").alias("file_id"), F.col("o_orderkey").alias("row_idx")]
@@ -86,26 +87,30 @@ def feature_groups(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
         (F.lit(60.0) + p / F.lit(5000.0)).alias("tempo"),
         (F.col("o_orderkey") % 5 + 1).cast("int").alias("time_signature"),
     )
-    metadata = o.where(F.col("o_orderstatus") != "P").select(
-        *key,
+    def rekeyed(miss):
+        return [key[0], F.when(miss, -1 - F.col("o_orderkey")).otherwise(F.col("o_orderkey")).alias("row_idx")]
+
+    metadata = o.select(
+        *rekeyed(F.col("o_orderstatus") == "P"),
         F.col("o_orderpriority").alias("artist_name"),
         F.col("o_custkey").cast("string").alias("title"),
         (p / F.lit(600000.0)).alias("song_hotttnesss"),
     )
-    musicbrainz = o.where(_d("o_orderdate") >= F.lit("1996-01-01").cast("date")).select(
-        *key, F.year("o_orderdate").cast("int").alias("year")
+    musicbrainz = o.select(
+        *rekeyed(_d("o_orderdate") < F.lit("1996-01-01").cast("date")), F.year("o_orderdate").cast("int").alias("year")
     )
     return [analysis, metadata, musicbrainz]
 
 
 def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
-    return o.where(_d("o_orderdate") >= F.lit(CATALOGUE_SINCE).cast("date")).select(
+    title = F.col("o_custkey").cast("string")
+    return o.select(
         F.concat(F.lit("t"), F.col("o_orderkey").cast("string")).alias("id"),
         F.when(F.col("o_orderstatus") == "F", F.col("o_orderpriority"))
         .otherwise(F.lower(F.replace(F.col("o_orderpriority"), F.lit("-"), F.lit(" "))))
         .alias("artist"),
-        F.col("o_custkey").cast("string").alias("title"),
+        F.when(_d("o_orderdate") >= F.lit(CATALOGUE_SINCE).cast("date"), title).otherwise(F.concat(title, F.lit(" (старая)"))).alias("title"),
         F.floor(F.col("o_totalprice") / F.lit(5000.0)).cast("int").alias("popularity"),
     )
 
@@ -113,8 +118,8 @@ def catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
 def audio_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = read_table(spark, sf_dir, "orders")
     p = F.col("o_totalprice")
-    return o.where(F.col("o_orderstatus") != "P").select(
-        F.concat(F.lit("t"), F.col("o_orderkey").cast("string")).alias("id"),
+    return o.select(
+        F.concat(F.when(F.col("o_orderstatus") == "P", F.lit("x")).otherwise(F.lit("t")), F.col("o_orderkey").cast("string")).alias("id"),
         (p / F.lit(500000.0)).alias("danceability"),
         (p / F.lit(700000.0)).alias("energy"),
         (F.col("o_orderkey") % 12).cast("int").alias("key"),
@@ -146,14 +151,14 @@ CHART_SQL = """chart AS (
   FROM orders)"""
 
 FEATURES_A_SQL = """features_a AS (
-  SELECT o_orderpriority AS artist_name, CAST(o_custkey AS VARCHAR) AS title,
-         CAST(CASE WHEN month(o_orderdate) = 1 THEN 0 ELSE year(o_orderdate) END AS INTEGER) AS year,
+  SELECT o_orderpriority AS artist_name,
+         CASE o_orderstatus WHEN 'F' THEN CAST(o_custkey AS VARCHAR) WHEN 'O' THEN o_custkey || ', live' ELSE 'Песня ' || o_custkey END AS title,
+         CAST(CASE WHEN month(o_orderdate) = 1 THEN 0 ELSE 1994 + o_custkey % 4 END AS INTEGER) AS year,
          o_totalprice / 500000.0 AS danceability, o_totalprice / 1000.0 AS duration,
          CAST(0.0 AS DOUBLE) AS energy, CAST(o_orderkey % 12 AS INTEGER) AS key,
          -(o_totalprice / 10000.0) AS loudness, o_totalprice / 600000.0 AS song_hotttnesss,
          60.0 + o_totalprice / 5000.0 AS tempo, CAST(o_orderkey % 5 + 1 AS INTEGER) AS time_signature
-  FROM orders
-  WHERE o_orderstatus = 'F' AND CAST(o_orderdate AS DATE) >= DATE '1997-01-01')"""
+  FROM orders)"""
 
 BEST_SQL = """best AS (
   SELECT song, artist, min(rank) AS top_rank FROM chart
@@ -166,9 +171,9 @@ CATALOGUE_SQL = """cat AS (
   SELECT 't' || CAST(o_orderkey AS VARCHAR) AS id,
          CASE WHEN o_orderstatus = 'F' THEN o_orderpriority
               ELSE lower(replace(o_orderpriority, '-', ' ')) END AS artist,
-         CAST(o_custkey AS VARCHAR) AS title,
+         CASE WHEN CAST(o_orderdate AS DATE) >= DATE '1998-01-01' THEN CAST(o_custkey AS VARCHAR) ELSE o_custkey || ' (старая)' END AS title,
          CAST(floor(o_totalprice / 5000.0) AS INTEGER) AS popularity
-  FROM orders WHERE CAST(o_orderdate AS DATE) >= DATE '1998-01-01')"""
+  FROM orders)"""
 
 def lookup_sql(songs: str = "classified", extra_cols: str = "") -> str:
     """t1/t2 tiers, lookup and identified CTEs over a songs table."""
@@ -197,7 +202,7 @@ identified AS (
   SELECT * FROM lookup WHERE track_id IS NULL OR track_id <> '')"""
 
 AUDIO_SQL = """audio AS (
-  SELECT 't' || CAST(o_orderkey AS VARCHAR) AS id,
+  SELECT CASE o_orderstatus WHEN 'P' THEN 'x' ELSE 't' END || CAST(o_orderkey AS VARCHAR) AS id,
          o_totalprice / 500000.0 AS danceability, o_totalprice / 700000.0 AS energy,
          CAST(o_orderkey % 12 AS INTEGER) AS key, -(o_totalprice / 10000.0) AS loudness,
          CAST(o_orderkey % 2 AS INTEGER) AS mode, o_totalprice / 900000.0 AS speechiness,
@@ -205,7 +210,7 @@ AUDIO_SQL = """audio AS (
          o_totalprice / 1700000.0 AS liveness, o_totalprice / 1900000.0 AS valence,
          60.0 + o_totalprice / 5000.0 AS tempo, CAST(floor(o_totalprice) AS INTEGER) AS duration_ms,
          CAST(o_orderkey % 5 + 1 AS INTEGER) AS time_signature
-  FROM orders WHERE o_orderstatus <> 'P')"""
+  FROM orders)"""
 
 
 def with_sql(*ctes: str) -> str:

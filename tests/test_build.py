@@ -2,6 +2,7 @@ import os
 
 from pyspark.sql import functions as F
 
+from rankforge.operators import shards
 from rankforge.plans import build
 
 
@@ -47,7 +48,16 @@ def test_build_enriched_resumes_from_shards(spark, tmpdir_path):
     assert sorted(map(tuple, first.drop("batch_id").collect())) == sorted(
         map(tuple, again.drop("batch_id").collect())
     )
-    assert os.path.isdir(os.path.join(work, "enriched", "shard_id=0"))
+    # One folder for the only run, named by the manifest; shard_id is a column.
+    runs = {r["run"] for r in shards.finished_shards(spark, os.path.join(work, "enriched")).collect()}
+    assert runs == set(os.listdir(os.path.join(work, "enriched"))) and len(runs) == 1
+    assert shards.combine_shards(spark, os.path.join(work, "enriched")).where("shard_id = 0").count() > 0
+
+
+def test_sharded_build_equals_the_unsharded_one(spark, tmpdir_path):
+    plain = build.build_enriched(*_inputs(spark))
+    sharded = build.build_enriched(*_inputs(spark), work_dir=os.path.join(tmpdir_path, "w"), shard_rows=2)
+    assert sorted(map(repr, plain.drop("batch_id").collect())) == sorted(map(repr, sharded.drop("batch_id").collect()))
 
 
 def test_dedupe_scope_shard_keeps_copies_across_shards(spark):

@@ -1,4 +1,5 @@
 import json
+import re
 
 from rankforge.operators import enrich
 from rankforge.schemas import SEARCH_RESPONSE
@@ -89,3 +90,35 @@ def test_pending_and_json_helpers(spark):
     recs = spark.createDataFrame([([{"id": "a", "v": 1.0}, None, {"id": "b", "v": 2.0}],)],
                                  "records array<struct<id:string,v:double>>")
     assert [r.id for r in enrich.flatten_feature_records(recs).collect()] == ["a", "b"]
+
+
+def test_lookup_reads_the_songs_twice_and_the_catalogue_once(spark):
+    from rankforge.plans.catalogue import QUERIES
+
+    df = QUERIES["fallback_lookup"](spark, "/root/testdata/sf0.001")
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan().toString()
+    final = plan.split("== Initial Plan ==")[0]
+    assert len(re.findall(r"FileScan parquet", final)) <= 3
+
+
+def test_lookup_of_nulls_and_ambiguous_texts(spark):
+    songs = spark.createDataFrame(
+        [(None, "x", 1), ("y", None, 2), ("z", "x track:y", 3), ("y track:z", "x", 4), ("z", "x track:y", 5)], "song string, artist string, class int")
+    cat = spark.createDataFrame(
+        [("a", "x track:y", "z", 1), ("b", "x", "y track:z", 2), ("c", None, "y", 9), ("d", "x", None, 9)], "id string, artist string, title string, popularity int")
+    got = {r["class"]: r.track_id for r in enrich.fallback_lookup(songs, cat).collect()}
+    assert got == {1: "", 2: "", 3: "a", 4: "b", 5: "a"}
+
+
+def test_feature_responses_keep_their_order(spark):
+    rows = [(0, '[{"id":"a","energy":1.0},null,{"id":"b","energy":2.0},{"id":"a","energy":3.0}]'), (1, '[{"id":"b","energy":0.5}]'), (2, "no json"), (3, None), (4, "[]")]
+    df = spark.createDataFrame(rows, "batch int, response string")
+    from pyspark.sql import types as T
+
+    schema = T.StructType([T.StructField("id", T.StringType()), T.StructField("energy", T.DoubleType())])
+    records = enrich.read_feature_responses(df, "response", schema, ["batch"])
+    got = [((r.record_order.batch, r.record_order.place), r.id, r.energy) for r in records.collect() if r.id]
+    assert sorted(got) == [((0, 0), "a", 1.0), ((0, 2), "b", 2.0), ((0, 3), "a", 3.0), ((1, 0), "b", 0.5)]
+    last = {r.id: r.energy for r in enrich.latest_per_id(records.where("id is not null"), order_col="record_order").collect()}
+    assert last == {"a": 3.0, "b": 0.5}

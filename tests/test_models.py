@@ -48,6 +48,8 @@ def test_cross_validate_rows(spark):
     assert 0.0 <= test_f1 <= 1.0
     text = models.explain_best(model, ["regParam"])
     assert text[0].startswith("regParam")
+    chosen = models.best_params(model, ["regParam", "maxIter"]).collect()
+    assert [(r["param"], float(r["value"])) for r in chosen] == [("regParam", model.bestModel.stages[-1].getRegParam()), ("maxIter", 5.0)]
     pred = models.predict(model, test).select("prediction").distinct().collect()
     assert all(0 <= r.prediction <= 9 for r in pred)
 
@@ -66,3 +68,18 @@ def test_cross_validate_over_layers(spark):
     grid = {"layers": [models.mlp_layers(d, h, k) for h in (1, 3)], "maxIter": [1, 2]}
     _, table, _ = models.cross_validate("mlp", grid, train, test)
     assert sorted(r.params for r in table.collect()) == sorted(str([("layers", float(h)), ("maxIter", float(m))]) for h in (1, 3) for m in (1, 2))
+
+
+def test_best_predictions_are_those_of_the_selected_model(spark):
+    train, val, test = _data(spark)
+    fitted = []
+    table = models.sweep("lr", "maxIter", [1, 20], train, val, test, fitted=fitted)
+    best = table.where("is_best").first()["ordinal"]
+    got = models.best_predictions(fitted, table, test).select("prediction").collect()
+    assert got == fitted[best].transform(test).select("prediction").collect() and len(fitted) == 2
+
+
+def test_one_against_the_rest(spark):
+    train, _, test = _data(spark)
+    model = models.estimator("ovr_svc", maxIter=2).fit(train)
+    assert model.transform(test).count() == test.count()

@@ -132,3 +132,44 @@ def test_scale_conf_sizes_partitions():
     big = scale_conf(100 * 10**12)
     assert int(big["spark.sql.shuffle.partitions"]) == -(-100 * 10**12 // (256 << 20))
     assert scale_conf(10**6)["spark.sql.shuffle.partitions"] == "200"
+
+
+def test_a_run_that_broke_off_is_not_read(spark, tmpdir_path):
+    rows = spark.range(0, 5000).selectExpr("id", "id DIV 100 AS shard_id")
+    out = os.path.join(tmpdir_path, "stage")
+    shards.run_sharded_stage(rows.where("shard_id < 20"), lambda d: d, out)
+    rows.write.parquet(os.path.join(out, "brokenoff"))
+    full = shards.run_sharded_stage(rows, lambda d: d, out)
+    assert full.count() == 5000 == full.distinct().count()
+    assert shards.combine_shards(spark, out).count() == 5000
+    before = sorted(os.listdir(out))
+    assert shards.run_sharded_stage(rows, lambda d: d, out).count() == 5000
+    assert sorted(os.listdir(out)) == before  # nothing to do, nothing written
+    assert len(before) == 3  # a folder for each run, not for each of 50 shards
+    assert shards.combine_shards(spark, out + "-none").count() == 0
+
+
+def test_write_shards_keeps_the_shard_as_a_column(spark, tmpdir_path):
+    rows = spark.range(0, 3000).selectExpr("id", "id DIV 10 AS shard_id")
+    out = os.path.join(tmpdir_path, "shards")
+    sinks.write_shards(rows, out)
+    assert spark.read.parquet(out).where("shard_id = 7").count() == 10
+    assert len([f for f in os.listdir(out) if f.endswith(".parquet")]) < 30
+
+
+def test_feature_groups_from_files(spark, tmpdir_path):
+    paths = [os.path.join(tmpdir_path, n) for n in ("a", "b")]
+    spark.createDataFrame([("f", 1, 0.5), ("f", 2, 0.6)], "file_id string, row_idx int, x double").write.parquet(paths[0])
+    spark.createDataFrame([("f", 1, "t")], "file_id string, row_idx int, y string").write.parquet(paths[1])
+    from rankforge.operators import enrich
+
+    joined = enrich.row_aligned_concat(src.read_feature_groups(spark, paths), keep=["x", "y"])
+    assert [tuple(r) for r in joined.collect()] == [(0.5, "t")]
+
+
+def test_dedupe_any_keeps_one_row_per_key(spark):
+    from rankforge.operators import clean
+
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d"), (None, "e")], "k int, v string")
+    got = clean.dedupe_any(df, ["k"]).collect()
+    assert sorted(str(r.k) for r in got) == ["1", "2", "None"]
