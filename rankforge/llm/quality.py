@@ -67,11 +67,13 @@ def _count_of(text: Column, chars: str) -> Column:
 
 
 def with_features(df: DataFrame, text: str | Column = "text") -> DataFrame:
-    """Adds the struct ``quality`` with the base counts and the bins."""
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    t = whole_text(text)
+    """Adds the struct ``quality`` with the base counts and the bins, in place
+    of a column of that name. Other columns may have any names."""
+    kept = [c for c in df.columns if c != "quality"]
+    rows = df.select(F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"), whole_text(text if isinstance(text, Column) else f"`{text}`").alias("_t"))
+    columns, t = [F.col("row")], F.col("_t")
     lines = F.filter(F.split(t, "\n"), lambda x: F.length(F.btrim(x, F.lit(BLANKS))) > 0)
-    a = df.select(*columns, t.alias("_t"), words(t).alias("_w"), lines.alias("_l"))
+    a = rows.select(*columns, "_t", words(t).alias("_w"), lines.alias("_l"))
     n = F.size("_w").cast("long")
     windows = F.when(
         n >= 3,
@@ -124,7 +126,7 @@ def with_features(df: DataFrame, text: str | Column = "text") -> DataFrame:
         "mean_word_length": share("_c", "_n"),
     }
     failed = (F.col("_n") < MIN_WORDS) | (100 * F.col("_r") > 50 * F.col("_n"))
-    return d.select(*columns, F.struct(
+    return d.select(*[F.col("row")[c].alias(c) for c in kept], F.struct(
         F.col("_n").alias("n_words"), F.col("_c").alias("word_chars"), F.col("_s").alias("n_symbols"),
         F.col("_d").alias("n_dup_lines"), F.col("_r").alias("n_repeat_words"), failed.alias("base_failed"),
         *[F.least(F.lit(BINS - 1), F.floor(measures[m] * scale)).cast("int").alias(m) for m, scale in MEASURES.items()],
@@ -213,13 +215,13 @@ def fit(features: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", lang:
 
 
 def judge(features: DataFrame, cuts: DataFrame, *, lang: str = "lang") -> DataFrame:
-    """Adds ``kept`` to rows with features. The cuts are at most 677 rows."""
-    columns = [F.col(f"`{c}`") for c in features.columns]
-    rules = cuts.select("stratum", F.struct(*MEASURES).alias("_cuts")).withColumnRenamed("stratum", "_stratum")
-    joined = features.select(*columns, stratum(f"`{lang}`").alias("_s")).join(
-        F.broadcast(rules), F.col("_s") == F.col("_stratum"), "left")
+    """Adds ``kept`` to rows with features, in place of a column of that name.
+    The cuts are at most 677 rows."""
+    names = [c for c in features.columns if c != "kept"]
+    rules = cuts.select(F.col("stratum").alias("of"), F.struct(*MEASURES).alias("cuts"))
+    rows = features.select(F.struct(*[F.col(f"`{c}`") for c in names]).alias("row"), F.col("quality").alias("q"), stratum(f"`{lang}`").alias("s"))
+    joined = rows.join(F.broadcast(rules), F.col("s") == F.col("of"), "left")
     # One expression over both sides of the join: a filter on it cannot be split
     # and pushed below, where it would compute the measures once more for each use.
-    against = F.array(F.col("quality")["base_failed"], *[
-        F.coalesce(F.col("quality")[m] > F.col("_cuts")[m], F.lit(False)) for m in MEASURES])
-    return joined.select(*columns, (~F.array_contains(against, True)).alias("kept"))
+    against = F.array(F.col("q")["base_failed"], *[F.coalesce(F.col("q")[m] > F.col("cuts")[m], F.lit(False)) for m in MEASURES])
+    return joined.select(*[F.col("row")[c].alias(c) for c in names], (~F.array_contains(against, True)).alias("kept"))

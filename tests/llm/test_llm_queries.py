@@ -2,6 +2,8 @@
 
 import pytest
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline
 from oracle_compare import compare, duck
 from rankforge.llm import decontaminate, simhash
@@ -12,7 +14,28 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_oracle(spark, name):
-    compare(QUERIES[name](spark, SF), duck(SF), ORACLE[name])
+    got = compare(QUERIES[name](spark, SF), duck(SF), ORACLE[name])
+    assert got["cols_match"] and got["hash_match"] and got["rows_spark"] == got["rows_oracle"] > 0
+
+
+def test_registered_columns(spark):
+    """Names, order and types as the queries' contract has them."""
+    want = {
+        "op1_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
+        "op2_quality_rules": "doc_id bigint, n_words bigint, word_chars bigint, n_symbols bigint, n_dup_lines bigint, n_repeat_words bigint, "
+                             "base_failed boolean, kept boolean",
+        "op3_pii": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string",
+        "op4_byte_bpe": "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
+        "op5_suffix_dedup": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
+        "op6_sharding": "doc_id bigint, size bigint, text_crc32 bigint, law string, shard int, slot bigint, grown_shard int",
+        "op7_decontamination": "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean",
+        "op8_simhash": "doc_id bigint, fingerprint string, component_id bigint",
+        "op9_line_dedup": "doc_id bigint, n_lines bigint, n_dropped bigint, kept_sha256 string",
+        "op10_token_count": "doc_id bigint, n_bytes bigint, n_tokens bigint, over_limit boolean",
+    }
+    for name, columns in want.items():
+        got = ", ".join(f"{c} {t}" for c, t in QUERIES[name](spark, SF).dtypes)
+        assert got.startswith(columns), (name, got)
 
 
 def test_pipeline_keeps_what_each_stage_should(spark):
@@ -56,3 +79,18 @@ def test_simhash_stage_keeps_one_row_per_group(spark):
     out = dict(corpus_pipeline.STAGES)["simhash_dedup"](spark, rows.repartition(3), SF).select("doc_id", "text").collect()
     want = [(None, "a"), (None, "b"), (None, "c"), (5, "d"), (2, "e"), (8, "f"), (9, "g"), (9, "h")]
     assert sorted(map(repr, map(tuple, out))) == sorted(repr((i, text(k))) for i, k in want)
+
+
+def test_quality_rules_take_any_column_names(spark):
+    from rankforge.llm import quality
+
+    docs, labels = (spark.read.parquet(f"{SF}/{t}.parquet") for t in ("documents", "labels"))
+    names = ("_n", "_t", "_h", "_s", "_w", "_l", "_stratum", "_cuts", "quality", "kept", "row", "s", "q", "of", "cuts", "a.b")
+    odd = docs.select("*", *[F.lit("x").alias(n) for n in names])
+    got, want = (quality.with_features(d) for d in (odd, docs))
+    cuts = quality.fit(want, labels)
+    assert got.columns == [*docs.columns, *[n for n in names if n != "quality"], "quality"]
+    judged = quality.judge(got, quality.fit(got, labels))
+    assert judged.columns == [c for c in got.columns if c != "kept"] + ["kept"]
+    one, two = ({tuple(r) for r in d.select("doc_id", "kept", "quality.n_words").collect()} for d in (judged, quality.judge(want, cuts)))
+    assert one == two and judged.where("q = 'x' and row = 'x'").count() == docs.count()
