@@ -8,13 +8,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from rankforge.operators import enrich
+from rankforge.schemas import FEATURES_8
 from rankforge.sources import csv as src
 
 GOLDEN = os.environ.get("RANKFORGE_GOLDEN", "")
-COLUMNS = [
-    "song", "artist", "class", "year", "danceability", "duration", "energy", "key",
-    "loudness", "song_hotttnesss", "tempo", "time_signature",
-]
+COLUMNS = ["song", "artist", "class", "year", *FEATURES_8]
 
 pytestmark = pytest.mark.skipif(not (GOLDEN and os.path.exists(GOLDEN)), reason="RANKFORGE_GOLDEN not set")
 

@@ -25,6 +25,7 @@ def test_every_query_has_callable_and_oracle_keys_exist():
         "mlp_iter_sweep", "svc_iter_sweep", "binary_rf_sweep", "binary_mlp_rate_sweep",
         "binary_rf_trees_sweep", "binary_mlp_width_sweep",
         "lr_cv", "rf_cv", "mlp_cv", "cv_confusion", "family_comparison", "random_split_sizes",
+        "sweep_confusion", "pca_variance", "feature_importance", "impute_similar", "rank_regression", "gbt_sweep",
     }
 
 
