@@ -8,11 +8,13 @@ with a smaller id. Strings are judged on the input.
 1. Anchors: every window of 50 bytes has one anchor, the 24-byte gram of
    smallest hash in it (the leftmost of equal ones). Equal windows have equal
    anchors at the same places, so only windows of an anchor that two documents
-   share can repeat. The anchors (hash, document, place; no text) are
-   range-partitioned on (hash, document), so a frequent anchor spreads over
-   many tasks, and streamed; those of one document alone are left out there.
-2. Contexts: each shared anchor with the bytes of its windows, known by the
-   64-bit hashes of both. Equal contexts are one, with the smallest id that has it. In
+   share can repeat. An anchor's context is the bytes of its windows; both are
+   known by 64-bit hashes. One pass over the texts makes all anchors (hashes,
+   document, place; no text). Those that two documents of a slice of texts share
+   are marked in that pass and dealt freely; only one of them goes to the task of
+   its hash, to tell it, so that a frequent anchor spreads over many tasks. There
+   anchors of one document alone are left out.
+2. Contexts: equal contexts are one, with the smallest id that has it. In
    documents with a larger id all of it repeats. Only where an anchor has
    several contexts are their bytes looked up, once each.
 3. Suffix arrays: an anchor's contexts are trimmed to what agrees with another
@@ -42,16 +44,21 @@ from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from rankforge.session import ensure_checkpoint_dir
 
-from .line_dedup import DROPPED, PENDING, _runs_over
 from .text import carried, whole_text
 
 LENGTH, GRAM = 50, 24
+#: Text bytes of a slice; tasks that free or frequent rows of one key are dealt to;
+#: rows of one document held back until another document has the anchor.
+SLICE, SALTS, HELD = 4 << 20, 1024, 100_000
+#: A key with more than this many rows, and more than this share of them, is frequent.
+FREQUENT_ROWS, FREQUENT_SHARE = 10_000, 1000
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _STEPS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
@@ -136,10 +143,11 @@ def _slide(x: np.ndarray, width: int, f) -> np.ndarray:
     return x if n == width else f(x[:len(x) - (width - n)], x[width - n:])
 
 
-def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Of each anchor: its hash, its place, the starts of the first and the last of its windows."""
+def anchors(text: bytes) -> tuple[np.ndarray, ...]:
+    """Of each anchor: its hash, its context's hash, its place, the starts of
+    the first and the last of its windows."""
     if len(text) < LENGTH:
-        return (np.zeros(0, np.int64),) * 4
+        return (np.zeros(0, np.int64),) * 5
     h, n = np.frombuffer(text, np.uint8).astype(np.uint64) + np.uint64(1), 1
     for step in _STEPS:
         h = h[:-n] * np.uint64(step) + h[n:]
@@ -152,8 +160,14 @@ def anchors(text: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray
     ranked = (h & ~low) | np.arange(len(h), dtype=np.uint64)
     place = (_slide(ranked, LENGTH - GRAM + 1, np.minimum) & low).astype(np.int64)  # of each window's anchor
     first = np.flatnonzero(np.diff(place, prepend=-1))
-    at = place[first]
-    return h[at].view(np.int64), at, first, np.append(first[1:], len(place)) - 1
+    at, last = place[first], np.append(first[1:], len(place)) - 1
+    # Two grams from the left and two up to the right end cover a context.
+    end = last + LENGTH
+    k = ((at - first) << 8 | (last - first)).astype(np.uint64)
+    for gram in (first, first + GRAM, end - 2 * GRAM, end - GRAM):
+        k = (k ^ h[gram]) * np.uint64(_STEPS[1])
+        k ^= k >> np.uint64(31)
+    return h[at].view(np.int64), k.view(np.int64), at, first, last
 
 
 def _agreement(words: list[bytes]) -> list[int]:
@@ -224,55 +238,121 @@ def _solved(contexts: list[tuple[int, bytes, int]]) -> list[list[int]]:
     return out
 
 
-def _shared_places(docs: DataFrame) -> DataFrame:
-    """(d, at) of the anchors that several documents have, and a few more at
-    the partitions' borders."""
+def _slices(b: pa.RecordBatch, name: str) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of about ``SLICE`` bytes of ``name`` each, of one row at least."""
+    parts = np.cumsum(pc.binary_length(b.column(name)).to_numpy().astype(np.int64)) // SLICE
+    cuts = [0, *(np.flatnonzero(np.diff(parts)) + 1).tolist(), len(b)]
+    for lo, hi in zip(cuts, cuts[1:]):
+        if hi > lo:
+            yield b.slice(lo, hi - lo)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for lo in range(0, len(b), 512):
-                part = b.slice(lo, 512)
-                found = [anchors(t.as_py())[:2] for t in part.column(1)]
-                ids = np.repeat(part.column(0).to_numpy(zero_copy_only=False), [len(h) for h, _ in found])
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([h for h, _ in found]), pa.int64()), pa.array(ids, pa.int64()),
-                     pa.array(np.concatenate([p for _, p in found]), pa.int32())], names=["h1", "doc", "at"])
 
-    rows = docs.mapInArrow(run, "h1 long, doc long, at int").repartitionByRange("h1", "doc").sortWithinPartitions("h1", "doc")
-    out = pa.schema([("kind", pa.int32()), ("docs", pa.int64()), ("h1", pa.int64()), ("h2", pa.int64()), ("doc", pa.int64()), ("at", pa.int32())])
-    shared = rows.withColumn("h2", F.lit(0).cast("long")).mapInArrow(
-        _runs_over(2, out), "kind int, docs long, h1 long, h2 long, doc long, at int")
-    return shared.where(F.col("kind").isin(DROPPED, PENDING)).select(F.col("doc").alias("d"), "at")
+def _starts(sorted_keys: np.ndarray) -> np.ndarray:
+    return np.flatnonzero(np.append(True, sorted_keys[1:] != sorted_keys[:-1]))
+
+
+def _dealt(h: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """Of each anchor of a slice: 0 if one document has it; else -1 for the
+    first of these and a positive number for the others."""
+    order = np.argsort(h, kind="stable")
+    start = _starts(h[order])
+    docs = d[order]
+    shared = np.minimum.reduceat(docs, start) != np.maximum.reduceat(docs, start)
+    out = np.zeros(len(h), np.int32)
+    members = order[np.repeat(shared, np.diff(start, append=len(h)))]
+    out[members] = 1 + (d[members] + members) % SALTS
+    out[order[start[shared]]] = -1
+    return out
+
 
+def _only_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of rows in order of ``h`` those whose ``h`` has several documents ``d``
+    or a ``deal``; also those of a single document beyond ``HELD``."""
+    key = doc = None  # of the last run; doc is None where it is known to be shared
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not len(b):
+            continue
+        h, d, deal = (b.column(c).to_numpy() for c in ("h", "d", "deal"))
+        start = _starts(h)
+        low, high = np.minimum.reduceat(d, start), np.maximum.reduceat(d, start)
+        shared = (low != high) | np.logical_or.reduceat(deal != 0, start)
+        if h[0] == key:
+            shared[0] |= doc is None or doc != low[0]
+        if held and (h[0] != key or shared[0] or len(start) > 1):
+            if h[0] == key and shared[0]:
+                yield from held
+            held = []
+        take = np.repeat(shared, np.diff(start, append=len(h)))
+        if h[-1] != key or shared[-1]:
+            key, doc = h[-1], None if shared[-1] else low[-1]
+        if not shared[-1]:
+            held.append(b.slice(start[-1]))
+            if sum(map(len, held)) > HELD:
+                yield from held
+                held = []
+        yield b.filter(pa.array(take))
+
+
+def _seen(docs: DataFrame) -> DataFrame:
+    """(h, k, d, t, a, last) of the anchors that several documents have: the
+    hashes of the anchor and its context, document id and text hash, start of the
+    first window, the number of windows less one."""
+    types = {"d": pa.int64(), "t": pa.int64(), "deal": pa.int32(), "a": pa.int32(), "last": pa.int32(), "h": pa.int64(), "k": pa.int64()}
 
-def _contexts(docs: DataFrame, wanted: DataFrame, name: str) -> DataFrame:
-    """(h, k, d, t, a, last, off, c) for the anchors of each document ``d``
-    whose ``name`` (place ``at`` or hash ``h``) is wanted: the hashes of the
-    anchor and its context, document id and text hash, start of the first
-    window, the number of windows less one, the anchor's place in the context,
-    the context."""
-    types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.binary())
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            for part in _slices(b, "x"):
+                found = [anchors(t.as_py()) for t in part.column("x")]
+                n = [len(f[0]) for f in found]
+                if not sum(n):
+                    continue
+                h, k, _, first, last = (np.concatenate(c) for c in zip(*found))
+                d, t = (np.repeat(part.column(c).to_numpy(), n) for c in ("d", "t"))
+                cols = {"d": d, "t": t, "deal": _dealt(h, d), "a": first, "last": last - first, "h": h, "k": k}
+                yield pa.RecordBatch.from_arrays([pa.array(cols[c], y) for c, y in types.items()], names=list(types))
+
+    schema = "d long, t long, deal int, a int, last int, h long, k long"
+    rows = docs.select("d", "t", "x").mapInArrow(run, schema)
+    dealt = rows.repartition("h", F.greatest("deal", F.lit(0))).sortWithinPartitions("h")
+    return dealt.mapInArrow(_only_shared, schema).select("h", "k", "d", "t", "a", "last")
+
+
+def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(h, k, d, off, c) for the anchors ``h`` wanted of each document ``d``:
+    the hashes of the anchor and its context, document id, the anchor's place in
+    the context, the context."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for lo in range(0, len(b), 64):
-                part = b.slice(lo, 64)
-                cols: list[list] = [[] for _ in types]
-                for d, t, x, keep in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2), part.column(3)):
+            for part in _slices(b, "x"):
+                cols: list[list] = [[] for _ in range(5)]
+                for d, x, keep in zip(part.column("d").to_pylist(), part.column("x"), part.column("wanted")):
                     text = x.as_py()
-                    h, at, first, last = anchors(text)
-                    mine = np.isin(at if name == "at" else h, keep.values.to_numpy())
-                    h, at, first, last = h[mine], at[mine], first[mine], last[mine]
-                    for col, v in zip(cols, (h, np.full(len(h), d), np.full(len(h), t), first, last - first, at - first)):
+                    h, k, at, first, last = anchors(text)
+                    mine = np.isin(h, keep.values.to_numpy())
+                    h, k, at, first, last = h[mine], k[mine], at[mine], first[mine], last[mine]
+                    for col, v in zip(cols, (h, k, np.full(len(h), d), at - first)):
                         col.append(v)
-                    cols[6] += [text[i:j] for i, j in zip(first.tolist(), (last + LENGTH).tolist())]
+                    cols[4] += [text[i:j] for i, j in zip(first.tolist(), (last + LENGTH).tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(np.concatenate(v), t) for v, t in zip(cols[:6], types)], pa.array(cols[6], types[6])],
-                    names=["h", "d", "t", "a", "last", "off", "c"])
+                    [*[pa.array(np.concatenate(v), t) for v, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int32()))],
+                     pa.array(cols[4], pa.binary())], names=["h", "k", "d", "off", "c"])
+
+    sets = wanted.groupBy("d").agg(F.collect_set("h").alias("wanted"))
+    return docs.join(sets, "d").select("d", "x", "wanted").mapInArrow(run, "h long, k long, d long, off int, c binary")
+
 
-    sets = wanted.groupBy("d").agg(F.collect_set(name).alias("wanted"))
-    found = docs.join(sets, "d").select("d", "t", "x", "wanted").mapInArrow(run, "h long, d long, t long, a int, last int, off int, c binary")
-    return found.withColumn("k", F.xxhash64("off", "c"))
+def _join_one(many: DataFrame, one: DataFrame, counts: DataFrame, keys: list[str]) -> DataFrame:
+    """``many`` joined to ``one``, which has a row for each key; ``counts`` has
+    the number ``n`` of its rows in ``many``. The rows of a frequent key, of which
+    there are at most ``FREQUENT_SHARE``, are dealt by ``d`` over ``SALTS`` tasks."""
+    total = counts.agg(F.sum("n")).first()[0] or 0
+    frequent = F.broadcast(counts.where(F.col("n") > max(FREQUENT_ROWS, total // FREQUENT_SHARE)).select(*keys, F.lit(SALTS).alias("salts")))
+    dealt = many.join(frequent, keys, "left").withColumn("salt", F.when(F.col("salts").isNull(), 0).otherwise(F.abs(F.hash("d") % SALTS))).drop("salts")
+    salts = F.sequence(F.lit(0), F.coalesce(F.col("salts"), F.lit(1)) - 1)
+    copied = one.join(frequent, keys, "left").withColumn("salt", F.explode(salts)).drop("salts")
+    return dealt.join(copied, [*keys, "salt"]).drop("salt")
 
 
 def _context_marks(contexts: DataFrame) -> DataFrame:
@@ -323,26 +403,26 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     rows = carried(docs, keep, d=order, x=whole_text(f"`{text}`").cast("binary")).withColumn("t", F.xxhash64("x"))
     path = posixpath.join(ensure_checkpoint_dir(docs.sparkSession), f"repeats-{os.urandom(8).hex()}")
     long_enough = rows.where(F.octet_length("x") >= LENGTH).select("d", "t", "x", F.xxhash64(F.lit(23), "x").alias("u"))
-    ids = long_enough.select("d", "t", "u", F.octet_length("x").alias("n"))
-    smallest = _written(ids.groupBy("t", "u").agg(F.min("d").alias("d")), f"{path}-texts")
-    texts = long_enough.join(smallest, ["d", "t", "u"], "left_semi").select("d", "t", "x")
-    places = _written(_shared_places(texts.select("d", "x")), f"{path}-places")
-    seen = _written(_contexts(texts, places, "at").select("h", "k", "d", "t", "a", "last"), f"{path}-seen")
-    known = _written(seen.groupBy("h", "k").agg(F.min("d").alias("d")), f"{path}-known")
+    ids = long_enough.select("d", "t", "u", F.octet_length("x").alias("size"))
+    smallest = _written(ids.groupBy("t", "u").agg(F.min("d").alias("d"), F.count("*").alias("n")), f"{path}-texts")
+    texts = long_enough.join(smallest, ["d", "t", "u"], "left_semi")
+    seen = _written(_seen(texts), f"{path}-seen")
+    known = _written(seen.groupBy("h", "k").agg(F.min("d").alias("d"), F.count("*").alias("n")), f"{path}-known")
     several = known.groupBy("h").count().where("count > 1")
-    looked_up = _contexts(texts, known.join(several, "h", "left_semi"), "h")
-    marks = _written(_context_marks(looked_up.select("h", "k", "off", "c", "d")), f"{path}-marks")
+    # An id's other texts and copies may come along: their contexts are known too.
+    looked_up = _contexts(long_enough, known.join(several, "h", "left_semi"))
+    marks = _written(_context_marks(looked_up), f"{path}-marks")
     # All windows of a context repeat in later documents; in the first one, those marked.
-    first = known.withColumnRenamed("d", "first").join(marks, ["h", "k"], "left")
-    judged = seen.join(first, ["h", "k"]).select(
+    first = known.select("h", "k", F.col("d").alias("first")).join(marks, ["h", "k"], "left")
+    judged = _join_one(seen, first, known, ["h", "k"]).select(
         "d", "t", "a", F.when(F.col("d") > F.col("first"), F.sequence(F.lit(0), "last")).otherwise(F.col("marks")).alias("m"))
     # As (first, last) window starts: whole contexts are one run.
     runs = judged.where("size(m) > 0").select("d", "t", F.when(
         F.col("m")[F.size("m") - 1] - F.col("m")[0] == F.size("m") - 1,
         F.array(F.struct((F.col("a") + F.col("m")[0]).alias("lo"), (F.col("a") + F.col("m")[F.size("m") - 1]).alias("hi")))).otherwise(
         F.transform("m", lambda o: F.struct((F.col("a") + o).alias("lo"), (F.col("a") + o).alias("hi")))).alias("m"))
-    copies = ids.join(smallest.withColumnRenamed("d", "first"), ["t", "u"]).where("d > first").select(
-        "d", "t", F.array(F.struct(F.lit(0).alias("lo"), (F.col("n") - LENGTH).alias("hi"))).alias("m"))
+    copies = _join_one(ids, smallest.select("t", "u", F.col("d").alias("first")), smallest, ["t", "u"]).where("d > first").select(
+        "d", "t", F.array(F.struct(F.lit(0).alias("lo"), (F.col("size") - LENGTH).alias("hi"))).alias("m"))
     starts = _written(runs.unionByName(copies).groupBy("d", "t").agg(F.flatten(F.collect_list("m")).alias("starts")), f"{path}-starts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

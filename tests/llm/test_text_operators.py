@@ -4,12 +4,14 @@ hold nulls, empty and long texts, ties, repeated rows and clashing columns."""
 import base64
 import hashlib
 import math
+import random
 import re
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -345,7 +347,31 @@ def test_suffix_array(s):
     assert suffix_dedup.suffix_array(s) == sorted(range(len(s)), key=lambda i: s[i:])
 
 
-def test_suffix_dedup(spark, docs, rows, empty):
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 2), st.sampled_from([0, 0, 0, 0, -1, 3])), max_size=40), st.integers(1, 9))
+def test_anchors_of_several_documents(found, size):
+    found.sort()
+    names = ["h", "d", "deal"]
+    batch = pa.RecordBatch.from_arrays([pa.array([r[k] for r in found], pa.int64()) for k in range(3)], names=names)
+    got = [tuple(r.values()) for b in suffix_dedup._only_shared(batch.slice(k, size) for k in range(0, len(found), size)) for r in b.to_pylist()]
+    docs = {h: {d for x, d, _ in found if x == h} for h, _, _ in found}
+    assert sorted(got) == [r for r in found if len(docs[r[0]]) > 1 or any(x == r[0] and e for x, _, e in found)]
+
+
+def test_context_hashes():
+    rng = random.Random(7)
+    texts = [bytes(rng.choices(b"ab ", k=rng.randint(40, 300))) for _ in range(60)] + [b"a" * 200, b"b" + b"a" * 150]
+    contexts = {}
+    for t in texts + [b"x" + t for t in texts]:
+        for h, k, at, first, last in zip(*(c.tolist() for c in suffix_dedup.anchors(t))):
+            c = (at - first, t[first:last + suffix_dedup.LENGTH])
+            assert contexts.setdefault((h, k), c) == c
+    assert len(set(contexts.values())) == len(contexts)
+
+
+@pytest.mark.parametrize("frequent", [10_000, 1])
+def test_suffix_dedup(spark, docs, rows, empty, monkeypatch, frequent):
+    monkeypatch.setattr(suffix_dedup, "FREQUENT_ROWS", frequent)
     order = sorted({(r[0] if r[0] is not None else 1 << 62, r[1] or "") for r in rows})
     first, want = {}, {}
     for d, t in order:
