@@ -60,6 +60,7 @@ SLICE, SALTS, HELD = 4 << 20, 1024, 100_000
 #: A key with more than this many rows, and more than this share of them, is frequent.
 FREQUENT_ROWS, FREQUENT_SHARE = 10_000, 1000
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_DEAL = 2047  # the bits of the deal, plus one, in a place
 _STEPS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 
@@ -254,7 +255,7 @@ def _starts(sorted_keys: np.ndarray) -> np.ndarray:
 def _dealt(h: np.ndarray, d: np.ndarray) -> np.ndarray:
     """Of each anchor of a slice: 0 if one document has it; else -1 for the
     first of these and a positive number for the others."""
-    order = np.argsort(h, kind="stable")
+    order = np.argsort(h)
     start = _starts(h[order])
     docs = d[order]
     shared = np.minimum.reduceat(docs, start) != np.maximum.reduceat(docs, start)
@@ -267,16 +268,16 @@ def _dealt(h: np.ndarray, d: np.ndarray) -> np.ndarray:
 
 def _only_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows in order of ``h`` those whose ``h`` has several documents ``d``
-    or a ``deal``; also those of a single document beyond ``HELD``."""
+    or is dealt; also those of a single document beyond ``HELD``."""
     key = doc = None  # of the last run; doc is None where it is known to be shared
     held: list[pa.RecordBatch] = []
     for b in batches:
         if not len(b):
             continue
-        h, d, deal = (b.column(c).to_numpy() for c in ("h", "d", "deal"))
+        h, d, place = (b.column(c).to_numpy() for c in ("h", "d", "place"))
         start = _starts(h)
         low, high = np.minimum.reduceat(d, start), np.maximum.reduceat(d, start)
-        shared = (low != high) | np.logical_or.reduceat(deal != 0, start)
+        shared = (low != high) | np.logical_or.reduceat((place & _DEAL) != 1, start)
         if h[0] == key:
             shared[0] |= doc is None or doc != low[0]
         if held and (h[0] != key or shared[0] or len(start) > 1):
@@ -295,10 +296,11 @@ def _only_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _seen(docs: DataFrame) -> DataFrame:
-    """(h, k, d, t, a, last) of the anchors that several documents have: the
-    hashes of the anchor and its context, document id and text hash, start of the
-    first window, the number of windows less one."""
-    types = {"d": pa.int64(), "t": pa.int64(), "deal": pa.int32(), "a": pa.int32(), "last": pa.int32(), "h": pa.int64(), "k": pa.int64()}
+    """(h, k, d, o, a, last) of the anchors that several documents have: the
+    hashes of the anchor and its context, document id and which of its texts,
+    start of the first window, the number of windows less one. On the way the
+    last two and the deal are one number, as these rows are most of what is moved."""
+    names = ["o", "d", "place", "h", "k"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
@@ -308,14 +310,15 @@ def _seen(docs: DataFrame) -> DataFrame:
                 if not sum(n):
                     continue
                 h, k, _, first, last = (np.concatenate(c) for c in zip(*found))
-                d, t = (np.repeat(part.column(c).to_numpy(), n) for c in ("d", "t"))
-                cols = {"d": d, "t": t, "deal": _dealt(h, d), "a": first, "last": last - first, "h": h, "k": k}
-                yield pa.RecordBatch.from_arrays([pa.array(cols[c], y) for c, y in types.items()], names=list(types))
+                o, d = (np.repeat(part.column(c).to_numpy(), n) for c in ("o", "d"))
+                place = first << 16 | (last - first) << 11 | (_dealt(h, d) + 1)
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (o, d, place, h, k)], names=names)
 
-    schema = "d long, t long, deal int, a int, last int, h long, k long"
-    rows = docs.select("d", "t", "x").mapInArrow(run, schema)
-    dealt = rows.repartition("h", F.greatest("deal", F.lit(0))).sortWithinPartitions("h")
-    return dealt.mapInArrow(_only_shared, schema).select("h", "k", "d", "t", "a", "last")
+    schema = ", ".join(f"{c} long" for c in names)
+    deal = F.greatest(F.col("place").bitwiseAND(_DEAL) - 1, F.lit(0))
+    dealt = docs.select("o", "d", "x").mapInArrow(run, schema).repartition("h", deal).sortWithinPartitions("h")
+    return dealt.mapInArrow(_only_shared, schema).select(
+        "h", "k", "d", "o", F.shiftright("place", 16).cast("int").alias("a"), F.shiftright("place", 11).bitwiseAND(31).cast("int").alias("last"))
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -405,7 +408,10 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     long_enough = rows.where(F.octet_length("x") >= LENGTH).select("d", "t", "x", F.xxhash64(F.lit(23), "x").alias("u"))
     ids = long_enough.select("d", "t", "u", F.octet_length("x").alias("size"))
     smallest = _written(ids.groupBy("t", "u").agg(F.min("d").alias("d"), F.count("*").alias("n")), f"{path}-texts")
-    texts = long_enough.join(smallest, ["d", "t", "u"], "left_semi")
+    # 0 for an id's only text, so that the many rows of anchors need no text hash.
+    of_id = smallest.groupBy("d").agg(F.count("*").alias("texts"))
+    own = smallest.join(of_id, "d").select("d", "t", "u", F.when(F.col("texts") > 1, F.col("t")).otherwise(0).alias("o"))
+    texts = long_enough.join(own, ["d", "t", "u"])
     seen = _written(_seen(texts), f"{path}-seen")
     known = _written(seen.groupBy("h", "k").agg(F.min("d").alias("d"), F.count("*").alias("n")), f"{path}-known")
     several = known.groupBy("h").count().where("count > 1")
@@ -415,15 +421,16 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     # All windows of a context repeat in later documents; in the first one, those marked.
     first = known.select("h", "k", F.col("d").alias("first")).join(marks, ["h", "k"], "left")
     judged = _join_one(seen, first, known, ["h", "k"]).select(
-        "d", "t", "a", F.when(F.col("d") > F.col("first"), F.sequence(F.lit(0), "last")).otherwise(F.col("marks")).alias("m"))
+        "d", "o", "a", F.when(F.col("d") > F.col("first"), F.sequence(F.lit(0), "last")).otherwise(F.col("marks")).alias("m"))
     # As (first, last) window starts: whole contexts are one run.
-    runs = judged.where("size(m) > 0").select("d", "t", F.when(
+    runs = judged.where("size(m) > 0").select("d", "o", F.when(
         F.col("m")[F.size("m") - 1] - F.col("m")[0] == F.size("m") - 1,
         F.array(F.struct((F.col("a") + F.col("m")[0]).alias("lo"), (F.col("a") + F.col("m")[F.size("m") - 1]).alias("hi")))).otherwise(
         F.transform("m", lambda o: F.struct((F.col("a") + o).alias("lo"), (F.col("a") + o).alias("hi")))).alias("m"))
-    copies = _join_one(ids, smallest.select("t", "u", F.col("d").alias("first")), smallest, ["t", "u"]).where("d > first").select(
-        "d", "t", F.array(F.struct(F.lit(0).alias("lo"), (F.col("size") - LENGTH).alias("hi"))).alias("m"))
-    starts = _written(runs.unionByName(copies).groupBy("d", "t").agg(F.flatten(F.collect_list("m")).alias("starts")), f"{path}-starts")
+    in_texts = runs.groupBy("d", "o").agg(F.flatten(F.collect_list("m")).alias("starts")).join(own, ["d", "o"]).select("d", "t", "starts")
+    copies = _join_one(ids, smallest.select("t", "u", F.col("d").alias("first")), smallest, ["t", "u"]).where("d > first").groupBy("d", "t").agg(
+        F.array(F.struct(F.lit(0).alias("lo"), (F.max("size") - LENGTH).alias("hi"))).alias("starts"))
+    starts = _written(in_texts.unionByName(copies), f"{path}-starts")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
