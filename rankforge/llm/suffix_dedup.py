@@ -57,10 +57,12 @@ LENGTH, GRAM = 50, 24
 #: Text bytes of a slice; tasks that free or frequent rows of one key are dealt to;
 #: rows of one document held back until another document has the anchor.
 SLICE, SALTS, HELD = 4 << 20, 1024, 100_000
+JOINED = 16 << 10
 #: A key with more than this many rows, and more than this share of them, is frequent.
 FREQUENT_ROWS, FREQUENT_SHARE = 10_000, 1000
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 _DEAL = 2047  # the bits of the deal, plus one, in a place
+_OF_TEXT = np.int64(0x2545F4914F6CDD1D)
 _STEPS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
 
@@ -144,12 +146,11 @@ def _slide(x: np.ndarray, width: int, f) -> np.ndarray:
     return x if n == width else f(x[:len(x) - (width - n)], x[width - n:])
 
 
-def anchors(text: bytes) -> tuple[np.ndarray, ...]:
-    """Of each anchor: its hash, its context's hash, its place, the starts of
-    the first and the last of its windows."""
-    if len(text) < LENGTH:
-        return (np.zeros(0, np.int64),) * 5
-    h, n = np.frombuffer(text, np.uint8).astype(np.uint64) + np.uint64(1), 1
+def _joined_anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    joined, sizes = b"".join(texts), np.fromiter(map(len, texts), np.int64, len(texts))
+    if len(joined) < LENGTH:
+        return (np.zeros(len(texts), np.int64), *(np.zeros(0, np.int64),) * 5)
+    h, n = np.frombuffer(joined, np.uint8).astype(np.uint64) + np.uint64(1), 1
     for step in _STEPS:
         h = h[:-n] * np.uint64(step) + h[n:]
         h ^= h >> np.uint64(29)
@@ -160,15 +161,34 @@ def anchors(text: bytes) -> tuple[np.ndarray, ...]:
     low = np.uint64(0xFFFFFFFF)
     ranked = (h & ~low) | np.arange(len(h), dtype=np.uint64)
     place = (_slide(ranked, LENGTH - GRAM + 1, np.minimum) & low).astype(np.int64)  # of each window's anchor
-    first = np.flatnonzero(np.diff(place, prepend=-1))
-    at, last = place[first], np.append(first[1:], len(place)) - 1
+    ends = np.cumsum(sizes)
+    owner = np.repeat(np.arange(len(texts)), sizes)[:len(place)]
+    windows = np.flatnonzero(np.arange(LENGTH, len(joined) + 1) <= ends[owner])  # those within one text
+    place = place[windows]
+    runs = np.flatnonzero(np.append(True, place[1:] != place[:-1])) if len(place) else windows
+    first, last, at = windows[runs], windows[np.append(runs[1:], len(windows)) - 1] if len(runs) else runs, place[runs]
     # Two grams from the left and two up to the right end cover a context.
     end = last + LENGTH
     k = ((at - first) << 8 | (last - first)).astype(np.uint64)
     for gram in (first, first + GRAM, end - 2 * GRAM, end - GRAM):
         k = (k ^ h[gram]) * np.uint64(_STEPS[1])
         k ^= k >> np.uint64(31)
-    return h[at].view(np.int64), k.view(np.int64), at, first, last
+    owner = owner[first]
+    begin = (ends - sizes)[owner]
+    return np.bincount(owner, minlength=len(texts)), h[at].view(np.int64), k.view(np.int64), at - begin, first - begin, last - begin
+
+
+def anchors(texts: list[bytes]) -> tuple[np.ndarray, ...]:
+    """The number of anchors of each text; of each anchor, text by text: its
+    hash, its context's hash, its place, the starts of the first and the last of
+    its windows. Short texts are worked on together, ``JOINED`` bytes at a time."""
+    parts, lo, size = [], 0, 0
+    for hi, t in enumerate(texts, 1):
+        size += len(t)
+        if size >= JOINED or hi == len(texts):
+            parts.append(_joined_anchors(texts[lo:hi]))
+            lo, size = hi, 0
+    return tuple(np.concatenate(c) for c in zip(*parts))
 
 
 def _agreement(words: list[bytes]) -> list[int]:
@@ -305,11 +325,9 @@ def _seen(docs: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part in _slices(b, "x"):
-                found = [anchors(t.as_py()) for t in part.column("x")]
-                n = [len(f[0]) for f in found]
-                if not sum(n):
+                n, h, k, _, first, last = anchors(part.column("x").to_pylist())
+                if not len(h):
                     continue
-                h, k, _, first, last = (np.concatenate(c) for c in zip(*found))
                 o, d = (np.repeat(part.column(c).to_numpy(), n) for c in ("o", "d"))
                 place = first << 16 | (last - first) << 11 | (_dealt(h, d) + 1)
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in (o, d, place, h, k)], names=names)
@@ -329,18 +347,17 @@ def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             for part in _slices(b, "x"):
-                cols: list[list] = [[] for _ in range(5)]
-                for d, x, keep in zip(part.column("d").to_pylist(), part.column("x"), part.column("wanted")):
-                    text = x.as_py()
-                    h, k, at, first, last = anchors(text)
-                    mine = np.isin(h, keep.values.to_numpy())
-                    h, k, at, first, last = h[mine], k[mine], at[mine], first[mine], last[mine]
-                    for col, v in zip(cols, (h, k, np.full(len(h), d), at - first)):
-                        col.append(v)
-                    cols[4] += [text[i:j] for i, j in zip(first.tolist(), (last + LENGTH).tolist())]
+                texts, sets = part.column("x").to_pylist(), part.column("wanted")
+                n, h, k, at, first, last = anchors(texts)
+                owner = np.repeat(np.arange(len(texts)), n)
+                of_set = np.repeat(np.arange(len(texts)), pc.list_value_length(sets).to_numpy())
+                # A chance hit would look up one context more, which changes nothing.
+                mine = np.isin(h + owner * _OF_TEXT, sets.flatten().to_numpy() + of_set * _OF_TEXT)
+                owner, h, k, at, first, last = (c[mine] for c in (owner, h, k, at, first, last))
+                c = [texts[o][i:j] for o, i, j in zip(owner.tolist(), first.tolist(), (last + LENGTH).tolist())]
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.array(np.concatenate(v), t) for v, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.int32()))],
-                     pa.array(cols[4], pa.binary())], names=["h", "k", "d", "off", "c"])
+                    [pa.array(h), pa.array(k), pa.array(part.column("d").to_numpy()[owner]), pa.array(at - first, pa.int32()), pa.array(c, pa.binary())],
+                    names=["h", "k", "d", "off", "c"])
 
     sets = wanted.groupBy("d").agg(F.collect_set("h").alias("wanted"))
     return docs.join(sets, "d").select("d", "x", "wanted").mapInArrow(run, "h long, k long, d long, off int, c binary")

@@ -361,12 +361,19 @@ def test_anchors_of_several_documents(found, size):
 def test_context_hashes():
     rng = random.Random(7)
     texts = [bytes(rng.choices(b"ab ", k=rng.randint(40, 300))) for _ in range(60)] + [b"a" * 200, b"b" + b"a" * 150]
-    contexts = {}
-    for t in texts + [b"x" + t for t in texts]:
-        for h, k, at, first, last in zip(*(c.tolist() for c in suffix_dedup.anchors(t))):
-            c = (at - first, t[first:last + suffix_dedup.LENGTH])
-            assert contexts.setdefault((h, k), c) == c
+    texts += [b"x" + t for t in texts] + [b"", b"a" * 49, b"b" * 50, b"c" * 40_000]
+    n, *cols = suffix_dedup.anchors(texts)
+    owner = [k for k, m in enumerate(n) for _ in range(m)]
+    contexts, windows = {}, Counter()
+    for o, h, k, at, first, last in zip(owner, *(c.tolist() for c in cols)):
+        c = (at - first, texts[o][first:last + suffix_dedup.LENGTH])
+        assert contexts.setdefault((h, k), c) == c
+        assert first <= at and at + suffix_dedup.GRAM <= first + suffix_dedup.LENGTH <= len(texts[o]) and at >= last
+        windows.update((o, w) for w in range(first, last + 1))
     assert len(set(contexts.values())) == len(contexts)
+    assert windows == Counter((o, w) for o, t in enumerate(texts) for w in range(len(t) - 49))
+    alone = [suffix_dedup.anchors([t]) for t in texts]
+    assert all((np.concatenate(a) == b).all() for a, b in zip(zip(*alone), [n, *cols]))
 
 
 @pytest.mark.parametrize("frequent", [10_000, 1])
