@@ -61,7 +61,8 @@ JOINED = 16 << 10
 #: A key with more than this many rows, and more than this share of them, is frequent.
 FREQUENT_ROWS, FREQUENT_SHARE = 10_000, 1000
 CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-_DEAL = 2047  # the bits of the deal, plus one, in a place
+_DEAL = 4095  # the bits of the deal in a place, from bit 48 on; all set for -1
+_REVERSED = 0xFF0F  # the same bits of a place whose bytes are reversed
 _OF_TEXT = np.int64(0x2545F4914F6CDD1D)
 _STEPS = (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)
 
@@ -289,6 +290,13 @@ def _dealt(h: np.ndarray, d: np.ndarray) -> np.ndarray:
 def _only_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of rows in order of ``h`` those whose ``h`` has several documents ``d``
     or is dealt; also those of a single document beyond ``HELD``."""
+
+    def out(b: pa.RecordBatch) -> pa.RecordBatch:
+        place = b.column("place").to_numpy().byteswap() & ((1 << 48) - 1)
+        return pa.RecordBatch.from_arrays(
+            [*[b.column(c) for c in ("h", "k", "d", "o")], pa.array(place >> 5, pa.int32()), pa.array(place & 31, pa.int32())],
+            names=["h", "k", "d", "o", "a", "last"])
+
     key = doc = None  # of the last run; doc is None where it is known to be shared
     held: list[pa.RecordBatch] = []
     for b in batches:
@@ -297,12 +305,12 @@ def _only_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         h, d, place = (b.column(c).to_numpy() for c in ("h", "d", "place"))
         start = _starts(h)
         low, high = np.minimum.reduceat(d, start), np.maximum.reduceat(d, start)
-        shared = (low != high) | np.logical_or.reduceat((place & _DEAL) != 1, start)
+        shared = (low != high) | np.logical_or.reduceat((place & _REVERSED) != 0, start)
         if h[0] == key:
             shared[0] |= doc is None or doc != low[0]
         if held and (h[0] != key or shared[0] or len(start) > 1):
             if h[0] == key and shared[0]:
-                yield from held
+                yield from map(out, held)
             held = []
         take = np.repeat(shared, np.diff(start, append=len(h)))
         if h[-1] != key or shared[-1]:
@@ -310,16 +318,17 @@ def _only_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if not shared[-1]:
             held.append(b.slice(start[-1]))
             if sum(map(len, held)) > HELD:
-                yield from held
+                yield from map(out, held)
                 held = []
-        yield b.filter(pa.array(take))
+        yield out(b.filter(pa.array(take)))
 
 
 def _seen(docs: DataFrame) -> DataFrame:
     """(h, k, d, o, a, last) of the anchors that several documents have: the
     hashes of the anchor and its context, document id and which of its texts,
     start of the first window, the number of windows less one. On the way the
-    last two and the deal are one number, as these rows are most of what is moved."""
+    last two and the deal are one number, its bytes reversed to put those that
+    differ from row to row beside the hashes: these rows are most of what is moved."""
     names = ["o", "d", "place", "h", "k"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -329,14 +338,14 @@ def _seen(docs: DataFrame) -> DataFrame:
                 if not len(h):
                     continue
                 o, d = (np.repeat(part.column(c).to_numpy(), n) for c in ("o", "d"))
-                place = first << 16 | (last - first) << 11 | (_dealt(h, d) + 1)
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (o, d, place, h, k)], names=names)
+                place = first << 5 | (last - first) | (_dealt(h, d).astype(np.int64) & _DEAL) << 48
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in (o, d, place.byteswap(), h, k)], names=names)
 
     schema = ", ".join(f"{c} long" for c in names)
-    deal = F.greatest(F.col("place").bitwiseAND(_DEAL) - 1, F.lit(0))
-    dealt = docs.select("o", "d", "x").mapInArrow(run, schema).repartition("h", deal).sortWithinPartitions("h")
-    return dealt.mapInArrow(_only_shared, schema).select(
-        "h", "k", "d", "o", F.shiftright("place", 16).cast("int").alias("a"), F.shiftright("place", 11).bitwiseAND(31).cast("int").alias("last"))
+    deal = F.col("place").bitwiseAND(_REVERSED)
+    to_tell = F.when(deal == _REVERSED, 0).otherwise(deal)
+    dealt = docs.select("o", "d", "x").mapInArrow(run, schema).repartition("h", to_tell).sortWithinPartitions("h")
+    return dealt.mapInArrow(_only_shared, "h long, k long, d long, o long, a int, last int")
 
 
 def _contexts(docs: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -428,8 +437,8 @@ def remove_repeats(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text
     # 0 for an id's only text, so that the many rows of anchors need no text hash.
     of_id = smallest.groupBy("d").agg(F.count("*").alias("texts"))
     own = smallest.join(of_id, "d").select("d", "t", "u", F.when(F.col("texts") > 1, F.col("t")).otherwise(0).alias("o"))
-    texts = long_enough.join(own, ["d", "t", "u"])
-    seen = _written(_seen(texts), f"{path}-seen")
+    distinct = _written(long_enough.join(own, ["d", "t", "u"]).select("o", "d", "x"), f"{path}-distinct")
+    seen = _written(_seen(distinct), f"{path}-seen")
     known = _written(seen.groupBy("h", "k").agg(F.min("d").alias("d"), F.count("*").alias("n")), f"{path}-known")
     several = known.groupBy("h").count().where("count > 1")
     # An id's other texts and copies may come along: their contexts are known too.

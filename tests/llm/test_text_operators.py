@@ -351,8 +351,10 @@ def test_suffix_array(s):
 @given(st.lists(st.tuples(st.integers(0, 5), st.integers(0, 2), st.sampled_from([0, 0, 0, 0, -1, 3])), max_size=40), st.integers(1, 9))
 def test_anchors_of_several_documents(found, size):
     found.sort()
-    rows = [(h, d, 1 << 16 | deal + 1) for h, d, deal in found]
-    batch = pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.int64()) for k in range(3)], names=["h", "d", "place"])
+    rows = [(h, k, d, 7, 300 + k, k % 27) for k, (h, d, _) in enumerate(found)]
+    place = np.array([a << 5 | last | (deal & 4095) << 48 for (*_, a, last), (_, _, deal) in zip(rows, found)], np.int64).byteswap()
+    cols = {"h": [r[0] for r in rows], "k": [r[1] for r in rows], "d": [r[2] for r in rows], "o": [r[3] for r in rows], "place": place}
+    batch = pa.RecordBatch.from_pydict({c: pa.array(v, pa.int64()) for c, v in cols.items()})
     got = [tuple(r.values()) for b in suffix_dedup._only_shared(batch.slice(k, size) for k in range(0, len(found), size)) for r in b.to_pylist()]
     docs = {h: {d for x, d, _ in found if x == h} for h, _, _ in found}
     assert sorted(got) == sorted(r for r in rows if len(docs[r[0]]) > 1 or any(x == r[0] and e for x, _, e in found))
