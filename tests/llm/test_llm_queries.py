@@ -1,5 +1,8 @@
 """The registered queries: SQL oracles, and the pipeline against its stages."""
 
+import hashlib
+import re
+
 import pytest
 
 from pyspark.sql import functions as F
@@ -38,6 +41,24 @@ def test_registered_columns(spark):
         assert got.startswith(columns), (name, got)
 
 
+def test_suffix_dedup_query(spark):
+    """Every document of the table against all its 50-byte strings."""
+    docs = sorted((r.doc_id, (r.text or "").encode()) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
+    first, want = {}, {}
+    for d, b in docs:
+        for k in range(len(b) - 49):
+            first.setdefault(b[k:k + 50], d)
+    for d, b in docs:
+        gone = bytearray(len(b))
+        for k in range(len(b) - 49):
+            if first[b[k:k + 50]] < d:
+                gone[k:k + 50] = b"\1" * 50
+        kept = bytes(c for c, g in zip(b, gone) if not g)
+        want[d] = (len(b), sum(gone), len(re.findall(b"\1+", gone)), hashlib.sha256(kept).hexdigest())
+    got = {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in QUERIES["op5_suffix_dedup"](spark, SF).collect()}
+    assert got == want and any(w[1] for w in want.values())
+
+
 def test_pipeline_keeps_what_each_stage_should(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     columns, name_of = docs.columns, dict(corpus_pipeline.STAGES)
