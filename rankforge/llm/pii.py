@@ -7,8 +7,9 @@ most ``FIT_WINDOWS`` windows (those with the smallest hash), each word labelled
 with the kind of the span that it lies in. The field is trained on that table
 by gradient ascent on the exact log-likelihood (forward-backward in numpy
 batches); training sequences are also made of two windows put side by side, as
-personal data often stand next to each other. Features are word shapes, of the
-word and its neighbours.
+personal data often stand next to each other. Windows of more than 64 words are
+left out of the fit, and such pairs are cut to 64. Features are word shapes, of
+the word and its neighbours, of the first 40 characters of a shape.
 
 Decoding: a word that can be personal data holds a digit or an at sign. Every
 such word outside the base spans, with ``CONTEXT`` words around it, is decoded
