@@ -26,7 +26,8 @@ under ``SIGNIFICANT``), as (first token, end token, score).
 
 Defined cases: a null or empty text scores as one without tokens; labels that
 are null are ignored; a document with both labels counts as toxic; with one
-class or none among the labels the score is 0 for every text. Only the text is
+class or none among the labels, or among those of
+the calibration (the split goes by a hash of the text, not by class), the score is 0 for every text. Only the text is
 scored: id, language, source and labels are not inputs.
 """
 
