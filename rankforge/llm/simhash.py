@@ -2,19 +2,18 @@
 
 A text's fingerprint has 64 bits, taken by majority over the XXH64 (seed 42)
 of its word shingles. Documents with one fingerprint are one node. Links join
-nodes at ``max_bits`` = 2 or fewer differing bits, found without pairs: the
-fingerprint is cut into two segments, and within each segment the ball of
-Hamming radius 1 is enumerated (32 flips each, and the fingerprint itself: 65
-values). All values go into one table keyed by the whole value, the other
-segment carried along. Two fingerprints at distance 2 or less meet in that
-table: a differing bit flipped in one gives the other (distance 1), or one
-differing bit flipped in each gives the same value (distance 2, whether the
-bits fall in one segment or in both). A table entry holds at most 65 different
-fingerprints (all lie within 1 bit of it), however many near copies a group
-has and however many fingerprints share a segment. Each entry links its
-members to its smallest one after checking their complete distance: stars, not
-pairs; any two members of an entry are within 2 bits, so no link between
-components is lost.
+nodes at ``max_bits`` = 2 or fewer differing bits. The fingerprint is cut into
+two segments of 32 bits; of two fingerprints within 2 bits one segment differs
+in at most 1. The table of a segment holds every fingerprint under the
+segment's value; each fingerprint looks up its segment's Hamming ball of
+radius 1 (33 values), fetches the matches and verifies the complete distance.
+
+A segment value that more than ``HOT`` fingerprints share is a hot bucket: there
+both sides add a second key, the values of the other segment's ball of radius
+1 (two halves within 2 bits meet in one). So a lookup fetches at most ``HOT``
+fingerprints in a plain bucket and 33 in a part of a hot one, whatever shares
+the segment, and no link is lost. A fingerprint has at most 2,080 others within
+2 bits, so links grow with the nodes, not with their pairs.
 
 Defined cases: a null or blank text has no words and fingerprint zero, linked
 like any other; fewer words than the shingle length make one shingle;
@@ -32,12 +31,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.window import Window
 
 from .components import components
 from .text import whole_text
 
 BITS, SEGMENTS, SEED = 64, 2, 42
+#: Fingerprints of one segment value that are looked up without a second key.
+HOT = 64
 #: Shingles whose bits are unpacked at once (64 bytes each).
 BLOCK = 1 << 16
 
@@ -80,20 +80,31 @@ def fingerprints(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text",
                        *[text_hash(f"`{text}`").alias(h) for h in hashes]).mapInArrow(run, schema)
 
 
-def fingerprint_links(nodes: DataFrame) -> DataFrame:
-    """Links (u, v) that connect all ``fp`` within 2 bits, as stars."""
-    width = BITS // SEGMENTS
+def _ball(value: Column) -> Column:
+    """A segment's value and the values that differ from it in one bit."""
+    flips = F.transform(F.sequence(F.lit(0), F.lit(BITS // SEGMENTS - 1)),
+                        lambda b: value.bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), b)))
+    return F.concat(F.array(value), flips)
 
-    def ball(segment: int):
-        low = segment * width
-        return F.transform(F.sequence(F.lit(low), F.lit(low + width - 1)),
-                           lambda b: F.col("fp").bitwiseXOR(F.call_function("shiftleft", F.lit(1).cast("long"), b)))
 
-    values = F.concat(F.array("fp"), *[ball(s) for s in range(SEGMENTS)])
-    entries = nodes.select("fp", F.explode(values).alias("value"))
-    smallest = F.min("fp").over(Window.partitionBy("value"))
-    near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= 2
-    return entries.select(F.col("fp").alias("u"), smallest.alias("v")).where("u != v").where(near)
+def fingerprint_links(nodes: DataFrame, hot: int = HOT) -> DataFrame:
+    """Links (u, v), u > v, of all ``fp`` within 2 bits; some more than once."""
+    width = BITS // SEGMENTS
+    low = F.col("fp").bitwiseAND(F.lit((1 << width) - 1))
+    high = F.shiftrightunsigned("fp", width)
+    # The segment's number is its keys' bit above the value.
+    halves = F.array(F.struct(low.alias("key"), high.alias("other")),
+                     F.struct(high.bitwiseOR(F.lit(1 << width)).alias("key"), low.alias("other")))
+    entries = nodes.select("fp", F.explode(halves).alias("half")).select("fp", "half.key", "half.other")
+    probes = entries.select("fp", F.explode(_ball(F.col("key"))).alias("key"), "other")
+    crowded = entries.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("key", F.lit(True).alias("hot")).checkpoint()
+
+    def parted(rows: DataFrame, name: str) -> DataFrame:
+        parts = F.when(F.col("hot"), _ball(F.col("other"))).otherwise(F.array(F.lit(0).cast("long")))
+        return rows.join(crowded, "key", "left").select("key", F.explode(parts).alias("part"), F.col("fp").alias(name))
+
+    found = parted(probes, "u").join(parted(entries, "v"), ["key", "part"])
+    return found.where("u > v").where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= 2).select("u", "v")
 
 
 def _rooted(nodes: DataFrame) -> DataFrame:

@@ -184,7 +184,8 @@ def test_fingerprints_and_components(spark, docs, rows, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
-def test_multi_index_links_against_all_pairs(spark):
+@pytest.mark.parametrize("hot", [64, 3, 0])
+def test_multi_index_links_against_all_pairs(spark, hot):
     rng = np.random.default_rng(1)
     base = [int(x) for x in rng.integers(-(1 << 63), (1 << 63) - 1, 30)]
     fps = set(base)
@@ -193,6 +194,9 @@ def test_multi_index_links_against_all_pairs(spark):
             for bit in rng.integers(0, 64, int(rng.integers(1, 4))):
                 b ^= int(np.uint64(1 << int(bit)).astype(np.int64))
             fps.add(b)
+    # A hot segment: many with one low or high half.
+    fps |= {int(x) >> 32 << 32 | 12345 for x in rng.integers(-(1 << 63), (1 << 63) - 1, 100)}
+    fps |= {77 << 32 | int(x) for x in rng.integers(0, 200, 100)}
     nodes = sorted(fps)
     parent = {x: x for x in nodes}
 
@@ -201,12 +205,15 @@ def test_multi_index_links_against_all_pairs(spark):
             x = parent[x]
         return x
 
+    pairs = set()
     for i, a in enumerate(nodes):
         for b in nodes[:i]:
             if ((a ^ b) & (2**64 - 1)).bit_count() <= 2:
+                pairs.add((a, b))
                 ra, rb = find(a), find(b)
                 parent[max(ra, rb)] = min(ra, rb)
-    links = simhash.fingerprint_links(spark.createDataFrame([(x,) for x in nodes], "fp long"))
+    links = simhash.fingerprint_links(spark.createDataFrame([(x,) for x in nodes], "fp long"), hot)
+    assert {tuple(r) for r in links.collect()} == pairs
     got = {r.node: r.root for r in components.components(links).collect()}
     assert {x: got.get(x, x) for x in nodes} == {x: find(x) for x in nodes}
 
@@ -286,6 +293,29 @@ def test_token_counts(spark, docs, rows, empty):
     assert token_count.count_tokens(empty, path).count() == 0
 
 
+_ODD = "aJ\u030c\u0301ẞİΣςÅ\u1100\u1161\u11a8\u0345\u09c7\u09be\u0344Ⓐ東、한'’sт—\u00a0\u200d\u3000\u2028\x1c😀٣² <|endoftext|>"
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.one_of(st.text(max_size=40), st.text(alphabet=_ODD, max_size=40), st.lists(st.sampled_from(["<|endoftext|>", "<|EndOfText|>", "<|", *_ODD])).map("".join)))
+def test_every_script_is_looked_up_by_pretokens(text):
+    """No text goes to the library whole, and the sums are the library's."""
+    path = public_tokenizers.path("word_bpe_49k.json")
+    pieces = token_count.pretokens(text, path)
+    assert sum(token_count.lengths(pieces, path)) == token_count.lengths([text], path)[0]
+    assert not any(" " in p for p in pieces)
+
+
+def test_worker_cache_is_bounded(docs):
+    path = public_tokenizers.path("word_bpe_49k.json")
+    known, held = token_count._worker_cache(path)
+    known["left over"], held[0] = 1, token_count.CACHE_BYTES + 1
+    run = token_count.counter(path, {"the": 1})
+    texts = [r.text or "" for r in docs.select("text").collect()]
+    assert sorted(run([t.encode() for t in texts])) == sorted(token_count.lengths(texts, path))
+    assert "left over" not in known and 0 < held[0] <= token_count.CACHE_BYTES
+
+
 # --- PII -------------------------------------------------------------------------
 
 EMAIL, IP = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+"), re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
