@@ -7,14 +7,17 @@ splitters, the quantiles of the sampled bytes; a splitter keeps the second
 hash only where a text is so frequent that several splitters fall into it,
 which subdivides that overfull range. Every record looks its range up in a
 small broadcast table, ranges are numbered and their bytes summed, and inside
-each range a running sum gives every record its exact byte offset. A range
-that a shard's border runs through is subdivided there, between two texts;
-copies of a text inside one range share a shard. So shards differ by about the
-bytes of one range at most (a shard's 128th, or one document if that is
-larger). The slot is the record's place in its shard.
+each range a running sum gives every record its exact byte offset. The copies
+of a text lie in the shard that the middle of their bytes falls into, also if
+splitters part them for sorting; only copies that together exceed a shard
+(``bytes / shards``) are parted among shards, at the splitters. So a shard is
+short or over by at most half of the group of copies at either of its borders:
+about a range's bytes (a shard's 128th) where groups are small, up to half a
+shard where one group nearly fills one, as in small tables. The slot is the
+record's place in its shard.
 
-Law: ``bytes``. Broadcast: the splitters (3,072 at most) in 4,096 buckets, and
-the ranges' totals (one row each). A task sorts one range: the rows move once,
+Law: ``bytes``. Broadcast: the splitters (3,072 at most) in 4,096 buckets, the
+ranges' totals (one row each) and the texts that splitters part (3,072 at most). A task sorts one range: the rows move once,
 without their texts.
 
 Defined cases: a null text is empty (8 bytes, checksum 0); rows that repeat
@@ -81,10 +84,17 @@ def assign(docs: DataFrame, *, doc_id: str = "doc_id", text: str = "text", shard
     numbered = ranged.select(
         "d", "size", "crc", "h", "r", F.row_number().over(in_range).alias("k"),
         F.coalesce(F.sum("size").over(in_range.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0).cast("long")).alias("o"))
-    first = F.min("o").over(Window.partitionBy("r", "h"))
-    placed = numbered.select("d", "size", "crc", "r", "k", first.alias("o")).join(F.broadcast(offsets), "r").select(
-        "d", "size", "crc", (F.col("n_before") + F.col("k") - 1).alias("at"),
-        F.expr(f"int((bytes_before + o) * {shards} div {n_bytes})").alias("shard")).checkpoint()
+    copies = Window.partitionBy("r", "h")
+    pieces = numbered.withColumn("piece", F.sum("size").over(copies)).withColumn("o", F.min("o").over(copies))
+    # Texts with a splitter among their copies start at the one before them.
+    parted = F.broadcast(cuts.where(F.col("t") != LEAST).select("h").distinct())
+    groups = ranged.join(parted, "h").groupBy("h").agg(F.sum("size").alias("group"), F.min("r").alias("r"))
+    groups = groups.where(F.col("group") * shards <= n_bytes).join(F.broadcast(offsets), "r").select("h", "group", F.col("bytes_before").alias("group_start"))
+    start, held = F.coalesce("group_start", F.col("bytes_before") + F.col("o")), F.coalesce("group", "piece")
+    middle = (2 * start + held).alias("middle")
+    placed = pieces.join(F.broadcast(offsets), "r").join(F.broadcast(groups), "h", "left").select(
+        "d", "size", "crc", (F.col("n_before") + F.col("k") - 1).alias("at"), middle).select(
+        "d", "size", "crc", "at", F.expr(f"int(middle * {shards} div {2 * n_bytes})").alias("shard")).checkpoint()
     starts = placed.groupBy("shard").agg(F.min("at").alias("start"))
     return placed.join(F.broadcast(starts), "shard").select(
         F.col("d").alias("doc_id"), "size", F.col("crc").alias("text_crc32"), "shard", (F.col("at") - F.col("start")).alias("slot"))

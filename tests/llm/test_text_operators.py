@@ -369,6 +369,21 @@ def test_sharding(spark, docs, rows, empty):
     assert sharding.assign(empty).count() == 0
 
 
+def test_copies_share_a_shard(spark):
+    """At any size copies stay together unless they exceed a shard."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text")
+    long = spark.range(2).selectExpr("100000 + id AS doc_id", "repeat('a long text twice ', 3000) AS text")
+    out = sharding.assign(docs.unionByName(long)).toPandas()
+    whole = out["size"].sum() / 24
+    of_text = out.groupby(["text_crc32", "size"])
+    n_shards = of_text["shard"].nunique()
+    assert (n_shards[of_text["size"].sum() <= whole] == 1).all() and (of_text["size"].count() > 1).any()
+    for _, g in out.groupby("shard"):
+        assert sorted(g["slot"]) == list(range(len(g)))
+    largest = of_text["size"].sum().max()
+    assert (out.groupby("shard")["size"].sum() - whole).abs().max() <= max(largest, whole / 64)
+
+
 # --- suffix dedup --------------------------------------------------------------------
 
 @settings(max_examples=400, deadline=None)
