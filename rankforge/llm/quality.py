@@ -7,8 +7,10 @@ of the good documents": with n good labelled documents, of which the cut
 rejects k, P(Binomial(n, alpha) <= k) <= delta'. Cuts are tested from the most
 lenient to the strictest and stop at the first failure (fixed-sequence testing
 needs no correction along the sequence; k only grows along it), and delta is
-shared among all rules of all strata (Bonferroni). So with probability
-1 - delta no rule rejects more than ``alpha`` of any stratum's good documents.
+shared among all rules of all strata (Bonferroni). Labels count only for
+documents that pass the base rules, as the rules decide nothing for others. So
+with probability 1 - delta no rule rejects more than ``alpha`` of those good
+documents of any stratum, and all five together no more than 5 x ``alpha``.
 Among the certified cuts, the one with the largest difference between the
 rejected share of bad and of good documents is used, the more lenient at ties;
 a cut that rejects no bad document is not used.
@@ -166,12 +168,14 @@ def fit(features: DataFrame, labels: DataFrame, *, doc_id: str = "doc_id", lang:
     truth = (labels.select(F.col(f"`{doc_id}`").alias("_id"), F.col(f"`{label}`").alias("_y"))
              .where("_id is not null and _y is not null").groupBy("_id").agg(F.min("_y").alias("_y")))
     seen = features.select(F.col(f"`{doc_id}`").alias("_id"), stratum(f"`{lang}`").alias("stratum"), "quality")
+    # Summed, not filtered: a filter would be pushed below and compute the measures twice.
+    ruled = (~F.col("base_failed")).cast("long")
     pairs = ", ".join(f"'{m}', quality.{m}" for m in MEASURES)
     counts = (
         seen.join(truth, "_id")
-        .select("stratum", "_y", F.expr(f"stack({len(MEASURES)}, {pairs}) as (measure, bin)"))
+        .select("stratum", "_y", F.col("quality.base_failed").alias("base_failed"), F.expr(f"stack({len(MEASURES)}, {pairs}) as (measure, bin)"))
         .groupBy("stratum", "measure", "bin")
-        .agg(F.sum((F.col("_y") > 0).cast("long")).alias("good"), F.sum((F.col("_y") <= 0).cast("long")).alias("bad"))
+        .agg(F.sum((F.col("_y") > 0).cast("long") * ruled).alias("good"), F.sum((F.col("_y") <= 0).cast("long") * ruled).alias("bad"))
     ).checkpoint()  # small, and read several times
     sizes = counts.groupBy("stratum", "measure").agg(F.sum("good").alias("n")).groupBy("stratum").agg(F.max("n").alias("n"))
     tests = counts.agg(F.countDistinct("stratum").alias("n_strata"))
