@@ -13,6 +13,13 @@ of what its predecessor kept:
   hash (and of rows that repeat both, one);
 * ``decontamination`` drops the documents that hold a benchmark window;
 * ``byte_bpe`` returns each document's token ids in place of its text.
+
+Defined cases: a null text is an empty one, which the quality rules reject (they
+keep 50 words or more); rows with a null id are judged, deduplicated and encoded
+like others; a row that repeats another in every column is one near-duplicate
+group with it, and of rows that share id and text but differ elsewhere the least
+in the order of the columns stays; columns of ``documents`` may have any names;
+an empty table passes every stage as an empty table.
 """
 
 from __future__ import annotations
@@ -31,7 +38,10 @@ from rankforge.session import ensure_checkpoint_dir
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows = carried(docs, doc_id=F.col("doc_id"), lang=F.col("lang"), text=F.col("text"))
-    cuts = quality.fit(quality.with_features(rows.select("doc_id", "lang", "text")), table(spark, sf_dir, "labels"))
+    labels = table(spark, sf_dir, "labels")
+    # Only labelled documents are measured for the fit.
+    labelled = rows.select("doc_id", "lang", "text").join(labels.select("doc_id"), "doc_id", "left_semi")
+    cuts = quality.fit(quality.with_features(labelled), labels)
     return uncarried(quality.judge(quality.with_features(rows), cuts).where("kept"))
 
 
@@ -46,8 +56,8 @@ def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     first = simhash.first_of_groups(docs, shingle_words=3).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_of"))
     rows = carried(docs, _doc=F.col("doc_id"), _text=simhash.text_hash("text"))
     kept = rows.join(first, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_of")), "left_semi")
-    # A chosen row may be repeated with its id and text.
-    one = kept.groupBy("_doc", "_text").agg(F.first("row").alias("row"))
+    # A chosen row may be repeated with its id and text; the least one stays.
+    one = kept.groupBy("_doc", "_text").agg(F.min("row").alias("row"))
     return uncarried(one)
 
 
