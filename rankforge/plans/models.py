@@ -99,7 +99,8 @@ def estimator(family: str, features_col: str = "features", label_col: str = "cla
     if family == "rf":
         if int(params.get("maxDepth", 0)) > MAX_TREE_DEPTH:
             raise ValueError(f"trees go to depth {MAX_TREE_DEPTH} at most")
-        return RandomForestClassifier(featuresCol=features_col, labelCol=label_col, seed=0, **params)
+        # Kept node ids grow the same trees; without them every pass walks every row down each whole tree.
+        return RandomForestClassifier(featuresCol=features_col, labelCol=label_col, seed=0, **{"cacheNodeIds": True, **params})
     if family == "mlp":
         return MultilayerPerceptronClassifier(featuresCol=features_col, labelCol=label_col, seed=0, **params)
     if family == "svc":
@@ -132,19 +133,28 @@ def score(model, data: DataFrame, label_col: str = "class", metric: str = "f1")
 # job per gradient evaluation; partitions far below this size only add task
 # overhead, far above it leave executors idle.
 TRAIN_ROWS_PER_PARTITION = 200_000
+# A smaller split is still dealt over the session's cores, in parts of this
+# many rows at least, so that no fit runs in one task while cores are idle.
+SPREAD_ROWS = 5_000
 
 
 def materialize_split(df: DataFrame, rows_per_partition: int = TRAIN_ROWS_PER_PARTITION) -> DataFrame:
     """Prepare a split for many fits: checkpoint it to the shared checkpoint
     folder (every fit and score reads the same rows; an executor loss re-reads
     files instead of recomputing the lineage), then size its read partitions
-    to the row count (only ever fewer partitions, no shuffle)."""
+    to the row count. Fewer partitions are merged without a shuffle; a split
+    that lies in too few of them (a small file is one) is dealt anew, once."""
     # checkpoint first: reading the partition count of a plan with shuffles
     # would run its stages an extra time under AQE
     ensure_checkpoint_dir(df.sparkSession)
     saved = df.checkpoint(eager=True)
+    filled = [n for (n,) in saved.groupBy(F.spark_partition_id()).agg(F.count("*")).select("count(1)").collect()]  # a number a partition
+    rows, cores = sum(filled), df.sparkSession.sparkContext.defaultParallelism
+    wanted = max(1, math.ceil(rows / rows_per_partition), min(cores, math.ceil(rows / SPREAD_ROWS)))
+    if len(filled) < wanted:
+        return saved.repartition(wanted).checkpoint(eager=True)
     # coalesce never raises the partition count, so this only merges
-    return saved.coalesce(max(1, math.ceil(saved.count() / rows_per_partition)))
+    return saved.coalesce(wanted)
 
 
 def sweep(

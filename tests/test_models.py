@@ -83,3 +83,15 @@ def test_one_against_the_rest(spark):
     train, _, test = _data(spark)
     model = models.estimator("ovr_svc", maxIter=2).fit(train)
     assert model.transform(test).count() == test.count()
+
+
+def test_a_small_split_is_dealt_over_the_cores(spark):
+    df = spark.range(12_000).coalesce(1)
+    saved = models.materialize_split(df)
+    filled = saved.groupBy(F.spark_partition_id()).count().collect()
+    assert len(filled) == min(3, spark.sparkContext.defaultParallelism) and saved.count() == 12_000
+    assert models.materialize_split(spark.range(100).repartition(4)).select(F.spark_partition_id()).distinct().count() == 1
+
+
+def test_forests_keep_node_ids(spark):
+    assert models.estimator("rf").getCacheNodeIds() and not models.estimator("rf", cacheNodeIds=False).getCacheNodeIds()
