@@ -28,7 +28,7 @@ import os
 import posixpath
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from rankforge.llm import bpe, decontaminate, line_dedup, quality, simhash
@@ -53,11 +53,15 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def simhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    first = simhash.first_of_groups(docs, shingle_words=3).select(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_of"))
-    rows = carried(docs, _doc=F.col("doc_id"), _text=simhash.text_hash("text"))
-    kept = rows.join(first, F.col("_doc").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_of")), "left_semi")
+    # One key of id and text for the join and the grouping, so that the texts are shuffled once.
+    def key(doc_id: str, of: Column) -> Column:
+        return F.concat_ws(":", of, F.col(doc_id).cast("string"))
+
+    first = simhash.first_of_groups(docs, shingle_words=3).select(key("doc_id", F.col("text_hash")).alias("_key"))
+    rows = carried(docs, _key=key("doc_id", simhash.text_hash("text")))
+    kept = rows.join(first, "_key", "left_semi")
     # A chosen row may be repeated with its id and text; the least one stays.
-    one = kept.groupBy("_doc", "_text").agg(F.min("row").alias("row"))
+    one = kept.groupBy("_key").agg(F.min("row").alias("row"))
     return uncarried(one)
 
 

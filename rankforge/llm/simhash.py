@@ -99,11 +99,17 @@ def fingerprint_links(nodes: DataFrame, hot: int = HOT) -> DataFrame:
     probes = entries.select("fp", F.explode(_ball(F.col("key"))).alias("key"), "other")
     crowded = entries.groupBy("key").agg(F.count("*").alias("n")).where(F.col("n") > hot).select("key", F.lit(True).alias("hot")).checkpoint()
 
+    # Plain keys meet on the key alone, so both sides cross the network once;
+    # only the rows of hot keys travel again, by their part.
+    left, right = ((rows.join(crowded, "key", "left").select("key", "other", F.col("fp").alias(name), F.col("hot").isNotNull().alias("hot")))
+                   for rows, name in ((probes, "u"), (entries, "v")))
+
     def parted(rows: DataFrame, name: str) -> DataFrame:
-        parts = F.when(F.col("hot"), _ball(F.col("other"))).otherwise(F.array(F.lit(0).cast("long")))
-        return rows.join(crowded, "key", "left").select("key", F.explode(parts).alias("part"), F.col("fp").alias(name))
+        return rows.where("hot").select("key", F.explode(_ball(F.col("other"))).alias("part"), name)
 
-    found = parted(probes, "u").join(parted(entries, "v"), ["key", "part"])
+    found = left.where("not hot").join(right.where("not hot"), "key").select("u", "v")
+    if not crowded.isEmpty():
+        found = found.unionByName(parted(left, "u").join(parted(right, "v"), ["key", "part"]).select("u", "v"))
     return found.where("u > v").where(F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= 2).select("u", "v")
 
 
