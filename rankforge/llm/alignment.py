@@ -1,6 +1,8 @@
 """Alignment of two tokenizers' tokens over the same bytes, Arrow-native.
 
-A slice of texts is encoded by both tokenizers. The ids are flattened, each
+A slice of texts is encoded by both tokenizers: A's pre-tokens are looked up in
+the worker's cache, which is emptied at ``CACHE_BYTES``, and those it lacks are
+merged by the library. The ids are flattened, each
 with its parent text's index; their byte lengths are summed up within each
 text; and a token's end becomes the key ``parent * span + end``. A full outer
 Acero hash join of the two end tables, sorted by key, has one row for each
@@ -18,7 +20,8 @@ join after they are counted per document.
 Defined cases: a null or empty text, or one that either tokenizer does not
 give back byte by byte, has no tokens, all zeros and an empty
 ``groups_sha256``; bytes that are not valid UTF-8 are read as U+FFFD; repeated
-rows count each; columns may have any names; a long text is one slice.
+rows count each; columns may have any names; a long text is one slice. Tasks
+take rows in Arrow batches of about ``BATCH_BYTES``, whatever their number.
 """
 
 from __future__ import annotations
@@ -28,7 +31,9 @@ import hashlib
 import json
 import os
 import posixpath
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -37,11 +42,18 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from rankforge.session import ensure_checkpoint_dir
+from rankforge.session import arrow_batches, ensure_checkpoint_dir
 
 from .text import carried, whole_text
 
-HEAD, SLICE_BYTES, SLICE_LINKS = 1 << 20, 1 << 20, 1 << 20
+HEAD, SLICE_BYTES, SLICE_LINKS, BATCH_BYTES = 1 << 20, 1 << 19, 1 << 18, 4 << 20
+#: Ids of pre-tokens that a worker keeps; an entry costs about ``ENTRY`` bytes and its characters.
+CACHE_BYTES, ENTRY = 32 << 20, 250
+
+#: The byte-level pattern on ASCII, but for control characters, and Latin up to U+017E.
+_PLAIN = re.compile("[\\x09-\\x0D\\x20-\\x7E\u00a1-\u017e]*+")
+_LETTER, _DIGIT = "A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u017e", "0-9\u00b2\u00b3\u00b9\u00bc-\u00be"
+_SPLIT = re.compile(f"'(?:[stmd]|re|ve|ll)| ?[{_LETTER}]+| ?[{_DIGIT}]+| ?[^\\s{_LETTER}{_DIGIT}]+|\\s+(?!\\S)|\\s+")
 
 
 def _byte_of_char() -> dict[str, int]:
@@ -52,6 +64,41 @@ def _byte_of_char() -> dict[str, int]:
     return {chr(b): b for b in plain} | {chr(0x100 + k): b for k, b in enumerate(others)}
 
 
+def _splits_plainly(conf: dict) -> bool:
+    """Whether the byte-level pattern alone parts a text, so that each
+    pre-token's ids are its own."""
+    split = {k: v for k, v in (conf["pre_tokenizer"] or {}).items() if k != "trim_offsets"}
+    return (split == {"type": "ByteLevel", "add_prefix_space": False, "use_regex": True} and conf["normalizer"] is None
+            and conf["truncation"] is None and conf["padding"] is None and not conf["model"].get("dropout")
+            and all(t["special"] for t in conf["added_tokens"]))
+
+
+def _by_pretokens(tokenizer, char_of: dict[int, str]):
+    """texts -> ids of each, by the pre-tokens that this worker has met. Texts
+    of other scripts are split by the library."""
+    library_split, merged = tokenizer.pre_tokenizer.pre_tokenize_str, tokenizer.model.tokenize
+    known: dict[str, tuple[int, ...]] = {}
+    held = 0
+
+    def split(text: str) -> list[str]:
+        return _SPLIT.findall(text) if _PLAIN.fullmatch(text) else [text[i:j] for _, (i, j) in library_split(text)]
+
+    def encode(texts: list[str]) -> list[list[int]]:
+        nonlocal held
+        if held > CACHE_BYTES:
+            known.clear()
+            held = 0
+        out = []
+        for words in map(split, texts):
+            for w in set(words).difference(known):
+                known[w] = tuple([t.id for t in merged(w.encode().decode("latin-1").translate(char_of))])
+                held += len(w) + ENTRY
+            out.append(list(chain.from_iterable(map(known.__getitem__, words))))
+        return out
+
+    return encode
+
+
 @functools.cache
 def byte_level(path: str):
     """(texts -> ids of each, bytes of each id) of a byte-level BPE."""
@@ -61,11 +108,14 @@ def byte_level(path: str):
     tokenizer = Tokenizer.from_file(path)
     tokenizer.encode_special_tokens = True
     with open(path, encoding="utf-8") as f:
-        special = {t["id"] for t in json.load(f)["added_tokens"]}
+        conf = json.load(f)
+    special = {t["id"] for t in conf["added_tokens"]}
     at = _byte_of_char()
     vocab = [b""] * tokenizer.get_vocab_size(with_added_tokens=True)
     for token, i in tokenizer.get_vocab(with_added_tokens=True).items():
         vocab[i] = token.encode() if i in special else bytes(at[c] for c in token)
+    if _splits_plainly(conf):
+        return _by_pretokens(tokenizer, {b: c for c, b in at.items()}), vocab
     return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)], vocab
 
 
@@ -198,15 +248,14 @@ def _looked_up(docs: DataFrame, head) -> DataFrame:
                            T.StructField("rest", T.ArrayType(T.LongType()))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair, n, best = head.value
-        known = pa.array(pair)
+        pair, n, best = head.value  # ascending pairs: looked up in place, no hash table a slice
         for b in batches:
             for lo, hi in _slices(b.column("pairs")):
                 part = b.slice(lo, hi - lo)
                 links = part.column("pairs")
                 flat, bounds = pc.list_flatten(links), np.concatenate([[0], np.cumsum(pc.list_value_length(links).to_numpy())]).astype(np.int64)
-                at = pc.fill_null(pc.index_in(flat, known), -1).to_numpy()
-                found = at >= 0
+                at = np.minimum(np.searchsorted(pair, flat.to_numpy()), max(len(pair) - 1, 0))
+                found = pair[at] == flat.to_numpy() if len(pair) else np.zeros(len(flat), bool)
 
                 def summed(values: np.ndarray) -> pa.Array:
                     run = np.concatenate([[0], np.cumsum(np.where(found, values[at], 0) if len(values) else np.zeros(len(at), np.int64))])
@@ -230,15 +279,17 @@ def align_texts(docs: DataFrame, a_path: str, b_path: str, *, text: str = "text"
         df.write.option("compression", "zstd").parquet(f"{base}-{name}")
         return spark.read.schema(df.schema).parquet(f"{base}-{name}")
 
-    aligned = written(_aligned(rows, a_path, b_path), "aligned")
+    with arrow_batches(spark, BATCH_BYTES):
+        aligned = written(_aligned(rows, a_path, b_path), "aligned")
     n_b = len(pieces(b_path)[1])
     partial = aligned.where("ns is not null").select(F.explode(F.arrays_zip("pairs", "ns")).alias("p")).select("p.pairs", "p.ns")
     counts = partial.groupBy(F.col("pairs").alias("pair")).agg(F.sum("ns").alias("n")).withColumn("b", F.col("pair") % n_b).checkpoint()
     highest = counts.groupBy("b").agg(F.max("n").alias("top"))  # a row for each id of B at most
     counts = counts.join(highest, "b").select("pair", "n", (F.col("n") == F.col("top")).cast("long").alias("best"))
-    top = counts.orderBy(F.desc("n"), "pair").limit(head).toArrow()
+    top = counts.orderBy(F.desc("n"), "pair").limit(head).toArrow().sort_by("pair")
     known = spark.sparkContext.broadcast(tuple(top.column(c).to_numpy() for c in ("pair", "n", "best")))
-    judged = written(_looked_up(aligned.where("ns is null"), known), "judged")
+    with arrow_batches(spark, BATCH_BYTES):
+        judged = written(_looked_up(aligned.where("ns is null"), known), "judged")
     rest = judged.where("size(rest) > 0")
     others = rest.select("k", F.explode("rest").alias("pair")).groupBy("k", "pair").agg(F.count("*").alias("m")).join(counts, "pair")
     more = others.groupBy("k").agg(F.sum(F.col("m") * F.col("n")).alias("more"), F.sum(F.col("m") * F.col("best")).alias("more_best"))

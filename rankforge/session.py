@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
@@ -94,3 +96,16 @@ def apply_conf(spark: SparkSession, conf: dict[str, str]) -> None:
     """Set runtime SQL settings on the session."""
     for key, value in conf.items():
         spark.conf.set(key, value)
+
+
+@contextmanager
+def arrow_batches(spark: SparkSession, max_bytes: int) -> Iterator[None]:
+    """Jobs run inside pass rows to Python in Arrow batches of about
+    ``max_bytes``, however long the rows are; the setting is put back."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(max_bytes))
+    try:
+        yield
+    finally:
+        spark.conf.set(key, before)

@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from oracle_compare import compare, duck
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from rankforge.llm import alignment, chunk_reuse, prefix_trie
 from rankforge.llm.queries import ORACLE, QUERIES
 from rankforge.llm.token_count import _tokenizer
+from rankforge.session import arrow_batches
 
 SF = "/root/testdata/sf0.001"
 BYTES, PIECES, WORDS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "piece_bpe_32k.model", "word_bpe_49k.json"))
@@ -83,6 +85,35 @@ def test_alignment(docs, head):
     assert out.schema["row"].dataType.names == docs.columns
 
 
+def test_pretokens_are_encoded_as_by_the_library(spark, monkeypatch):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(BYTES)
+    library.encode_special_tokens = True
+    texts = [f" {t or ''}" for t in TEXTS] + [chr(c) * 2 + f" a{chr(c)}1 {chr(c)}'s\n \t{chr(c)}" for c in (*range(0x250), 0x2028, 0x3000, 0x10FFFF)]
+    texts += [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").where("text is not null").collect()]
+    want = [e.ids for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+    encode, _ = alignment.byte_level.__wrapped__(BYTES)
+    assert encode.__qualname__.startswith("_by_pretokens") and encode(texts) == want
+    monkeypatch.setattr(alignment, "CACHE_BYTES", 0)  # emptied before each call
+    assert encode(texts) == want and encode(texts[::-1]) == want[::-1]
+
+
+def test_alignment_takes_rows_in_bounded_batches(spark, monkeypatch):
+    """Both passes get batches of bounded bytes, not 10,000 rows of any length."""
+    key, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before = spark.conf.get(key)
+    for name in ("_aligned", "_looked_up"):
+        monkeypatch.setattr(alignment, name, lambda *args, own=getattr(alignment, name): seen.append(spark.conf.get(key)) or own(*args))
+    texts = spark.createDataFrame([(i, PASSAGE) for i in range(3)], "doc_id long, text string")
+    assert alignment.align_texts(texts, BYTES, PIECES).count() == 3
+    assert seen == [str(alignment.BATCH_BYTES)] * 2 and spark.conf.get(key) == before
+    with arrow_batches(spark, 1 << 16):
+        sizes = texts.select(F.explode(F.sequence(F.lit(1), F.lit(100))), "text").mapInArrow(
+            lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"]) for b in batches), "n long").collect()
+    assert sum(r.n for r in sizes) == 300 and max(r.n for r in sizes) <= 20
+
+
 def test_alignment_of_nothing(docs):
     assert alignment.align_texts(docs.limit(0), BYTES, PIECES).count() == 0
     assert [r.n_a for r in alignment.align_texts(docs.where("text is null"), BYTES, PIECES).collect()] == [0]
