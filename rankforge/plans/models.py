@@ -138,19 +138,28 @@ TRAIN_ROWS_PER_PARTITION = 200_000
 SPREAD_ROWS = 5_000
 
 
-def materialize_split(df: DataFrame, rows_per_partition: int = TRAIN_ROWS_PER_PARTITION) -> DataFrame:
+def _forest_fits(family: str, parallelism: int) -> int:
+    """Every partition of a forest's rows makes dense statistics of every node,
+    so more partitions than a fit has cores to itself only add work. Half the
+    fits of a sweep are shallow and end early."""
+    return max(1, parallelism // 2) if family == "rf" else 1
+
+
+def materialize_split(df: DataFrame, rows_per_partition: int = TRAIN_ROWS_PER_PARTITION, fits: int = 1) -> DataFrame:
     """Prepare a split for many fits: checkpoint it to the shared checkpoint
     folder (every fit and score reads the same rows; an executor loss re-reads
     files instead of recomputing the lineage), then size its read partitions
     to the row count. Fewer partitions are merged without a shuffle; a split
-    that lies in too few of them (a small file is one) is dealt anew, once."""
+    that lies in too few of them (a small file is one) is dealt anew, once.
+
+    With several ``fits`` at a time each gets its share of the cores."""
     # checkpoint first: reading the partition count of a plan with shuffles
     # would run its stages an extra time under AQE
     ensure_checkpoint_dir(df.sparkSession)
     saved = df.checkpoint(eager=True)
     filled = [n for (n,) in saved.groupBy(F.spark_partition_id()).agg(F.count("*")).select("count(1)").collect()]  # a number a partition
     rows, cores = sum(filled), df.sparkSession.sparkContext.defaultParallelism
-    wanted = max(1, math.ceil(rows / rows_per_partition), min(cores, math.ceil(rows / SPREAD_ROWS)))
+    wanted = max(1, math.ceil(rows / rows_per_partition), min(max(1, cores // fits), math.ceil(rows / SPREAD_ROWS)))
     if len(filled) < wanted:
         return saved.repartition(wanted).checkpoint(eager=True)
     # coalesce never raises the partition count, so this only merges
@@ -185,7 +194,8 @@ def sweep(
     Spark jobs over the cached splits.
     """
     spark: SparkSession = train.sparkSession
-    train, val, test = (materialize_split(d) for d in (train, val, test))
+    train = materialize_split(train, fits=_forest_fits(family, parallelism))
+    val, test = (materialize_split(d) for d in (val, test))
 
     def fit_one(item):
         i, v = item
@@ -255,7 +265,7 @@ def cross_validate(
         estimator=Pipeline(stages=stages + [est]), estimatorParamMaps=maps,
         evaluator=ev, numFolds=folds, seed=seed, parallelism=parallelism,
     )
-    model = cv.fit(materialize_split(train))
+    model = cv.fit(materialize_split(train, fits=_forest_fits(family, parallelism)))
     rows = []
     for i, (pm, avg, std) in enumerate(zip(maps, model.avgMetrics, model.stdMetrics)):
         values = {p.name: float(v) if not isinstance(v, list) else float(v[1]) for p, v in pm.items()}
