@@ -9,6 +9,8 @@ derived doubles that come out of aggregates are rounded to 6 places.
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -461,18 +463,23 @@ def q_sweep_confusion(spark, sf):
     """Confusion matrices on test of the model that each sweep selects:
     LR, RF, MLP on all classes, RF on the binary data."""
     d, k = _widths(spark, sf)
-    out = None
-    for name, family, values, data, options in (
+    ensure_checkpoint_dir(spark)  # one folder for all threads
+
+    def counted(name, family, values, data, options):
+        train, val, test = _splits(spark, sf, data)
+        fitted: list = []
+        table = models.sweep(family, *values, train, val, test, fitted=fitted, **options)
+        return evaluate.confusion_counts(models.best_predictions(fitted, table, test)).select(F.lit(name).alias("family"), "*")
+
+    sweeps = (
         ("lr", "lr", ("regParam", models.REG_PARAMS), None, {}),
         ("rf", "rf", ("maxDepth", models.MAX_DEPTHS), None, {}),
         ("mlp", "mlp", ("layers", models.HIDDEN_WIDTHS), None, {"make_params": lambda h: {"layers": models.mlp_layers(d, h, k)}, "scale": True}),
         ("binary_rf", "rf", ("maxDepth", models.BINARY_DEPTHS), _binary_vectors(spark, sf), {"metric": "accuracy"}),
-    ):
-        train, val, test = _splits(spark, sf, data)
-        fitted: list = []
-        table = models.sweep(family, *values, train, val, test, fitted=fitted, **options)
-        counts = evaluate.confusion_counts(models.best_predictions(fitted, table, test)).select(F.lit(name).alias("family"), "*")
-        out = counts if out is None else out.unionByName(counts)
+    )
+    # The sweeps do not depend on each other; the short jobs of one use the cores that another leaves idle.
+    with ThreadPoolExecutor(max_workers=len(sweeps)) as pool:
+        out = reduce(DataFrame.unionByName, pool.map(lambda s: counted(*s), sweeps))
     return out.groupBy("family", "actual").pivot("predicted", [float(c) for c in range(k)]).agg(F.sum("n")).na.fill(0).withColumnsRenamed(
         {f"{float(c)}": f"predicted_{c}" for c in range(k)})
 

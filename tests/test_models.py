@@ -95,3 +95,47 @@ def test_a_small_split_is_dealt_over_the_cores(spark):
 
 def test_forests_keep_node_ids(spark):
     assert models.estimator("rf").getCacheNodeIds() and not models.estimator("rf", cacheNodeIds=False).getCacheNodeIds()
+
+
+def test_forest_fits_share_the_cores(spark, monkeypatch):
+    """A forest's rows lie in as many partitions as one of the fits has cores;
+    other families' in as many as there are cores."""
+    cores = spark.sparkContext.defaultParallelism
+    train, val, test = _data(spark)
+    monkeypatch.setattr(models, "SPREAD_ROWS", 1)
+    assert models.materialize_split(train).rdd.getNumPartitions() == min(cores, train.count())
+    seen, estimator = {}, models.estimator
+
+    def watched(family, *args, **params):
+        est = estimator(family, *args, **params)
+        fit = est.fit
+        monkeypatch.setattr(est, "fit", lambda d: seen.update({family: d.rdd.getNumPartitions()}) or fit(d))
+        return est
+
+    monkeypatch.setattr(models, "estimator", watched)
+    models.sweep("rf", "maxDepth", [1], train, val, test, numTrees=2, parallelism=4)
+    models.sweep("lr", "maxIter", [1], train, val, test, parallelism=4)
+    assert seen == {"rf": max(1, cores // 2), "lr": min(cores, train.count())}
+
+
+def test_sweeps_of_the_confusion_matrices_overlap(spark, monkeypatch):
+    from threading import Barrier
+
+    from rankforge.plans import catalogue
+
+    together = Barrier(4)
+
+    class Zero:
+        def transform(self, data):
+            return data.withColumn("prediction", F.lit(0.0))
+
+    def sweep(family, param, values, train, val, test, fitted, **options):
+        together.wait(timeout=60)
+        fitted += [Zero() for _ in values]
+        return spark.createDataFrame([(0, True)], "ordinal int, is_best boolean")
+
+    monkeypatch.setattr(models, "sweep", sweep)
+    rows = catalogue.q_sweep_confusion(spark, SF).collect()
+    assert {r["family"] for r in rows} == {"lr", "rf", "mlp", "binary_rf"}
+    assert sum(r["predicted_0"] for r in rows if r["family"] == "rf") == _data(spark)[2].count()
+    assert all(r["predicted_1"] == 0 for r in rows)
