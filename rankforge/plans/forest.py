@@ -326,7 +326,8 @@ class Forest(Estimator, _ForestParams):
         if data.count() * width <= LOCAL_BYTES:
             classes, packed = grow_whole(blocks, width, trees, **grown)
             return self._copyValues(ForestModel(cuts, classes, packed))
-        raise ValueError(f"more than {LOCAL_BYTES} bytes of binned rows")
+        classes = int(data.agg(F.max(F.col(label).cast("double"))).first()[0]) + 1
+        return self._copyValues(ForestModel(cuts, classes, parted=grow_parted(blocks, width, classes, trees, **grown)))
 
 
 def grow_whole(blocks: DataFrame, width: int, trees: int, seed: int, bins: int, k: int, depth: int) -> tuple[int, list[bytes]]:
@@ -350,15 +351,203 @@ def grow_whole(blocks: DataFrame, width: int, trees: int, seed: int, bins: int,
     return classes, [bytes(r["data"]) for r in sorted(packed)]
 
 
+# ---------------------------------------------------------------- more rows than a task holds
+
+Node = tuple[int, int]  # a tree and a node of its top
+_PART = "tree long, node long, leaf boolean, guess int, data binary"
+
+
+class Top:
+    """The nodes of a tree that are grown from sums; the driver holds these."""
+
+    def __init__(self, key: np.ndarray):
+        self.feature, self.cut, self.left, self.level, self.key = [-1], [0], [-1], [0], [key]
+        self.counts: list = [None]
+
+    def split(self, node: int, feature: int, cut: int, *counts: np.ndarray) -> list[int]:
+        self.feature[node], self.cut[node], self.left[node] = feature, cut, len(self.feature)
+        for side, c in enumerate(counts):
+            for name, v in (("feature", -1), ("cut", 0), ("left", -1), ("counts", c), ("level", self.level[node] + 1), ("key", mix(self.key[node], side + 1 + 1000003))):
+                getattr(self, name).append(v)
+        return [self.left[node], self.left[node] + 1]
+
+    def merge(self, guesses: dict[int, int | None], node: int = 0) -> int | None:
+        """:func:`merge_equal_leaves`; ``guesses``: the prediction of each part
+        that is one leaf, None of the others."""
+        if self.feature[node] < 0:
+            return guesses[node] if node in guesses else int(self.counts[node].argmax())
+        a, b = (self.merge(guesses, self.left[node] + i) for i in (0, 1))
+        if a is None or a != b:
+            return None
+        self.feature[node] = -1
+        guesses.pop(node, None)
+        return a
+
+    def nodes(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        return np.array(self.feature), np.array(self.cut), np.array(self.left)
+
+
+def descend(nodes: tuple[np.ndarray, np.ndarray, np.ndarray], x: np.ndarray) -> np.ndarray:
+    """The node of a top without children that each row comes to."""
+    feature, cut, left = nodes
+    at, active = np.zeros(len(x), np.int64), np.arange(len(x) if feature[0] >= 0 else 0)
+    while len(active):
+        n = at[active]
+        at[active] = n = left[n] + (x[active, feature[n]] > cut[n])
+        active = active[feature[n] >= 0]
+    return at
+
+
+def _blobs(**values) -> pa.RecordBatch:
+    return pa.RecordBatch.from_pydict({n: pa.array([v.tobytes()], pa.binary()) if isinstance(v, np.ndarray) else pa.array([v], pa.int64()) for n, v in values.items()})
+
+
+def grow_parted(blocks: DataFrame, width: int, classes: int, trees: int, seed: int, bins: int, k: int, depth: int) -> tuple[list[Top], DataFrame]:
+    """The tops of the trees, and their parts in the checkpoint folder. The
+    trees are those of :func:`grow_whole`."""
+    ensure_checkpoint_dir(blocks.sparkSession)
+    blocks = blocks.checkpoint(eager=True)
+    most_rows, most_nodes = max(1, LOCAL_BYTES // (width + 16)), max(1, LOCAL_BYTES // (8 * k * bins * classes))
+    tops = [Top(root_key(seed, t)) for t in range(trees)]
+    saved = []
+    for wave in (range(t, min(t + WAVE, trees)) for t in range(0, trees, WAVE)):
+        still, parts = [(t, 0) for t in wave], {}
+        while still:
+            now, still = still[:most_nodes], still[most_nodes:]
+            for r in _best_of(blocks, tops, now, width, classes, seed, bins, k):
+                top, counts = tops[r["tree"]], [np.array(r["below"]), np.array(r["above"])]
+                top.counts[r["node"]] = sum(counts)
+                if r["feature"] < 0 or top.level[r["node"]] == depth:
+                    continue
+                for child, c in zip(top.split(r["node"], r["feature"], r["cut"], *counts), counts):
+                    if top.level[child] < depth and (c > 0).sum() > 1:
+                        if c.sum() > most_rows:
+                            still.append((r["tree"], child))
+                        else:
+                            parts[r["tree"], child] = (top.key[child], depth - top.level[child])
+        grown = _grow_parts(blocks, tops, parts, width, classes, seed, bins, k).checkpoint(eager=True)
+        guesses: dict[int, dict] = {t: {} for t in wave}
+        for r in grown.select("tree", "node", "leaf", "guess").collect():
+            guesses[r["tree"]][r["node"]] = r["guess"] if r["leaf"] else None
+        leaves = []
+        for t in wave:
+            tops[t].merge(guesses[t])
+            for n in (n for n, f in enumerate(tops[t].feature) if f < 0 and n not in guesses[t]):
+                alone = {"feature": np.array([-1]), "cut": np.array([0]), "counts": tops[t].counts[n][None]}
+                leaves.append((t, n, True, int(tops[t].counts[n].argmax()), bytearray(pack(alone))))
+        saved += [grown, *([blocks.sparkSession.createDataFrame(leaves, _PART)] if leaves else [])]
+    out = saved[0]
+    for more in saved[1:]:
+        out = out.unionByName(more)
+    return tops, out.select("tree", "node", "data")
+
+
+def _best_of(blocks: DataFrame, tops: list[Top], now: list[Node], width: int, classes: int, seed: int, bins: int, k: int) -> list:
+    """The best split of each of the nodes: every task adds its rows up, Spark
+    adds the tasks up, the driver gets one row a node."""
+    tried: dict[int, dict] = {}
+    for t, n in now:
+        tried.setdefault(t, {})[n] = node_features(np.atleast_1d(tops[t].key[n]), width, k)[0]
+    nodes = {t: tops[t].nodes() for t in tried}
+
+    def sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[Node, np.ndarray] = {}
+        for ids, y, x in (_arrays(block, width) for b in batches for block in zip(*(c.to_pylist() for c in b.columns))):
+            for t, of_tree in tried.items():
+                w, at = bag(seed, t, ids), descend(nodes[t], x)
+                for n, features in of_tree.items():
+                    r = np.flatnonzero((at == n) & (w > 0))
+                    hist = [np.bincount(x[r, f].astype(np.int64) * classes + y[r], w[r], bins * classes) for f in features]
+                    held[t, n] = held.get((t, n), 0) + np.stack(hist)
+        for (t, n), hist in held.items():
+            yield _blobs(tree=t, node=n, hist=hist)
+
+    def best(key: tuple, table: pa.Table) -> pa.Table:
+        t, n = (v.as_py() for v in key)
+        hist = sum(np.frombuffer(h) for h in table.column("hist").to_pylist()).reshape(1, -1, bins, classes)
+        j, b, gains = (v[0] for v in best_splits(hist))
+        below, above = hist[0, j, :b + 1].sum(0), hist[0, j, b + 1:].sum(0)
+        return pa.table({"tree": [t], "node": [n], "feature": [int(tried[t][n][j]) if gains else -1], "cut": [int(b)], "below": [below.tolist()], "above": [above.tolist()]})
+
+    found = blocks.mapInArrow(sums, "tree long, node long, hist binary").groupBy("tree", "node")
+    return found.applyInArrow(best, "tree long, node long, feature long, cut long, below array<double>, above array<double>").collect()
+
+
+def _grow_parts(blocks: DataFrame, tops: list[Top], parts: dict, width: int, classes: int, seed: int, bins: int, k: int) -> DataFrame:
+    """The parts, each grown where its rows meet."""
+    nodes = {t: tops[t].nodes() for t, _ in parts}
+
+    def dealt(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for ids, y, x in (_arrays(block, width) for b in batches for block in zip(*(c.to_pylist() for c in b.columns))):
+            for t in nodes:
+                w, at = bag(seed, t, ids), descend(nodes[t], x)
+                for n in (n for n in np.unique(at[w > 0]).tolist() if (t, n) in parts):
+                    r = (at == n) & (w > 0)
+                    yield _blobs(tree=t, node=n, y=y[r], w=w[r], x=x[r])
+
+    def grown(key: tuple, table: pa.Table) -> pa.Table:
+        t, n = (v.as_py() for v in key)
+        y, w, x = (np.frombuffer(b"".join(table.column(c).to_pylist()), kind) for c, kind in (("y", np.int32), ("w", np.int64), ("x", np.uint8)))
+        root, levels = parts[t, n]
+        tree = grow(x.reshape(-1, width), y, w, classes, bins, k, levels, root)
+        return pa.table({"tree": [t], "node": [n], "leaf": [len(tree["feature"]) == 1], "guess": pa.array([int(tree["counts"][0].argmax())], pa.int32()),
+                         "data": pa.array([pack(tree)], pa.binary())})
+
+    return blocks.mapInArrow(dealt, "tree long, node long, y binary, w binary, x binary").groupBy("tree", "node").applyInArrow(grown, _PART)
+
+
+def predict_parted(data: DataFrame, features: str, out: str, cuts: list[np.ndarray], classes: int, tops: list[Top], parts: DataFrame) -> DataFrame:
+    """Rows meet the parts that they come to, one a tree; their votes are added
+    up by row. A part that more rows come to than a task holds is met by them
+    in several tasks."""
+    row, width, nodes = "_forest_row", len(cuts), [t.nodes() for t in tops]
+    ensure_checkpoint_dir(data.sparkSession)
+    data = data.withColumn(row, F.monotonically_increasing_id()).checkpoint(eager=True)  # else row ids may differ when computed again
+    pieces: dict[Node, int] = {}
+
+    def routed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, x = b.column(0).to_numpy(), to_bins(b.column(1), cuts)
+            for t, top in enumerate(nodes):
+                at = descend(top, x)
+                for n in np.unique(at).tolist():
+                    r = at == n
+                    yield _blobs(tree=t, node=n, piece=int(mix(ids[r][0], 0) % np.uint64(pieces.get((t, n), 1))), ids=ids[r], x=x[r])
+
+    def voted(left: pa.Table, right: pa.Table) -> pa.Table:
+        ids, x = (np.frombuffer(b"".join(left.column(c).to_pylist()), kind) for c, kind in (("ids", np.int64), ("x", np.uint8)))
+        votes = np.zeros((len(ids), classes), np.int64)
+        if len(ids):
+            vote(right.column("data")[0].as_py(), x.reshape(-1, width), votes)
+        r, c = np.nonzero(votes)
+        return pa.table({row: ids[r], "c": c, "share": votes[r, c]})
+
+    def rows() -> DataFrame:
+        return data.select(row, features).mapInArrow(routed, "tree long, node long, piece long, ids binary, x binary")
+
+    sizes = rows().groupBy("tree", "node").agg(F.sum(F.length("x")).alias("size")).where(F.col("size") > LOCAL_BYTES).collect()
+    pieces.update({(r["tree"], r["node"]): -(-r["size"] // LOCAL_BYTES) for r in sizes})
+    many = data.sparkSession.createDataFrame([(*key, n) for key, n in pieces.items()], "tree long, node long, pieces long")
+    copies = parts.join(many, ["tree", "node"], "left").select("tree", "node", "data", F.explode(F.sequence(F.lit(0), F.coalesce("pieces", F.lit(1)) - 1)).alias("piece"))
+    keys = ["tree", "node", "piece"]
+    votes = rows().groupBy(*keys).cogroup(copies.groupBy(*keys)).applyInArrow(voted, f"{row} long, c long, share long")
+    total = votes.groupBy(row, "c").agg(F.sum("share").alias("share"))
+    best = total.groupBy(row).agg((-F.max(F.struct("share", (-F.col("c")).alias("least")))["least"]).cast("double").alias(out))
+    return data.join(best, row).drop(row)
+
+
 class ForestModel(Model, _ForestParams):
-    """``packed`` trees over bins cut at ``cuts``."""
+    """``packed`` trees, or tops and parts, over bins cut at ``cuts``."""
 
-    def __init__(self, cuts: list[np.ndarray], classes: int, packed: list[bytes]):
+    def __init__(self, cuts: list[np.ndarray], classes: int, packed: list[bytes] | None = None, parted: tuple[list[Top], DataFrame] | None = None):
         super().__init__()
         self._setDefault(maxDepth=5, numTrees=20, maxBins=32)
-        self.cuts, self.classes, self.packed = cuts, classes, packed
+        self.cuts, self.classes, self.packed, self.parted = cuts, classes, packed, parted
 
     def _transform(self, dataset: DataFrame) -> DataFrame:
+        if self.parted:
+            wide = dataset.withColumn("_forest_x", vector_to_array(self.getFeaturesCol()))
+            return predict_parted(wide, "_forest_x", self.getPredictionCol(), self.cuts, self.classes, *self.parted).drop("_forest_x")
         cuts, classes, trees = self.cuts, self.classes, dataset.sparkSession.sparkContext.broadcast(self.packed)
 
         @F.arrow_udf("double")

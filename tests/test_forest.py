@@ -106,3 +106,19 @@ def test_wrong_rows_are_refused(spark):
         models.estimator("forest").fit(bad)
     with pytest.raises(ValueError, match="depth"):
         models.estimator("forest", maxDepth=31)
+
+
+@pytest.mark.parametrize(("trees", "depth", "local"), [(3, 30, 2000), (1, 4, 2000), (2, 0, 100), (2, 3, 100)])
+def test_rows_of_many_tasks_grow_the_same_forest(spark, monkeypatch, trees, depth, local):
+    train, val, _ = _rows(spark)
+    train, val = models.materialize_split(train.repartition(4, "id")), val.repartition(3, "id")
+    est = models.estimator("forest", numTrees=trees, maxDepth=depth)
+    whole = est.fit(train)
+    monkeypatch.setattr(forest, "LOCAL_BYTES", local)
+    monkeypatch.setattr(forest, "WAVE", 2)
+    parted = est.fit(train)
+    tops, parts = parted.parted
+    assert whole.packed and len(tops) == trees and (depth == 0 or max(len(t.feature) for t in tops) > 1) and parts.count() >= trees
+    want, got = ({r["id"]: r["prediction"] for r in m.transform(val).collect()} for m in (whole, parted))
+    assert got == want and len(got) == val.count()
+    assert parted.transform(val).columns == whole.transform(val).columns
