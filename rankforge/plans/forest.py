@@ -22,9 +22,11 @@ import io
 import math
 import threading
 from collections.abc import Iterator, Sequence
+from concurrent.futures import ThreadPoolExecutor
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.ml import Estimator, Model
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.param import Param, Params, TypeConverters
@@ -40,8 +42,9 @@ CELLS = 1 << 18
 LOCAL_BYTES = 64 << 20
 # Trees whose rows are shuffled at a time.
 WAVE = 8
-# Fits whose rows the driver passes on at a time.
-_PASSING = threading.BoundedSemaphore(2)
+# Fits whose rows lie whole with the tasks at a time. They pass through the
+# driver in one thread: each other would keep as much memory for itself.
+_WHOLE, _PASSING = threading.BoundedSemaphore(2), ThreadPoolExecutor(1)
 
 
 # ---------------------------------------------------------------- draws
@@ -332,13 +335,12 @@ class Forest(Estimator, _ForestParams):
 
 def grow_whole(blocks: DataFrame, width: int, trees: int, seed: int, bins: int, k: int, depth: int) -> tuple[int, list[bytes]]:
     """Number of classes and packed trees, each grown by one task over all rows."""
-    sc = blocks.sparkSession.sparkContext
-    with _PASSING:
-        got = [_arrays(b, width) for b in blocks.collect()]
-        ids, y, x = (np.concatenate(a) for a in zip(*got))
-        classes = int(y.max()) + 1
-        table = sc.broadcast((ids, y, x))
-        del got, ids, y, x
+    def passed() -> tuple[int, Broadcast]:
+        ids, y, x = (np.concatenate(a) for a in zip(*[_arrays(b, width) for b in blocks.collect()]))
+        return int(y.max()) + 1, blocks.sparkSession.sparkContext.broadcast((ids, y, x))  # it lies in a file
+
+    with _WHOLE:
+        classes, table = _PASSING.submit(passed).result()
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ids, y, x = table.value
