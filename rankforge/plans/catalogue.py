@@ -468,7 +468,7 @@ def q_sweep_confusion(spark, sf):
     def counted(name, family, values, data, options):
         train, val, test = _splits(spark, sf, data)
         fitted: list = []
-        table = models.sweep(family, *values, train, val, test, fitted=fitted, **options)
+        table = models.sweep(family, *values, train, val, test, fitted=fitted, parallelism=1, **options)
         return evaluate.confusion_counts(models.best_predictions(fitted, table, test)).select(F.lit(name).alias("family"), "*")
 
     sweeps = (
@@ -478,6 +478,7 @@ def q_sweep_confusion(spark, sf):
         ("binary_rf", "rf", ("maxDepth", models.BINARY_DEPTHS), _binary_vectors(spark, sf), {"metric": "accuracy"}),
     )
     # The sweeps do not depend on each other; the short jobs of one use the cores that another leaves idle.
+    # One fit of each at a time is as many as a sweep alone has, in the driver's memory too.
     with ThreadPoolExecutor(max_workers=len(sweeps)) as pool:
         out = reduce(DataFrame.unionByName, pool.map(lambda s: counted(*s), sweeps))
     return out.groupBy("family", "actual").pivot("predicted", [float(c) for c in range(k)]).agg(F.sum("n")).na.fill(0).withColumnsRenamed(
